@@ -54,10 +54,10 @@ def letter_words(text: Column) -> Column:
 
 
 def without_words(tokens: Column, stop_words: Iterable[str]) -> Column:
-    """Tokens that are not stop words, order and repeats kept."""
+    """Lower-case tokens that are not stop words, order and repeats kept."""
     # a literal IN list becomes a hash set, so each token costs one lookup
     words = sorted(set(stop_words))
-    return F.filter(tokens, lambda t: ~F.lower(t).isin(words))
+    return F.filter(tokens, lambda t: ~t.isin(words))
 
 
 def bigrams(tokens: Column) -> Column:

@@ -1,2 +1,176 @@
-QUERIES = {}
-SQL = {}
+"""Token and word queries over the documents."""
+
+from pyspark.sql import functions as F
+
+from tonegauge.functions import text as words
+from tonegauge.operators import cleaning, lemma
+from tonegauge.operators import text as ops
+from tonegauge.plans import views_sql as v
+from tonegauge.sources import views
+
+
+def _joined(df, *columns):
+    return df.select("Id", *[F.array_join(c, "|").alias(c) for c in columns])
+
+
+def _filtered(spark, folder):
+    return ops.remove_stopwords(ops.tokenise(views.doc_texts(spark, folder)))
+
+
+def t1_tokens(spark, folder):
+    return _joined(ops.tokenise(views.doc_texts(spark, folder)), "words")
+
+
+def t1_split_tokens(spark, folder):
+    texts = views.doc_texts(spark, folder)
+    return _joined(texts.withColumn("words", words.split_tokens(F.col("Text"))), "words")
+
+
+def t1_unicode_tokens(spark, folder):
+    return _joined(ops.tokenise(views.doc_texts(spark, folder), unicode=True), "words")
+
+
+def t2_stopwords(spark, folder):
+    plain = ops.remove_stopwords(_filtered(spark, folder), out="plain", keep=())
+    return _joined(plain, "filtered", "plain")
+
+
+def t3_lemmas(spark, folder):
+    return _joined(lemma.lemmatised_tokens(views.doc_texts(spark, folder)), "lemmatized")
+
+
+def t3_lemma_table(spark, folder):
+    rows = _filtered(spark, folder)
+    return lemma.lemma_table(lemma.vocabulary(rows, "filtered"), lemma.corpus_lexicon(rows, "filtered"))
+
+
+def t4_bigrams(spark, folder):
+    return _joined(ops.add_bigrams(_filtered(spark, folder), "filtered"), "bigrams")
+
+
+def t5_combined(spark, folder):
+    pairs = ops.add_bigrams(_filtered(spark, folder), "filtered")
+    return _joined(ops.combine(pairs, "filtered"), "tokens")
+
+
+def t7_idf(spark, folder):
+    rows = ops.idf(_filtered(spark, folder), "filtered")
+    return rows.select("token", "df", F.round("idf", 6).alias("idf"))
+
+
+def t7_tf_idf(spark, folder):
+    rows = ops.tf_idf(_filtered(spark, folder), "filtered")
+    return rows.select("Id", "token", F.col("tf").cast("bigint").alias("tf"), F.round("tfidf", 6).alias("tfidf"))
+
+
+def t9_sparsity(spark, folder):
+    return ops.sparsity(_filtered(spark, folder), "filtered").select(
+        "min", F.round("mean", 6).alias("mean"), "max"
+    )
+
+
+def t11_top_words(spark, folder):
+    return ops.top_words(cleaning.with_sentiment(views.doc_reviews(spark, folder)))
+
+
+def t12_word_frequencies(spark, folder):
+    return ops.word_frequencies(views.doc_reviews(spark, folder), 5)
+
+
+def t13_token_reduction(spark, folder):
+    return ops.token_reduction(views.doc_texts(spark, folder))
+
+
+QUERIES = {
+    name: run for name, run in globals().items()
+    if callable(run) and name[0] == "t" and name[1:2].isdigit()
+}
+
+
+def _quoted(names):
+    return ", ".join("'" + w.replace("'", "''") + "'" for w in names)
+
+
+# The English stop words of the tokeniser in use, without those with an apostrophe, which no
+# token can contain.
+STOP_WORDS = (
+    "i me my myself we our ours ourselves you your yours yourself yourselves he him his himself she her hers "
+    "herself it its itself they them their theirs themselves what which who whom this that these those am is are "
+    "was were be been being have has had having do does did doing a an the and but if or because as until while of "
+    "at by for with about against between into through during before after above below to from up down in out on "
+    "off over under again further then once here there when where why how all any both each few more most other "
+    "some such no nor not only own same so than too very s t can will just don should now cannot could ought would"
+).split()
+_KEPT = _quoted(w for w in STOP_WORDS if w not in words.NEGATIONS)
+_TOKENS = rf"""tokens AS (SELECT CAST(doc_id AS VARCHAR) AS Id, text,
+  [x FOR x IN regexp_extract_all(lower(text), '[0-9A-Za-z_]+') IF length(x) >= 2] AS words FROM documents),
+filtered AS (SELECT *, [x FOR x IN words IF x NOT IN ({_KEPT})] AS filtered FROM tokens)"""
+_PAIRS = """[filtered[i] || ' ' || filtered[i + 1] FOR i IN range(1, len(filtered))]"""
+_OCCURRENCES = """occ AS (SELECT Id, token, count(*) AS tf FROM (SELECT Id, unnest(filtered) AS token FROM filtered)
+  GROUP BY ALL),
+  idf AS (SELECT token, count(*) AS df, CASE WHEN count(*) >= 3
+    THEN ln(((SELECT count(*) FROM documents) + 1.0) / (count(*) + 1)) ELSE 0.0 END AS idf FROM occ GROUP BY token)"""
+
+
+def _rule_rows():
+    return ", ".join(f"('{pos}', '{old}', '{new}')" for pos, rules in lemma.RULES.items() for old, new in rules)
+
+
+# every token of the corpus is a base form, so one round of rules decides
+_LEMMAS = f"""vocab AS (SELECT DISTINCT unnest(filtered) AS token FROM filtered),
+rules(pos, old, new) AS (VALUES {_rule_rows()}),
+tries AS (
+  SELECT v.token, pos, substr(v.token, 1, length(v.token) - length(old)) || new AS form
+  FROM vocab v JOIN rules ON ends_with(v.token, old) AND length(v.token) > length(old)),
+best AS (
+  SELECT t.token, pos, min_by(form, (length(form), form)) AS form
+  FROM tries t JOIN vocab k ON k.token = t.form WHERE length(form) < length(t.token) GROUP BY 1, 2),
+lemmas AS (
+  SELECT token, coalesce(max(form) FILTER (pos = 'v'), max(form) FILTER (pos = 'n')) AS lemma
+  FROM best GROUP BY token)"""
+
+
+def _report_words(text):
+    return (
+        f"[x FOR x IN regexp_extract_all(lower({text}), '[a-z]{{3,}}') "
+        f"IF x NOT IN ({_quoted(words.REPORT_STOP_WORDS)})]"
+    )
+
+
+SQL = {
+    "t1_tokens": f"WITH {_TOKENS} SELECT Id, array_to_string(words, '|') AS words FROM tokens",
+    "t1_split_tokens": r"""SELECT CAST(doc_id AS VARCHAR) AS Id,
+        array_to_string(regexp_extract_all(lower(text), '[0-9A-Za-z_]+'), '|') AS words FROM documents""",
+    "t1_unicode_tokens": r"""SELECT CAST(doc_id AS VARCHAR) AS Id, array_to_string(
+        [x FOR x IN regexp_extract_all(lower(text), '[\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]+') IF length(x) >= 2], '|') AS words
+        FROM documents""",
+    "t2_stopwords": f"""WITH {_TOKENS} SELECT Id, array_to_string(filtered, '|') AS filtered,
+        array_to_string([x FOR x IN words IF x NOT IN ({_quoted(STOP_WORDS)})], '|') AS plain FROM filtered""",
+    "t3_lemmas": f"""WITH {_TOKENS}, {_LEMMAS},
+        each AS (SELECT Id, unnest(filtered) AS token, generate_subscripts(filtered, 1) AS pos FROM filtered),
+        replaced AS (SELECT Id, string_agg(coalesce(lemma, token), '|' ORDER BY pos) AS l
+          FROM each LEFT JOIN lemmas USING (token) GROUP BY Id)
+        SELECT Id, coalesce(l, '') AS lemmatized FROM filtered LEFT JOIN replaced USING (Id)""",
+    "t3_lemma_table": f"WITH {_TOKENS}, {_LEMMAS} SELECT token, lemma FROM lemmas",
+    "t4_bigrams": f"WITH {_TOKENS} SELECT Id, array_to_string({_PAIRS}, '|') AS bigrams FROM filtered",
+    "t5_combined": f"""WITH {_TOKENS} SELECT Id, array_to_string(list_concat(filtered, {_PAIRS}), '|') AS tokens
+        FROM filtered""",
+    "t7_idf": f"WITH {_TOKENS}, {_OCCURRENCES} SELECT token, df, round(idf, 6) AS idf FROM idf",
+    "t7_tf_idf": f"""WITH {_TOKENS}, {_OCCURRENCES} SELECT Id, token, tf, round(tf * idf, 6) AS tfidf
+        FROM occ JOIN idf USING (token)""",
+    "t9_sparsity": f"""WITH {_TOKENS}, sized AS (SELECT len(list_distinct(filtered)) AS n FROM filtered)
+        SELECT CAST(min(n) AS INT) AS min, round(avg(n), 6) AS mean, CAST(max(n) AS INT) AS max FROM sized""",
+    "t11_top_words": f"""WITH {v.DOC_REVIEWS}, each AS (
+        SELECT CASE WHEN Score IS NULL THEN 'unknown' WHEN Score < 3 THEN 'negative' WHEN Score = 3 THEN 'neutral'
+          ELSE 'positive' END AS Sentiment, unnest({_report_words('Text')}) AS word FROM doc_reviews)
+        SELECT Sentiment, word, count(*) AS count,
+          row_number() OVER (PARTITION BY Sentiment ORDER BY count(*) DESC, word) AS rank
+        FROM each GROUP BY 1, 2 QUALIFY rank <= 15""",
+    "t12_word_frequencies": f"""WITH {v.DOC_REVIEWS}, each AS (
+        SELECT unnest({_report_words('Text')}) AS word FROM doc_reviews WHERE Score = 5)
+        SELECT word, count(*) AS count FROM each GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 100""",
+    "t13_token_reduction": rf"""WITH cleaned AS (SELECT CAST(doc_id AS VARCHAR) AS Id,
+        regexp_extract_all(regexp_replace(lower(text), '[^a-z0-9\s]', ' ', 'g'), '[a-z0-9]+') AS w FROM documents)
+        SELECT Id, CAST(len(w) AS INT) AS token_count,
+          CAST(len([x FOR x IN w IF x NOT IN ({_quoted(STOP_WORDS)})]) AS INT) AS filtered_count FROM cleaned""",
+}
