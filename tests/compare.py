@@ -45,11 +45,14 @@ def rows_of(columns, rows):
 
 def compare(frame, con, sql):
     """None when equal, else a text that says what differs."""
+    start = time.time()
     result = con.execute(sql)
     columns = [d[0] for d in result.description]
+    fetched = result.fetchall()
+    compare.sql_seconds = time.time() - start
     if sorted(columns) != sorted(frame.columns):
         return f"columns {sorted(frame.columns)} but SQL has {sorted(columns)}"
-    want = rows_of(columns, result.fetchall())
+    want = rows_of(columns, fetched)
     got = rows_of(frame.columns, frame.collect())
     if want == got:
         return None
@@ -94,7 +97,7 @@ def main(argv):
         except Exception as e:
             problem = f"{type(e).__name__}: {str(e)[:600]}"
         bad += bool(problem) and name in sql
-        print(f"{time.time() - start:6.2f}s {name}: {problem or 'equal'}", flush=True)
+        print(f"{time.time() - start:6.2f}s (SQL {getattr(compare, 'sql_seconds', 0):5.2f}s) {name}: {problem or 'equal'}", flush=True)
     print("different:", bad)
 
 

@@ -45,24 +45,27 @@ def _detached(form: Column, pos: str) -> Column:
     return F.filter(F.array(*tries), lambda c: c.isNotNull())
 
 
-def _candidates(token: Column, pos: str) -> Column:
+def _candidates(token: Column, pos: str, rounds: int) -> Column:
     """(round, place, form) of every candidate; the token itself is the first of round 0."""
     level = _detached(token, pos)
-    rounds = [F.concat(F.array(token), level)]
-    for _ in range(1, ROUNDS):
+    found = [F.concat(F.array(token), level)]
+    for _ in range(1, rounds):
         level = F.flatten(F.transform(level, lambda f: _detached(f, pos)))
-        rounds.append(level)
+        found.append(level)
     def marked(forms: Column, number: int) -> Column:
         return F.transform(forms, lambda f, i: F.struct(
             F.lit(pos).alias("pos"), F.lit(number).alias("round"), i.alias("place"), f.alias("form")
         ))
 
-    return F.concat(*[marked(forms, number) for number, forms in enumerate(rounds)])
+    return F.concat(*[marked(forms, number) for number, forms in enumerate(found)])
 
 
-def lemma_table(vocab: DataFrame, lexicon: DataFrame) -> DataFrame:
-    """token, lemma for the tokens whose lemma differs from the token."""
-    both = F.concat(*[_candidates(F.col("token"), pos) for pos in RULES])
+def lemma_table(vocab: DataFrame, lexicon: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+    """token, lemma for the tokens whose lemma differs from the token.
+
+    One round is enough when the lexicon knows every token.
+    """
+    both = F.concat(*[_candidates(F.col("token"), pos, rounds) for pos in RULES])
     tries = vocab.select("token", F.inline(both))
     known = tries.join(lexicon.select("form", "pos", "lemma"), ["form", "pos"])
     # an irregular form replaces all rules: it is the token itself with another lemma
@@ -127,5 +130,12 @@ def lemmatised_tokens(df: DataFrame, lexicon: DataFrame | None = None, text: str
     found = df.withColumn("words", words.word_tokens(F.col(text))).withColumn(
         "filtered", words.without_words(F.col("words"), words.english_stop_words())
     )
-    known = corpus_lexicon(found, "filtered") if lexicon is None else lexicon
-    return lemmatise(found, lemma_table(vocabulary(found, "filtered"), known), key=key)
+    return lemmatise(found, corpus_lemmas(found) if lexicon is None else lemmas_of(found, lexicon), key=key)
+
+
+def corpus_lemmas(df: DataFrame, tokens: str = "filtered") -> DataFrame:
+    return lemma_table(vocabulary(df, tokens), corpus_lexicon(df, tokens), rounds=1)
+
+
+def lemmas_of(df: DataFrame, lexicon: DataFrame, tokens: str = "filtered") -> DataFrame:
+    return lemma_table(vocabulary(df, tokens), lexicon)

@@ -1,2 +1,300 @@
-QUERIES = {}
-SQL = {}
+"""Evaluation, calibration, features, classifiers and clustering."""
+
+from datetime import datetime
+
+from pyspark import StorageLevel
+from pyspark.sql import functions as F
+
+from tonegauge.operators import calibration, cleaning, features, metrics, models, splits
+from tonegauge.plans import views_sql as v
+from tonegauge.sources import storage, views
+
+# Small hash space for the document queries; the library default is larger.
+SETTINGS = features.FeatureSettings(num_features=1 << 12)
+
+
+def _rounded(df, digits=6):
+    doubles = {f.name for f in df.schema.fields if f.dataType.typeName() == "double"}
+    return df.select(*[F.round(c, digits).alias(c) if c in doubles else F.col(c) for c in df.columns])
+
+
+def _pred(spark, folder):
+    return views.predictions(spark, folder).select("Id", "label", "Sentiment", "prediction", "probability")
+
+
+def m7a_apply_thresholds(spark, folder):
+    return calibration.apply_thresholds(_pred(spark, folder)).select("Id", "label", "prediction")
+
+
+def m7b_threshold_scores(spark, folder):
+    return _rounded(calibration.threshold_scores(_pred(spark, folder)))
+
+
+def m7b_calibrate(spark, folder):
+    return _rounded(calibration.calibrate(_pred(spark, folder)))
+
+
+def m7c_compare(spark, folder):
+    pred = _pred(spark, folder)
+    return _rounded(calibration.compare(pred, calibration.apply_thresholds(pred)))
+
+
+def m8_metrics(spark, folder):
+    return metrics.metrics(_pred(spark, folder))
+
+
+def m9_confusion(spark, folder):
+    return metrics.confusion(_pred(spark, folder))
+
+
+def m9_confusion_shares(spark, folder):
+    return metrics.confusion(_pred(spark, folder), normalise=True)
+
+
+def m10_hits(spark, folder):
+    return metrics.hits(_pred(spark, folder))
+
+
+def m11_confidence(spark, folder):
+    return _rounded(metrics.confidence(_pred(spark, folder)).select("Id", "max_prob", "correct"))
+
+
+def m11_confidence_histogram(spark, folder):
+    return _rounded(metrics.confidence_histogram(_pred(spark, folder)))
+
+
+def m12_roc(spark, folder):
+    points = metrics.roc(_pred(spark, folder), 1).filter(F.col("fpr") + F.col("tpr") > 0)
+    return _rounded(points)
+
+
+def m12_auc(spark, folder):
+    pred = _pred(spark, folder)
+    each = [metrics.auc(pred, cls) for cls in metrics.CODES]
+    return _rounded(each[0].unionByName(each[1]).unionByName(each[2]))
+
+
+def m17_insight(spark, folder):
+    meta = {"model_name": models.MODEL_NAME, "model_version": models.MODEL_VERSION, "dataset": "predictions"}
+    doc = metrics.insight(_pred(spark, folder), meta, datetime(2024, 1, 1))
+    return doc.select(
+        "evaluated_at", "model_name", "trained_at",
+        "metrics.accuracy", "metrics.f1_weighted",
+        *[F.col(f"metrics.per_class.{s}.{k}").alias(f"{s}_{k}") for s in ["negative", "neutral"]
+          for k in ["precision", "recall", "f1"]],
+        F.array_join(F.flatten("confusion_matrix.matrix").cast("array<string>"), ",").alias("matrix"),
+    )
+
+
+def _labelled_docs(spark, folder):
+    docs = cleaning.drop_empty_text(views.doc_reviews(spark, folder))
+    return cleaning.fixed_weights(cleaning.labelled(docs))
+
+
+def _featured(spark, folder):
+    """Features of the labelled documents by split, written once so that every fit reads them from storage."""
+    rows = splits.stratified_split(_labelled_docs(spark, folder))
+    train = rows.filter(F.col("split") == "train")
+    model = features.fit_features(train, SETTINGS)
+    path = storage.shared_dir(spark, "features")
+    storage.save_features(
+        model.transform(rows).select("Id", "Sentiment", "label", "classWeight", "split", "features"), path
+    )
+    saved = storage.load_features(spark, path)
+    return saved.filter(F.col("split") == "train"), saved.filter(F.col("split") != "train")
+
+
+def _predicted(model, test):
+    return model.transform(test).select("Id", "label", "prediction")
+
+
+def t6_hash_tf(spark, folder):
+    model = features.fit_features(views.doc_texts(spark, folder), SETTINGS, idf=False)
+    return model.transform(views.doc_texts(spark, folder)).select("Id", "features")
+
+
+def t8_fit_features(spark, folder):
+    train, rest = _featured(spark, folder)
+    return train.unionByName(rest).select("Id", "split", "label", "features")
+
+
+def t9_nonzero_features(spark, folder):
+    train, _ = _featured(spark, folder)
+    return features.nonzero_summary(train)
+
+
+def m1_logistic_regression(spark, folder):
+    train, test = _featured(spark, folder)
+    return _predicted(models.train_lr(train, maxIter=20), test)
+
+
+def m2_linear_svc(spark, folder):
+    train, test = _featured(spark, folder)
+    return _predicted(models.train_svc(train, maxIter=20), test)
+
+
+def m3_naive_bayes(spark, folder):
+    train, test = _featured(spark, folder)
+    return _predicted(models.train_nb(train), test)
+
+
+def m4_random_forest(spark, folder):
+    train, test = _featured(spark, folder)
+    return _predicted(models.train_rf(train, numTrees=10, maxDepth=5), test)
+
+
+def m5_benchmark(spark, folder):
+    train, test = _featured(spark, folder)
+    results, _ = models.benchmark(
+        {"logistic regression": models.logistic_regression(train, **models.BASELINE),
+         "naive bayes": models.naive_bayes()},
+        train, test,
+    )
+    return results.drop("train_seconds")
+
+
+def m6_tune(spark, folder):
+    train, _ = _featured(spark, folder)
+    kept = train.persist(StorageLevel.MEMORY_AND_DISK)
+    _, table = models.tune_lr(kept, {**models.SEARCH, "maxIter": [10, 20]}, parallelism=4)
+    kept.unpersist()
+    return table
+
+
+def m13_cluster(spark, folder):
+    return models.cluster(views.vectors(spark, folder))[2]
+
+
+def m14_cluster_classifier(spark, folder):
+    _, placed, _ = models.cluster(views.vectors(spark, folder))
+    return models.cluster_classifier(placed)[1]
+
+
+def m15_training_history(spark, folder):
+    train, _ = _featured(spark, folder)
+    return models.training_history(spark, models.train_lr(train, maxIter=20))
+
+
+def m16_score(spark, folder):
+    rows = views.vectors(spark, folder)
+    model = models.train_lr(rows, maxIter=20)
+    return models.score(model, rows).select("Id", "label", "prediction", "probability")
+
+
+QUERIES = {
+    name: run for name, run in globals().items()
+    if callable(run) and name[0] in "mt" and name[1:2].isdigit()
+}
+
+_NAMES = ["negative", "neutral", "positive"]
+
+
+def _metric_columns(digits):
+    per_class = []
+    for c, name in enumerate(_NAMES):
+        hit, true, said = f"h{c}", f"t{c}", f"s{c}"
+        per_class += [
+            (f"precision_{name}", f"coalesce({hit} / nullif({said}, 0), 0)"),
+            (f"recall_{name}", f"coalesce({hit} / nullif({true}, 0), 0)"),
+            (f"f1_{name}", f"coalesce(2.0 * {hit} / nullif({true} + {said}, 0), 0)"),
+        ]
+    found = dict(per_class)
+
+    def weighted(kind):
+        return "(" + " + ".join(f"t{c} * {found[f'{kind}_{n}']}" for c, n in enumerate(_NAMES)) + ") / n"
+
+    columns = [("accuracy", "(h0 + h1 + h2) / n")]
+    columns += [(f"{k}_weighted", weighted(k)) for k in ["f1", "precision", "recall"]] + per_class
+    return ", ".join(f"round(CAST({x} AS DOUBLE), {digits}) AS {name}" for name, x in columns)
+
+
+def _cells(source, by=""):
+    counted = ", ".join(
+        f"CAST(count(*) FILTER (label = {c} AND prediction = {c}) AS DOUBLE) AS h{c}, "
+        f"CAST(count(*) FILTER (label = {c}) AS DOUBLE) AS t{c}, "
+        f"CAST(count(*) FILTER (prediction = {c}) AS DOUBLE) AS s{c}" for c in range(3)
+    )
+    group = f"GROUP BY {by}" if by else ""
+    return f"SELECT {by + ',' if by else ''} CAST(count(*) AS DOUBLE) AS n, {counted} FROM {source} {group}"
+
+
+def _decide(t0, t1, t2):
+    return (
+        f"CASE WHEN p0 / {t0} >= p1 / {t1} AND p0 / {t0} >= p2 / {t2} THEN 0.0::DOUBLE "
+        f"WHEN p1 / {t1} >= p2 / {t2} THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END"
+    )
+
+
+_DEFAULT = ", decided AS (SELECT * REPLACE (" + _decide(
+    "0.35::DOUBLE", "0.35::DOUBLE", "0.45::DOUBLE") + " AS prediction) FROM predictions)"
+
+def _grid_scores():
+    # the class totals are called c0..c2 here because t0..t2 are thresholds
+    counted = ", ".join(
+        f"CAST(count(*) FILTER (label = {c} AND prediction = {c}) AS DOUBLE) AS h{c}, "
+        f"CAST(count(*) FILTER (label = {c}) AS DOUBLE) AS c{c}, "
+        f"CAST(count(*) FILTER (prediction = {c}) AS DOUBLE) AS s{c}" for c in range(3)
+    )
+    f1 = [f"coalesce(2.0 * h{c} / nullif(c{c} + s{c}, 0), 0)" for c in range(3)]
+    return f""", grid AS (SELECT CAST(row_number() OVER (ORDER BY t0, t1, t2) - 1 AS INT) AS combo, * FROM
+      (SELECT unnest([0.25, 0.30, 0.35])::DOUBLE AS t0), (SELECT unnest([0.12, 0.15, 0.18, 0.22])::DOUBLE AS t1),
+      (SELECT unnest([0.40, 0.45, 0.50])::DOUBLE AS t2)),
+    tried AS (SELECT combo, t0, t1, t2, label, {_decide('t0', 't1', 't2')} AS prediction FROM predictions, grid),
+    cells AS (SELECT combo, t0, t1, t2, count(*) AS n, {counted} FROM tried GROUP BY ALL),
+    scored AS (SELECT combo, t0, t1, t2, (c0 * {f1[0]} + c1 * {f1[1]} + c2 * {f1[2]}) / n AS f1,
+      {f1[1]} AS f1_neutral FROM cells),
+    combined AS (SELECT *, 0.70::DOUBLE * f1 + 0.30::DOUBLE * f1_neutral AS combined FROM scored)"""
+
+
+_METRIC_NAMES = ["accuracy", "f1_weighted", "precision_weighted", "recall_weighted"] + [
+    f"{k}_{n}" for n in _NAMES for k in ["precision", "recall", "f1"]
+]
+_MATRIX = "(VALUES (0), (1), (2)) AS l(label)"
+_SCORES = """scores AS (SELECT p1 AS score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label <> 1) AS neg
+  FROM predictions GROUP BY 1)"""
+
+
+def _auc(cls):
+    return f"""SELECT {cls} AS class, round(sum(neg * (above + pos / 2)) / (sum(pos) * sum(neg)), 6) AS auc FROM (
+      SELECT *, coalesce(sum(pos) OVER (ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        AS above FROM (SELECT p{cls} AS score, count(*) FILTER (label = {cls}) AS pos,
+          count(*) FILTER (label <> {cls}) AS neg FROM predictions GROUP BY 1))"""
+
+
+SQL = {
+    "m7a_apply_thresholds": f"WITH {v.PREDICTIONS} {_DEFAULT} SELECT Id, label, prediction FROM decided",
+    "m7b_threshold_scores": f"""WITH {v.PREDICTIONS} {_grid_scores()} SELECT combo, t0, t1, t2, round(f1, 6) AS f1,
+        round(f1_neutral, 6) AS f1_neutral, round(combined, 6) AS combined FROM combined""",
+    "m7b_calibrate": f"""WITH {v.PREDICTIONS} {_grid_scores()} SELECT t0, t1, t2, round(combined, 6) AS combined
+        FROM combined ORDER BY combined.combined DESC, combo LIMIT 1""",
+    "m7c_compare": f"""WITH {v.PREDICTIONS} {_DEFAULT}, a AS (SELECT {_metric_columns(15)} FROM
+        ({_cells('predictions')})), b AS (SELECT {_metric_columns(15)} FROM ({_cells('decided')})),
+        x AS (UNPIVOT a ON {', '.join(_METRIC_NAMES)} INTO NAME metric VALUE before),
+        y AS (UNPIVOT b ON {', '.join(_METRIC_NAMES)} INTO NAME metric VALUE after)
+        SELECT metric, round(before, 6) AS before, round(after, 6) AS after, round(after - before, 6) AS change
+        FROM x JOIN y USING (metric)""",
+    "m8_metrics": f"WITH {v.PREDICTIONS} SELECT {_metric_columns(4)} FROM ({_cells('predictions')})",
+    "m9_confusion": f"""WITH {v.PREDICTIONS} SELECT l.label, {', '.join(
+        f"count(*) FILTER (prediction = {c}) AS predicted_{c}" for c in range(3))}
+        FROM {_MATRIX} LEFT JOIN predictions p ON p.label = l.label GROUP BY l.label""",
+    "m9_confusion_shares": f"""WITH {v.PREDICTIONS} SELECT l.label, {', '.join(
+        f"(200 * count(*) FILTER (prediction = {c}) + count(*)) // (2 * count(*)) / 100.0 AS predicted_{c}"
+        for c in range(3))} FROM {_MATRIX} LEFT JOIN predictions p ON p.label = l.label GROUP BY l.label""",
+    "m10_hits": f"""WITH {v.PREDICTIONS} SELECT Sentiment, label = prediction AS correct, count(*) AS count
+        FROM predictions GROUP BY ALL""",
+    "m11_confidence": f"""WITH {v.PREDICTIONS} SELECT Id, round(greatest(p0, p1, p2), 6) AS max_prob,
+        label = prediction AS correct FROM predictions""",
+    "m12_roc": f"""WITH {v.PREDICTIONS}, {_SCORES}, t AS (SELECT score,
+          sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp,
+          sum(pos) OVER () AS p, sum(neg) OVER () AS q FROM scores)
+        SELECT round(score, 6) AS threshold, round(CAST(fp AS DOUBLE) / q, 6) AS fpr,
+          round(CAST(tp AS DOUBLE) / p, 6) AS tpr FROM t""",
+    "m12_auc": f"WITH {v.PREDICTIONS} {_auc(0)} UNION ALL {_auc(1)} UNION ALL {_auc(2)}",
+    "m17_insight": f"""WITH {v.PREDICTIONS}, m AS (SELECT {_metric_columns(4)} FROM ({_cells('predictions')}))
+        SELECT '2024-01-01T00:00:00Z' AS evaluated_at, 'LogisticRegression' AS model_name,
+          'Unknown' AS trained_at, accuracy, f1_weighted, {', '.join(
+            f"{k}_{s} AS {s}_{k}" for s in ['negative', 'neutral'] for k in ['precision', 'recall', 'f1'])},
+          (SELECT string_agg(c, ',' ORDER BY l, p) FROM (SELECT l, p, count(predictions.label) AS c
+            FROM (SELECT unnest([0, 1, 2]) AS l), (SELECT unnest([0, 1, 2]) AS p)
+            LEFT JOIN predictions ON label = l AND prediction = p GROUP BY l, p)) AS matrix FROM m""",
+}

@@ -40,8 +40,7 @@ def t3_lemmas(spark, folder):
 
 
 def t3_lemma_table(spark, folder):
-    rows = _filtered(spark, folder)
-    return lemma.lemma_table(lemma.vocabulary(rows, "filtered"), lemma.corpus_lexicon(rows, "filtered"))
+    return lemma.corpus_lemmas(_filtered(spark, folder))
 
 
 def t4_bigrams(spark, folder):
