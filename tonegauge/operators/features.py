@@ -97,7 +97,8 @@ def fit_features(
     """Fits on the training rows only. Without a lexicon the words of the training rows are one."""
     settings = settings or FeatureSettings()
     if settings.lemmas and lexicon is None:
-        lexicon = lemma.corpus_lexicon(train.select(_words(train, settings).alias("words")), "words")
+        own = lemma.corpus_lexicon(train.select(_words(train, settings).alias("words")), "words")
+        lexicon = storage.stored(own, "lexicon")
     hashing = HashingTF(inputCol="tokens", outputCol="raw_features", numFeatures=settings.num_features)
     model = FeatureModel(settings, lexicon if settings.lemmas else None, hashing, None)
     if idf:

@@ -6,7 +6,7 @@ candidate counts when the lexicon knows it, and the shortest one wins. The verb
 noun, then the token itself.
 """
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonegauge.functions import text as words
@@ -33,31 +33,27 @@ def corpus_lexicon(df: DataFrame, tokens: str) -> DataFrame:
     return forms.select(F.col("token").alias("form"), "pos", F.col("token").alias("lemma"))
 
 
-def _detached(form: Column, pos: str) -> Column:
-    """Results of all rules that fit a form, in rule order."""
-    tries = [
-        F.when(
-            F.endswith(form, F.lit(old)) & (F.length(form) > len(old)),
-            F.concat(F.substr(form, F.lit(1), F.length(form) - len(old)), F.lit(new)),
-        )
-        for old, new in RULES[pos]
-    ]
-    return F.filter(F.array(*tries), lambda c: c.isNotNull())
+def _detached(form: str, pos: str) -> str:
+    """SQL: results of all rules that fit a form, in rule order."""
+    rules = ", ".join(f"named_struct('old', '{old}', 'new', '{new}')" for old, new in RULES[pos])
+    return (
+        f"transform(filter(array({rules}), r -> endswith({form}, r.old) AND length({form}) > length(r.old)), "
+        f"r -> concat(substr({form}, 1, length({form}) - length(r.old)), r.new))"
+    )
 
 
-def _candidates(token: Column, pos: str, rounds: int) -> Column:
-    """(round, place, form) of every candidate; the token itself is the first of round 0."""
+def _candidates(token: str, pos: str, rounds: int) -> list[str]:
+    """SQL: (pos, round, place, form) of every candidate per round; the token itself is the first of round 0."""
     level = _detached(token, pos)
-    found = [F.concat(F.array(token), level)]
+    found = [f"concat(array({token}), {level})"]
     for _ in range(1, rounds):
-        level = F.flatten(F.transform(level, lambda f: _detached(f, pos)))
+        level = f"flatten(transform({level}, f -> {_detached('f', pos)}))"
         found.append(level)
-    def marked(forms: Column, number: int) -> Column:
-        return F.transform(forms, lambda f, i: F.struct(
-            F.lit(pos).alias("pos"), F.lit(number).alias("round"), i.alias("place"), f.alias("form")
-        ))
-
-    return F.concat(*[marked(forms, number) for number, forms in enumerate(found)])
+    return [
+        f"transform({forms}, (form, i) -> "
+        f"named_struct('pos', '{pos}', 'round', {number}, 'place', i, 'form', form))"
+        for number, forms in enumerate(found)
+    ]
 
 
 def lemma_table(vocab: DataFrame, lexicon: DataFrame, rounds: int = ROUNDS) -> DataFrame:
@@ -65,8 +61,8 @@ def lemma_table(vocab: DataFrame, lexicon: DataFrame, rounds: int = ROUNDS) -> D
 
     One round is enough when the lexicon knows every token.
     """
-    both = F.concat(*[_candidates(F.col("token"), pos, rounds) for pos in RULES])
-    tries = vocab.select("token", F.inline(both))
+    every = ", ".join(c for pos in RULES for c in _candidates("token", pos, rounds))
+    tries = vocab.selectExpr("token", f"inline(concat({every}))")
     known = tries.join(lexicon.select("form", "pos", "lemma"), ["form", "pos"])
     # an irregular form replaces all rules: it is the token itself with another lemma
     irregular = (F.col("round") == 0) & (F.col("place") == 0) & (F.col("lemma") != F.col("token"))
@@ -96,33 +92,24 @@ def lemmatise(
     per_row = changed.groupBy(key).agg(
         F.collect_list(F.struct("token", "lemma")).alias("_changed")
     )
-    empty = F.array().cast("array<string>")
-    replaced = F.when(F.col("_changed").isNull(), F.col(tokens)).otherwise(_replaced(F.col(tokens), F.col("_changed")))
-    return df.join(per_row, key, "left").withColumn(out, F.coalesce(replaced, empty)).drop("_changed")
+    replaced = f"CASE WHEN _changed IS NULL THEN {tokens} ELSE {_replaced(tokens, '_changed')} END"
+    joined = df.join(per_row, key, "left")
+    return joined.withColumn(out, F.expr(f"coalesce({replaced}, array())")).drop("_changed")
 
 
-def _replaced(tokens: Column, changed: Column) -> Column:
-    """Tokens with those listed in ``changed`` replaced.
+def _replaced(tokens: str, changed: str) -> str:
+    """SQL: tokens with those listed in ``changed`` replaced.
 
     A map is searched from its start, so the changes are spread over about sqrt(n) small maps.
     """
-    parts = F.ceil(F.sqrt(F.size(changed))).cast("int")
-
-    def part_of(token: Column, number: Column) -> Column:
-        return F.pmod(F.xxhash64(token), number).cast("int")
-
-    maps = F.transform(
-        F.sequence(F.lit(0), parts - 1),
-        lambda p: F.map_from_entries(F.filter(changed, lambda e: part_of(e["token"], parts) == p)),
+    parts = f"CAST(ceil(sqrt(size({changed}))) AS INT)"
+    maps = (
+        f"transform(sequence(0, {parts} - 1), part -> "
+        f"map_from_entries(filter({changed}, e -> pmod(xxhash64(e.token), {parts}) = part)))"
     )
-
-    def lookup(table: Column) -> Column:
-        return F.transform(
-            tokens, lambda t: F.coalesce(F.try_element_at(F.get(table, part_of(t, F.size(table))), t), t)
-        )
-
+    lookup = "try_element_at(get(maps, CAST(pmod(xxhash64(t), size(maps)) AS INT)), t)"
     # transform over one element binds the maps to a name, so they are built once per row and not per token
-    return F.get(F.transform(F.array(maps), lookup), F.lit(0))
+    return f"get(transform(array({maps}), maps -> transform({tokens}, t -> coalesce({lookup}, t))), 0)"
 
 
 def lemmatised_tokens(df: DataFrame, lexicon: DataFrame | None = None, text: str = "Text", key: str = "Id") -> DataFrame:

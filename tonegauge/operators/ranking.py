@@ -4,7 +4,7 @@ The common idea: rows are first counted per distinct value, the value range is c
 bucket totals are summed in order, and only rows of one bucket are ever ordered together.
 """
 
-from collections.abc import Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -94,19 +94,27 @@ def exact_quantiles(
 
 
 def nth_keys(
-    df: DataFrame, group: str, hashed: str, tie: str, wanted: DataFrame, digits: int = 4
+    df: DataFrame, group: str, hashed: str, tie: str, wanted: Mapping[str, Callable[[Column], Column]],
+    digits: int = 4,
 ) -> DataFrame:
-    """For each row (group, name, n) of ``wanted``: the last key inside the first ``n`` rows in (hash, tie) order.
+    """The last key inside the first ``n`` rows of each group in (hash, tie) order, for several ``n`` at once.
 
-    Only the hash buckets that hold a wanted rank are ordered, a ``16 ** -digits`` part of the table each.
-    The result has at most one row per wanted row: group, name, cut_hash, cut_key.
+    ``wanted`` gives each ``n`` a name and derives it from the size of the group. Only the hash buckets that
+    hold a wanted rank are ordered, a ``16 ** -digits`` part of the table each. The result has at most one row
+    per group and name: group, name, cut_hash, cut_key.
     """
     bucket = F.substring(hashed, 1, digits).alias("_bucket")
     sizes = df.groupBy(group, bucket).agg(F.count(F.lit(1)).alias("_size"))
     upto = W.partitionBy(group).orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
-    placed = sizes.withColumn("_upto", F.sum("_size").over(upto))
+    placed = sizes.select(
+        "*", F.sum("_size").over(upto).alias("_upto"), F.sum("_size").over(W.partitionBy(group)).alias("_total")
+    )
+    ranks = F.array(*[
+        F.struct(F.lit(name).alias("name"), n(F.col("_total")).cast("bigint").alias("n"))
+        for name, n in wanted.items()
+    ])
     located = (
-        placed.join(F.broadcast(wanted), group)
+        placed.select("*", F.inline(ranks))
         .filter((F.col("n") > F.col("_upto") - F.col("_size")) & (F.col("n") <= F.col("_upto")))
         .select(group, "_bucket", "name", (F.col("n") - F.col("_upto") + F.col("_size")).alias("_left"))
     )

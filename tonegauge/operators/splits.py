@@ -19,20 +19,15 @@ def stratified_split(
     every class are found first, then each row is compared with them. Rows with the same key stay together.
     """
     rows = df.filter(F.col(column).isin(*values)).withColumn("_h", hashing.seeded_hash(F.col(key), seed))
-    counts = rows.groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    train, val = tenths
 
-    def tenth_part(tenth: int):
-        return F.floor(F.col("_n") * tenth / 10).cast("bigint")
+    def tenth_part(total, tenth: int):
+        return F.floor(total * tenth / 10)
 
-    train, val = tenths
-    wanted = counts.select(
-        column,
-        F.inline(F.array(
-            F.struct(F.lit("train").alias("name"), tenth_part(train).alias("n")),
-            F.struct(F.lit("val").alias("name"), (tenth_part(train) + tenth_part(val)).alias("n")),
-        )),
-    )
-    cuts = ranking.nth_keys(rows, column, "_h", key, wanted)
+    cuts = ranking.nth_keys(rows, column, "_h", key, {
+        "train": lambda total: tenth_part(total, train),
+        "val": lambda total: tenth_part(total, train) + tenth_part(total, val),
+    })
 
     def cut(name: str):
         picked = F.max(F.when(F.col("name") == name, F.struct("cut_hash", "cut_key")))
@@ -86,9 +81,7 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "Id", by: str | N
     group = by or "_all"
     if by is None:
         rows = rows.withColumn("_all", F.lit(0))
-    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-    wanted = counts.select(group, F.lit("cut").alias("name"), F.least("_n", F.lit(n)).alias("n"))
-    cuts = ranking.nth_keys(rows, group, "_h", key, wanted)
+    cuts = ranking.nth_keys(rows, group, "_h", key, {"cut": lambda total: F.least(total, F.lit(n))})
     place = F.struct(F.col("_h").alias("cut_hash"), F.col(key).alias("cut_key"))
     inside = rows.join(cuts, group).filter(place <= F.struct("cut_hash", "cut_key"))
     return inside.select(*df.columns)

@@ -6,6 +6,7 @@ from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
 from tonegauge.operators import calibration, cleaning, features, metrics, models, splits
+from tonegauge.plans import profile
 from tonegauge.plans import views_sql as v
 from tonegauge.sources import storage, views
 
@@ -92,15 +93,11 @@ def _labelled_docs(spark, folder):
 
 
 def _featured(spark, folder):
-    """Features of the labelled documents by split, written once so that every fit reads them from storage."""
-    rows = splits.stratified_split(_labelled_docs(spark, folder))
-    train = rows.filter(F.col("split") == "train")
-    model = features.fit_features(train, SETTINGS)
-    path = storage.shared_dir(spark, "features")
-    storage.save_features(
-        model.transform(rows).select("Id", "Sentiment", "label", "classWeight", "split", "features"), path
-    )
-    saved = storage.load_features(spark, path)
+    """Features of the labelled documents by split. Split and features are written once and read by every step."""
+    rows = storage.stored(splits.stratified_split(_labelled_docs(spark, folder)), "split")
+    model = features.fit_features(rows.filter(F.col("split") == "train"), SETTINGS)
+    wide = model.transform(rows).select("Id", "Sentiment", "label", "classWeight", "split", "features")
+    saved = storage.stored(wide, "features")
     return saved.filter(F.col("split") == "train"), saved.filter(F.col("split") != "train")
 
 
@@ -284,6 +281,8 @@ SQL = {
         FROM predictions GROUP BY ALL""",
     "m11_confidence": f"""WITH {v.PREDICTIONS} SELECT Id, round(greatest(p0, p1, p2), 6) AS max_prob,
         label = prediction AS correct FROM predictions""",
+    "m11_confidence_histogram": f"""WITH {v.PREDICTIONS}, c AS (SELECT greatest(p0, p1, p2) AS m,
+        label = prediction AS correct FROM predictions), {profile.histogram_sql('c', 'm', 'correct', 50, None)}""",
     "m12_roc": f"""WITH {v.PREDICTIONS}, {_SCORES}, t AS (SELECT score,
           sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp,
           sum(pos) OVER () AS p, sum(neg) OVER () AS q FROM scores)

@@ -171,7 +171,7 @@ def _text(name):
       max(n) AS freq FROM (SELECT {name} AS x, count(*) AS n FROM labelled WHERE {name} IS NOT NULL GROUP BY 1)"""
 
 
-def _histogram(source, value, by, bins, clip):
+def histogram_sql(source, value, by, bins, clip):
     group, keys = (f"{by},", f"GROUP BY {by}") if by else ("", "")
     part = f"PARTITION BY {by}" if by else ""
     cut = f"least({value}, quantile_cont({value}, {clip}) OVER ({part}))" if clip else value
@@ -236,12 +236,12 @@ SQL = {
     "e11_word_counts": f"WITH {_DOCS} SELECT Id, text_words, summary_words FROM docs",
     "e11_word_count_summary": f"""WITH {_DOCS} {_numeric('text_words', 'text_words', 'docs')}
         UNION ALL {_numeric('summary_words', 'summary_words', 'docs')}""",
-    "e12_word_histogram": f"WITH {_DOCS}, {_histogram('docs', 'text_words', 'Sentiment', 60, 0.99)}",
+    "e12_word_histogram": f"WITH {_DOCS}, {histogram_sql('docs', 'text_words', 'Sentiment', 60, 0.99)}",
     "e12_helpfulness_histogram": f"""WITH {v.LABELLED}, h AS (
         SELECT *, HelpfulnessNumerator / HelpfulnessDenominator AS ratio FROM labelled
-        WHERE HelpfulnessDenominator > 0), {_histogram('h', 'ratio', 'Sentiment', 50, None)}""",
+        WHERE HelpfulnessDenominator > 0), {histogram_sql('h', 'ratio', 'Sentiment', 50, None)}""",
     "e12_token_histogram": f"""WITH t AS ({text.SQL['t13_token_reduction']}),
-        {_histogram('t', 'filtered_count', None, 50, None)}""",
+        {histogram_sql('t', 'filtered_count', None, 50, None)}""",
     "e13_box_stats": f"WITH {_DOCS}, {_box('docs', 'least(text_words, 300)', 'Sentiment')}",
     "e13_box_stats_by_score": f"""WITH {_DOCS}, scored AS (SELECT * FROM docs WHERE Score IS NOT NULL),
         {_box('scored', 'text_len', 'Score')}""",
@@ -258,7 +258,7 @@ SQL = {
         SELECT count(*) FILTER (n = 1) AS users_with_one, count(*) FILTER (n > 10) AS users_over_ten,
         max(n) AS most_by_one FROM u""",
     "e17_user_histogram": f"""WITH {v.REVIEWS}, u AS (SELECT least(count(*), 20) AS n FROM reviews GROUP BY UserId),
-        {_histogram('u', 'n', None, 20, None)}""",
+        {histogram_sql('u', 'n', None, 20, None)}""",
     "e18_examples": f"""WITH {_DOCS} SELECT Id, Sentiment, Score, Summary, substr(Text, 1, 400) AS Text FROM docs
         WHERE Sentiment <> 'unknown'
         QUALIFY row_number() OVER (PARTITION BY Sentiment ORDER BY md5('42:' || Id), Id) = 1""",

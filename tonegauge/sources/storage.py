@@ -25,6 +25,14 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     return f"{base.rstrip('/')}/tonegauge/{purpose}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, purpose: str) -> DataFrame:
+    """The rows written to a new shared folder and read back: later readers do not compute them again, and
+    losing an executor loses nothing."""
+    path = shared_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def save_features(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
