@@ -1,2 +1,149 @@
-QUERIES = {}
-SQL = {}
+"""Streams and sinks run to the end of the given tables, then read back."""
+
+from datetime import datetime
+
+from pyspark.sql import functions as F
+
+from tonegauge.operators import dashboard, features, models
+from tonegauge.operators.sentiment_model import SentimentModel
+from tonegauge.plans import cleaning, views_sql as v
+from tonegauge.plans import dashboard as dashboard_plans
+from tonegauge.plans import models as model_plans
+from tonegauge.sources import reviews, storage, views
+from tonegauge.streaming import live, scoring
+
+ALL_NOW = {"availableNow": True}
+
+
+def _finished(stream, purpose):
+    """A stream written to a new folder until its source is used up."""
+    path = storage.shared_dir(stream.sparkSession, purpose)
+    query = (
+        stream.writeStream.format("parquet").option("path", path)
+        .option("checkpointLocation", storage.shared_dir(stream.sparkSession, "offsets"))
+        .trigger(**ALL_NOW).start()
+    )
+    query.awaitTermination()
+    return stream.sparkSession.read.schema(stream.schema).parquet(path)
+
+
+def _stream_predictions(spark, folder):
+    items = views.table_stream(spark, folder, "lineitem")
+    return views.predictions(spark, folder, items=items).withColumn("ProfileName", F.lit(None).cast("string"))
+
+
+def s6_publish(spark, folder):
+    """Messages written as JSON text and decoded again."""
+    path = storage.shared_dir(spark, "topic")
+    reviews.publish(cleaning.QUERIES["s4_messages"](spark, folder), path)
+    return reviews.decode(spark.read.text(path))
+
+
+def s7_message_stream(spark, folder):
+    """The same folder read as a stream from its first message on."""
+    path = storage.shared_dir(spark, "topic")
+    reviews.publish(cleaning.QUERIES["s4_messages"](spark, folder), path)
+    return _finished(reviews.decode(reviews.message_stream(spark, path)), "decoded")
+
+
+def s8_decode_stream(spark, folder):
+    events = views.table_stream(spark, folder, "events")
+    return _finished(reviews.decode(views.event_messages(spark, folder, events)), "decoded")
+
+
+def s9_prediction_sink(spark, folder):
+    """Two batches, the second written twice."""
+    pred = views.predictions(spark, folder).select("Id", "prediction", "PredictedSentiment", "Score")
+    path = storage.shared_dir(spark, "predictions")
+    late = pred.filter(F.col("Score") > 2)
+    scoring.write_predictions(pred.filter(F.col("Score") <= 2), 0, path)
+    scoring.write_predictions(late, 1, path)
+    scoring.write_predictions(late, 1, path)
+    return scoring.read_predictions(spark, path).select("Id", "PredictedSentiment", "batch_id")
+
+
+def s14_replace_table(spark, folder):
+    """A result table replaced by a newer one."""
+    pred = views.predictions(spark, folder)
+    path = storage.shared_dir(spark, "monthly")
+    storage.replace_table(dashboard.monthly_sentiment(pred.filter(F.col("Score") < 3)), path, datetime(2024, 1, 1))
+    storage.replace_table(dashboard.monthly_sentiment(pred), path, datetime(2024, 1, 2))
+    table = storage.read_table(spark, path)
+    return table.select(
+        F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month"), "sentiment",
+        "count", F.date_format("aggregated_at", "yyyy-MM-dd").alias("aggregated_at"),
+    )
+
+
+def s15_history(spark, folder):
+    """Scores of two runs appended to one history."""
+    pred = views.predictions(spark, folder)
+    path = storage.shared_dir(spark, "history")
+    for run, limit in enumerate([3, 6]):
+        status = dashboard.overall_stats(pred.filter(F.col("Score") < limit)).withColumn("run", F.lit(run))
+        storage.append_history(status, path)
+    return spark.read.parquet(path)
+
+
+def r1_scored_stream(spark, folder):
+    """Documents as messages, scored by a model fitted on the labelled ones."""
+    docs = model_plans._labelled_docs(spark, folder)
+    settings = features.FeatureSettings(num_features=1 << 10, lemmas=False, bigrams=False)
+    fitted = features.fit_features(docs, settings)
+    model = SentimentModel(fitted, models.train_lr(fitted.transform(docs), maxIter=10))
+    stream = views.table_stream(spark, folder, "documents").select(
+        F.to_json(F.struct(
+            F.col("doc_id").cast("string").alias("Id"), F.col("source").alias("ProductId"),
+            F.col("text").alias("Text"), F.lit("1325376000").alias("Time"),
+        )).alias("value")
+    )
+    path = storage.shared_dir(spark, "predictions")
+    scoring.start_scoring(stream, model, path, trigger=ALL_NOW).awaitTermination()
+    return scoring.read_predictions(spark, path).select("Id", "prediction", "PredictedSentiment", "ProcessingTime")
+
+
+def r4_live_monthly(spark, folder):
+    path = storage.shared_dir(spark, "monthly")
+    live.start_monthly(_stream_predictions(spark, folder), path, trigger=ALL_NOW).awaitTermination()
+    table = storage.read_table(spark, path)
+    return table.select(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month"),
+                        "sentiment", "count")
+
+
+def r4_live_stats(spark, folder):
+    path = storage.shared_dir(spark, "monthly")
+    live.start_monthly(_stream_predictions(spark, folder), path, trigger=ALL_NOW).awaitTermination()
+    return live.live_stats(spark, path)
+
+
+def r5_live_recent(spark, folder):
+    path = storage.shared_dir(spark, "recent")
+    live.start_recent(_stream_predictions(spark, folder), path, trigger=ALL_NOW).awaitTermination()
+    return storage.read_table(spark, path).select("Id", "ProductId", "Score", "PredictedSentiment", "Summary")
+
+
+QUERIES = {
+    name: run for name, run in globals().items()
+    if callable(run) and name[0] in "rs" and name[1:2].isdigit()
+}
+
+_MESSAGES = f"SELECT * REPLACE ('' AS Text) FROM ({cleaning.SQL['s4_messages']})"
+
+SQL = {
+    "s6_publish": _MESSAGES,
+    "s7_message_stream": _MESSAGES,
+    "s8_decode_stream": cleaning.SQL["s8_decode"],
+    "s9_prediction_sink": f"""WITH {v.PREDICTIONS} SELECT Id, PredictedSentiment,
+        CAST(CASE WHEN Score <= 2 THEN 0 ELSE 1 END AS BIGINT) AS batch_id FROM predictions""",
+    "s14_replace_table": f"""SELECT *, '2024-01-02' AS aggregated_at
+        FROM ({dashboard_plans.SQL['a3_monthly_sentiment']})""",
+    "s15_history": f"""WITH {v.PREDICTIONS}, r AS (SELECT unnest([0, 1]) AS run)
+        SELECT run, count(*) AS total, count(*) FILTER (prediction = 2) AS positive,
+          count(*) FILTER (prediction = 1) AS neutral, count(*) FILTER (prediction = 0) AS negative
+        FROM predictions JOIN r ON Score < 3 + 3 * run GROUP BY run""",
+    "r4_live_monthly": dashboard_plans.SQL["a3_monthly_sentiment"],
+    "r4_live_stats": f"""WITH {v.PREDICTIONS} SELECT positive + neutral + negative AS total, positive, neutral,
+        negative FROM (SELECT {v.counts('PredictedSentiment')} FROM predictions)""",
+    "r5_live_recent": f"""WITH {v.PREDICTIONS} SELECT Id, ProductId, Score, PredictedSentiment, Summary
+        FROM predictions ORDER BY Id DESC LIMIT 50""",
+}

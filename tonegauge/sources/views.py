@@ -13,9 +13,17 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def reviews(spark: SparkSession, folder: str, users: bool = False) -> DataFrame:
+def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
+    """The same table as a stream of its files."""
+    schema = table(spark, folder, name).schema
+    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(folder)
+
+
+def reviews(
+    spark: SparkSession, folder: str, users: bool = False, items: DataFrame | None = None
+) -> DataFrame:
     """One review per line item. The join to orders is made only when the user columns are wanted."""
-    items = table(spark, folder, "lineitem")
+    items = table(spark, folder, "lineitem") if items is None else items
     columns = [
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("Id"),
         F.concat(F.lit("P"), F.col("l_partkey")).alias("ProductId"),
@@ -43,10 +51,12 @@ def _weight(digit: Column, code: int) -> Column:
     return 1 + place + F.when(F.col("prediction") == code, 16).otherwise(0)
 
 
-def predictions(spark: SparkSession, folder: str, users: bool = False) -> DataFrame:
+def predictions(
+    spark: SparkSession, folder: str, users: bool = False, items: DataFrame | None = None
+) -> DataFrame:
     """Reviews with a label, a noisy prediction (one in four is wrong) and class probabilities."""
     hashed = (
-        reviews(spark, folder, users)
+        reviews(spark, folder, users, items)
         .withColumn("Sentiment", labels.sentiment(F.col("Score")))
         .withColumn("label", labels.label(F.col("Sentiment")))
         .withColumn("_h", F.md5(F.col("Id").cast("binary")))
