@@ -53,29 +53,21 @@ def live_trend(pred: DataFrame) -> DataFrame:
 
     Numbers are epoch seconds, text must be a full date and time; anything else is skipped.
     """
-    def as_date(name: str) -> Column:
+    def as_text(name: str) -> Column:
         if pred.schema[name].dataType.typeName() == "string":
-            return F.to_date(clock.parsed_date_time(F.col(name)))
-        return clock.event_date(F.col(name))
-
-    dates = []
-    if "ProcessingTime" in pred.columns:
-        # a filled ProcessingTime decides even when it cannot be parsed
-        filled = F.col("ProcessingTime").isNotNull()
-        if pred.schema["ProcessingTime"].dataType.typeName() == "string":
-            filled = filled & (F.col("ProcessingTime") != "")
-        dates.append((filled, as_date("ProcessingTime")))
-    date = as_date("Time")
-    for condition, chosen in dates:
-        date = F.when(condition, chosen).otherwise(date)
-    name = F.lower("PredictedSentiment")
-    dated = pred.select(date.alias("date"), name.alias("sentiment")).filter(
-        F.col("date").isNotNull() & F.col("sentiment").isin(*REPORTED)
+            return F.nullif(F.col(name), F.lit(""))
+        return clock.event_time(F.col(name))
+
+    # a filled ProcessingTime decides even when it cannot be parsed
+    moment = F.coalesce(*[as_text(c) for c in ["ProcessingTime", "Time"] if c in pred.columns])
+    date = clock.parsed_date(moment)
+    # rows without a date or a reported class drop out after grouping, so the date is worked out once per row
+    month = F.trunc(date, "month")
+    months = pred.groupBy(month.alias("_start")).agg(
+        *_class_counts(F.col("PredictedSentiment")), F.count(month).alias("_dated")
     )
-    months = dated.groupBy(F.year("date").alias("year"), F.month("date").alias("month")).agg(
-        *_class_counts(F.col("sentiment"))
-    )
-    return _with_label(months)
+    kept = months.filter((F.col("_dated") > 0) & (F.col("positive") + F.col("neutral") + F.col("negative") > 0))
+    return _with_label(kept.select(F.year("_start").alias("year"), F.month("_start").alias("month"), *REPORTED))
 
 
 def trend_from_monthly(monthly: DataFrame) -> DataFrame:
@@ -89,7 +81,9 @@ def trend_from_monthly(monthly: DataFrame) -> DataFrame:
 
 def _with_label(months: DataFrame) -> DataFrame:
     start = clock.month_start(F.col("year"), F.col("month"))
-    return months.withColumn("label", clock.month_label(start)).orderBy("year", "month")
+    named = months.withColumn("label", clock.month_label(start))
+    # one row per calendar month: a sort in one task, where a global sort would first sample its whole input
+    return named.repartition(1).sortWithinPartitions("year", "month")
 
 
 def product_scoring(pred: DataFrame) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from tonegauge.functions import clock
+from tonegauge.functions import labels
 from tonegauge.operators import cleaning, delivery, drift
 from tonegauge.operators import dashboard as ops
 from tonegauge.plans import views_sql as v
@@ -17,12 +17,13 @@ def _flat(scoring):
 
 def _mixed_case(spark, folder):
     """Predictions whose class names differ in case, with some unknown ones."""
-    name = (
-        F.when(F.col("Score") == 5, F.initcap("PredictedSentiment"))
-        .when((F.col("Score") == 1) & (F.col("HelpfulnessDenominator") == 0), F.lit("unknown"))
-        .otherwise(F.col("PredictedSentiment"))
+    names = [*labels.SENTIMENTS, *[n.capitalize() for n in labels.SENTIMENTS]]
+    place = F.col("prediction").cast("int") + F.when(F.col("Score") == 5, 3).otherwise(0)
+    unknown = (F.col("Score") == 1) & (F.col("HelpfulnessDenominator") == 0)
+    named = F.get(F.array(*[F.lit(n) for n in names]), F.when(~unknown, place))
+    return views.predictions(spark, folder).withColumn(
+        "PredictedSentiment", F.coalesce(named, F.lit(labels.UNKNOWN))
     )
-    return views.predictions(spark, folder).withColumn("PredictedSentiment", name)
 
 
 def a1_overall_stats(spark, folder):
@@ -47,12 +48,13 @@ def _trend(df):
 def a4_live_trend(spark, folder):
     """Moments written in three ways, some not dates, some only as a number in Time."""
     rows = _mixed_case(spark, folder)
-    moment = F.col("ProcessingTime")
+    kind = F.col("HelpfulnessDenominator")
+    written = F.concat(
+        F.replace(F.col("ProcessingTime"), F.lit(" "), F.when(kind == 0, "T").otherwise(" ")),
+        F.when(kind == 0, "Z").otherwise(""),
+    )
     shapes = (
-        F.when(F.col("HelpfulnessDenominator") == 0, F.concat(F.translate(moment, " ", "T"), F.lit("Z")))
-        .when(F.col("HelpfulnessDenominator") == 1, F.lit(""))
-        .when((F.col("HelpfulnessDenominator") == 2) & (F.col("Score") == 3), F.lit("last week"))
-        .otherwise(moment)
+        F.when(kind == 1, F.lit("")).when((kind == 2) & (F.col("Score") == 3), F.lit("last week")).otherwise(written)
     )
     return _trend(ops.live_trend(rows.withColumn("ProcessingTime", shapes)))
 

@@ -13,6 +13,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """A scan of fewer pieces than there are cores dealt out to all of them; larger scans stay as they are.
+
+    Used for texts, where the work per row is far larger than moving the row.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The same table as a stream of its files."""
     schema = table(spark, folder, name).schema
@@ -64,7 +73,7 @@ def predictions(
     right = F.substring("_h", 1, 1) < "c"
     scored = hashed.withColumn(
         "prediction",
-        F.when(right, F.col("label")).otherwise((F.col("label") + 1) % 3).cast("double"),
+        ((F.col("label") + F.when(right, 0).otherwise(1)) % 3).cast("double"),
     )
     weights = F.array(*[_weight(F.substring("_h", 2 + k, 1), k) for k in range(3)])
     return (
@@ -80,7 +89,7 @@ def predictions(
 
 def doc_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as reviews; the score comes from the quality and toxicity marks, null where unmarked."""
-    docs = table(spark, folder, "documents")
+    docs = spread(table(spark, folder, "documents"))
     marks = table(spark, folder, "labels")
     score = (
         F.when(F.col("toxic") == 1, 1)
@@ -100,8 +109,8 @@ def doc_reviews(spark: SparkSession, folder: str) -> DataFrame:
 
 def doc_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Id and whole text of every document; no join."""
-    docs = table(spark, folder, "documents")
-    return docs.select(F.col("doc_id").cast("string").alias("Id"), F.col("text").alias("Text"))
+    docs = table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("Id"), F.col("text").alias("Text"))
+    return spread(docs)
 
 
 def event_messages(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:
