@@ -91,11 +91,11 @@ def missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
 def duplicates(df: DataFrame, text: str = "Text") -> DataFrame:
     """Copies beyond the first, of whole rows and of the text, number and percentage. Nulls equal each other."""
     def extra(kind: str, keys: Sequence[str]) -> DataFrame:
-        groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+        groups = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
         return groups.agg(
             F.lit(kind).alias("kind"),
-            F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("bigint").alias("extra"),
-            F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("_total"),
+            F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("extra"),
+            F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("_total"),
         )
 
     both = extra("row", df.columns).unionByName(extra("text", [text]))
