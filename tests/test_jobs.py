@@ -67,7 +67,8 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, trained, review_f
     batch = model.predictions(reviews.decode(reviews.as_json(rows)))
     assert pred.select("Id", "prediction", "Text").exceptAll(batch.select("Id", "prediction", "Text")).count() == 0
     scoring.write_predictions(batch.filter("CAST(Id AS INT) >= 200"), 1, stored)
-    assert scoring.read_predictions(spark, stored).count() == 300
+    pred = scoring.read_predictions(spark, stored)
+    assert pred.count() == 300
     assert model.thresholds is not None and "prediction" in model.predict(rows.limit(5), calibrated=True).columns
 
     results = str(tmp_path / "results")

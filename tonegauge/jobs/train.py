@@ -27,7 +27,8 @@ def run(spark: SparkSession, output: str, tune: bool = False, now: datetime | No
     fitted = features.FeatureModel.load(spark, f"{output}/model/features")
     val = classifier.transform(rows.filter(F.col("split") == "val"))
     best = calibration.calibrate(val).first()
-    SentimentModel(fitted, classifier, [best.t0, best.t1, best.t2]).save(spark, f"{output}/model")
+    model = SentimentModel(fitted, classifier, [best.t0, best.t1, best.t2])
+    model.save(spark, f"{output}/model", with_features=False)
     models.training_history(spark, classifier).coalesce(1).write.mode("overwrite").parquet(f"{output}/history")
     meta = models.training_metadata(
         classifier, fitted.settings.num_features, now or datetime.now(timezone.utc)

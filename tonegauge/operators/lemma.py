@@ -84,13 +84,13 @@ def lemmatise(
 ) -> DataFrame:
     """Replaces tokens by their lemma, order and repeats kept; a null array gives an empty one.
 
-    Only distinct tokens that change travel: they are looked up, gathered per row (at most as many as the row
-    has tokens) and put in place inside the row. ``key`` must be unique.
+    Only distinct tokens that change travel: they are looked up, gathered per row (a set, at most as many as the row
+    has tokens) and put in place inside the row. Rows that share a key share its set, which does no harm.
     """
     distinct = df.select(key, F.explode(F.array_distinct(F.col(tokens))).alias("token"))
     changed = salted_lookup(distinct, lemmas, "token", key)
     per_row = changed.groupBy(key).agg(
-        F.collect_list(F.struct("token", "lemma")).alias("_changed")
+        F.collect_set(F.struct("token", "lemma")).alias("_changed")
     )
     replaced = f"CASE WHEN _changed IS NULL THEN {tokens} ELSE {_replaced(tokens, '_changed')} END"
     joined = df.join(per_row, key, "left")
