@@ -171,16 +171,17 @@ def histogram(
 ) -> DataFrame:
     """Equal-width bins per group between the smallest and largest value: bin, from, to, count, density.
 
-    ``clip`` first cuts values at that quantile of their group. The last bin includes its upper end.
+    ``clip`` first cuts values at that quantile of their group. The last bin includes its upper end. The groups
+    should be few (classes, scores): one row per group is broadcast.
     """
     by = list(by)
     keys = by or ["_all"]
     counts = ranking.value_counts(df, value, by)
     if not by:
-        counts = counts.withColumn("_all", F.lit(0))
+        counts = ranking.with_one_group(counts)
     if clip is not None:
         top = ranking.quantiles_of_counts(counts, [clip], keys).select(*keys, F.col("q").alias("_top"))
-        counts = counts.join(top, keys).withColumn("value", F.least("value", "_top"))
+        counts = counts.join(F.broadcast(top), keys).withColumn("value", F.least("value", "_top"))
     ranges = counts.groupBy(*keys).agg(
         F.min("value").alias("_lo"), F.max("value").alias("_hi"), F.sum("n").alias("_total")
     )
@@ -193,7 +194,7 @@ def histogram(
     )
     width = (F.col("_hi") - F.col("_lo")) / bins
     place = F.least(F.floor((F.col("value") - F.col("_lo")) / width), F.lit(bins - 1)).cast("bigint")
-    binned = counts.join(ranges, keys).groupBy(*keys, place.alias("bin"), "_lo", "_hi", "_total").agg(
+    binned = counts.join(F.broadcast(ranges), keys).groupBy(*keys, place.alias("bin"), "_lo", "_hi", "_total").agg(
         F.sum("n").alias("count")
     )
     return binned.select(
@@ -215,7 +216,7 @@ def box_stats(df: DataFrame, value: Column, by: Sequence[str], cap: float | None
     )
     reach = 1.5 * (F.col("q75") - F.col("q25"))
     inside = F.col("value").between(F.col("q25") - reach, F.col("q75") + reach)
-    return counts.join(quartiles, by).groupBy(*by, "q25", "q50", "q75").agg(
+    return counts.join(F.broadcast(quartiles), by).groupBy(*by, "q25", "q50", "q75").agg(
         F.min(F.when(inside, F.col("value"))).alias("low_whisker"),
         F.max(F.when(inside, F.col("value"))).alias("high_whisker"),
         F.coalesce(F.sum(F.when(~inside, F.col("n"))), F.lit(0)).cast("bigint").alias("outliers"),

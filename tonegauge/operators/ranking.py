@@ -29,7 +29,8 @@ def running_totals(
         "*", *[F.coalesce(F.sum(m).over(inside), F.lit(0)).alias(f"_{m}_local") for m in measures]
     )
     same = [F.col(f"l.{c}").eqNullSafe(F.col(f"s.{c}")) for c in [*by, bucket]]
-    joined = local.alias("l").join(starts.alias("s"), same)
+    # as many rows as there are buckets
+    joined = local.alias("l").join(F.broadcast(starts).alias("s"), same)
     return joined.select(
         *[F.col(f"l.{c}") for c in df.columns],
         *[(F.col(f"_{m}_start") + F.col(f"_{m}_local")).alias(f"{m}_before") for m in measures],
@@ -42,24 +43,30 @@ def value_counts(df: DataFrame, value: Column, by: Sequence[str] = ()) -> DataFr
     return present.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
+def with_one_group(counts: DataFrame) -> DataFrame:
+    """Adds ``_all``, the same for every row. It is computed, because joins on a literal become nested loops."""
+    return counts.withColumn("_all", F.col("n") > 0)
+
+
 def quantiles_of_counts(
     counts: DataFrame, probabilities: Sequence[float], by: Sequence[str] = (), buckets: int = 4096
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group and probability, from value counts.
 
+    Meant for a few groups (classes, scores, column names): their ranges are broadcast.
+
     Ranks are located in three narrow steps: group sizes and ranges, totals per equal-width bucket, and the
     values of the buckets that hold a wanted rank.
     """
     by = list(by)
-    # an all-rows group gets a constant key so that both forms share one plan
     keys = by or ["_all"]
     if not by:
-        counts = counts.withColumn("_all", F.lit(0))
+        counts = with_one_group(counts)
     groups = counts.groupBy(*keys).agg(
         F.sum("n").alias("_total"), F.min("value").alias("_lo"), F.max("value").alias("_hi")
     )
     # nulls in the key must meet each other
-    left, right = counts.alias("c"), groups.alias("g")
+    left, right = counts.alias("c"), F.broadcast(groups).alias("g")
     same = [F.col(f"c.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys]
     span = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
     place = F.coalesce(F.floor((F.col("value") - F.col("_lo")) / span * buckets), F.lit(0)).cast("bigint")

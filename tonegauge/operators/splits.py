@@ -80,10 +80,12 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "Id", by: str | N
     rows = df.withColumn("_h", hashing.seeded_hash(F.col(key), seed))
     group = by or "_all"
     if by is None:
-        rows = rows.withColumn("_all", F.lit(0))
+        # the same for every row, yet not a literal: joins on a literal become nested loops
+        rows = rows.withColumn("_all", F.length("_h"))
     cuts = ranking.nth_keys(rows, group, "_h", key, {"cut": lambda total: F.least(total, F.lit(n))})
     place = F.struct(F.col("_h").alias("cut_hash"), F.col(key).alias("cut_key"))
-    inside = rows.join(cuts, group).filter(place <= F.struct("cut_hash", "cut_key"))
+    # one row, or one per value of ``by``
+    inside = rows.join(F.broadcast(cuts), group).filter(place <= F.struct("cut_hash", "cut_key"))
     return inside.select(*df.columns)
 
 

@@ -315,7 +315,8 @@ SQL = {
         WHERE ProductId = 'P17'""",
     "r7_delivery_check": f"""WITH {v.PREDICTIONS}, sent AS (SELECT Id, CASE WHEN Score < 3 THEN 'negative'
         WHEN Score = 3 THEN 'neutral' ELSE 'positive' END AS expected FROM reviews),
-        stored AS (SELECT Id, PredictedSentiment FROM predictions WHERE h < 'e')
+        stored AS (SELECT Id, arg_max(PredictedSentiment, (batch_id, PredictedSentiment)) AS PredictedSentiment
+          FROM predictions WHERE h < 'e' GROUP BY Id)
         SELECT sent.Id, expected, coalesce(PredictedSentiment, 'not_found') AS predicted,
           PredictedSentiment IS NOT NULL AS found, coalesce(PredictedSentiment = expected, false) AS agrees
         FROM sent LEFT JOIN stored USING (Id)""",
