@@ -23,11 +23,10 @@ def run(
     rows = storage.load_features(spark, f"{output}/rows")
     storage.save_splits(rows, f"{output}/splits")
     train = rows.filter(F.col("split") == "train")
-    features.fit_features(train, settings, lexicon).save(spark, f"{output}/model/features")
-    model = features.FeatureModel.load(spark, f"{output}/model/features")
     weighted = cleaning.balanced_weights(rows, by=train) if balanced else cleaning.fixed_weights(rows)
-    wide = model.transform(weighted).select(*KEPT)
-    wide.write.mode("overwrite").partitionBy("split").parquet(f"{output}/features")
+    model, wide = features.fit_and_transform(weighted, settings, lexicon)
+    model.save(spark, f"{output}/model/features")
+    wide.select(*KEPT).write.mode("overwrite").partitionBy("split").parquet(f"{output}/features")
 
 
 def main(argv=None) -> None:

@@ -90,24 +90,45 @@ def _tokens(df: DataFrame, settings: FeatureSettings, lexicon: DataFrame | None,
     return rows.withColumnRenamed("_lemmas", "tokens")
 
 
-def fit_features(
-    train: DataFrame, settings: FeatureSettings | None = None, lexicon: DataFrame | None = None, key: str = "Id",
-    idf: bool = True,
-) -> FeatureModel:
-    """Fits on the training rows only. Without a lexicon the words of the training rows are one."""
+def _unweighted(train: DataFrame, settings: FeatureSettings | None, lexicon: DataFrame | None) -> FeatureModel:
     settings = settings or FeatureSettings()
     if settings.lemmas and lexicon is None:
         own = lemma.corpus_lexicon(train.select(_words(train, settings).alias("words")), "words")
         lexicon = storage.stored(own, "lexicon")
     hashing = HashingTF(inputCol="tokens", outputCol="raw_features", numFeatures=settings.num_features)
-    model = FeatureModel(settings, lexicon if settings.lemmas else None, hashing, None)
+    return FeatureModel(settings, lexicon if settings.lemmas else None, hashing, None)
+
+
+def _fit_weights(model: FeatureModel, tokens: DataFrame) -> None:
+    stage = IDF(inputCol="raw_features", outputCol="features", minDocFreq=model.settings.min_doc_freq)
+    model.weights = stage.fit(model.hashing.transform(tokens).select("raw_features"))
+
+
+def fit_features(
+    train: DataFrame, settings: FeatureSettings | None = None, lexicon: DataFrame | None = None, key: str = "Id",
+    idf: bool = True,
+) -> FeatureModel:
+    """Fits on the training rows only. Without a lexicon the words of the training rows are one."""
+    model = _unweighted(train, settings, lexicon)
     if idf:
-        counted = hashing.transform(model.tokens(train, key)).select("raw_features")
-        stage = IDF(inputCol="raw_features", outputCol="features", minDocFreq=settings.min_doc_freq)
-        model.weights = stage.fit(counted)
+        _fit_weights(model, model.tokens(train, key))
     return model
 
 
+def fit_and_transform(
+    rows: DataFrame, settings: FeatureSettings | None = None, lexicon: DataFrame | None = None, key: str = "Id"
+) -> tuple[FeatureModel, DataFrame]:
+    """Fits on the rows whose ``split`` is train and gives the features of all rows.
+
+    The tokens of every row are worked out once and written; the fit and the features both read them.
+    """
+    train = F.col("split") == "train"
+    model = _unweighted(rows.filter(train), settings, lexicon)
+    tokens = storage.stored(model.tokens(rows, key), "tokens")
+    _fit_weights(model, tokens.filter(train).select("tokens"))
+    return model, model.weights.transform(model.hashing.transform(tokens)).drop("tokens", "raw_features")
+
+
 def nonzero_summary(features: DataFrame) -> DataFrame:
     """Smallest, mean and largest number of non-zero features."""
     from pyspark.ml.functions import vector_to_array

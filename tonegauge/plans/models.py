@@ -95,9 +95,8 @@ def _labelled_docs(spark, folder):
 def _featured(spark, folder):
     """Features of the labelled documents by split. Split and features are written once and read by every step."""
     rows = storage.stored(splits.stratified_split(_labelled_docs(spark, folder)), "split")
-    model = features.fit_features(rows.filter(F.col("split") == "train"), SETTINGS)
-    wide = model.transform(rows).select("Id", "Sentiment", "label", "classWeight", "split", "features")
-    saved = storage.stored(wide, "features")
+    _, wide = features.fit_and_transform(rows, SETTINGS)
+    saved = storage.stored(wide.select("Id", "Sentiment", "label", "classWeight", "split", "features"), "features")
     return saved.filter(F.col("split") == "train"), saved.filter(F.col("split") != "train")
 
 
