@@ -144,7 +144,9 @@ def judged(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None)
     for rule in order(rows, rules, text):
         condition = F.coalesce(rule.rejects(filled), F.lit(False))
         cascade = F.when(condition, False) if cascade is None else cascade.when(condition, False)
-    return rows.withColumn("kept", cascade.otherwise(True) if cascade is not None else F.lit(True))
+    verdict = cascade.otherwise(True) if cascade is not None else F.lit(True)
+    # a row number keeps filters on the verdict above this step: pushed below it, they would repeat every measure for each use
+    return rows.withColumn("kept", verdict & (F.monotonically_increasing_id() >= 0))
 
 
 def passing(docs: DataFrame, text: str = "text", rules: list[Rule] | None = None) -> DataFrame:

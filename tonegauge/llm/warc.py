@@ -251,12 +251,12 @@ def catalogue(found: DataFrame) -> DataFrame:
         "page_id", "record_type", "refers_to", F.octet_length("payload").cast("bigint").alias("own_bytes"),
         F.when(F.col("payload").isNotNull(), F.sha2("payload", 256)).alias("own_digest"),
     ))
-    asked = found.select("refers_to").filter("refers_to is not null").distinct()
-    named = found.filter(F.col("record_type") == "response").join(asked, F.col("page_id") == asked["refers_to"], "left_semi")
-    named = named.groupBy(F.col("page_id").alias("to")).agg(F.min("own_bytes").alias("b"), F.min("own_digest").alias("d"))
+    asked = found.filter("refers_to is not null").select(F.col("refers_to").alias("to")).distinct()
+    answers = found.filter(F.col("record_type") == "response").select(F.col("page_id").alias("to"), "own_bytes", "own_digest")
+    named = answers.join(asked, "to", "left_semi").groupBy("to").agg(F.min("own_bytes").alias("b"), F.min("own_digest").alias("d"))
     salted = named.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    own = found.withColumn("_salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
-    joined = own.join(salted, (own["refers_to"] == salted["to"]) & (own["_salt"] == salted["_salt"]), "left")
+    own = found.withColumn("_salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).withColumn("to", F.col("refers_to"))
+    joined = own.join(salted, ["to", "_salt"], "left")
     return joined.select(
         "page_id", F.coalesce("own_bytes", "b").alias("payload_bytes"), F.coalesce("own_digest", "d").alias("payload_digest"),
         "record_type", "refers_to",
