@@ -5,9 +5,10 @@ prior * R(positive as 1) + max(0, R(unlabelled as 0) - prior * R(positive as 0))
 step goes against it, so the classifier cannot explain the unlabelled texts away. ``prior`` is the share of toxic texts.
 
 A text is the set of its words: bytes, A-Z lower-cased, marks at the ends taken off, hashed to 32 bits. The learning rows are a
-bounded sample by a hash of the id (``positives`` and ``unlabelled`` rows at most, documented parameters), dealt to ``shards``
-groups; one task trains a logistic classifier on each group in numpy, and the groups' weights are averaged. Only words that
-occur in several positive texts of a shard get a weight, so the model is bounded by the sample. All rows are scored.
+bounded sample by a hash of the id (``positives`` and ``unlabelled`` rows at most, documented parameters), dealt to ``folds``
+folds. One task per fold trains a linear classifier in numpy on the other folds, and sets its bias on its own; the
+classifiers are averaged. Only words that occur in several positive texts get a weight, so the model is bounded by the
+sample. All rows are scored.
 
 Defined results: null and empty texts have no word and get the score of the bias; rows are independent and copies score
 alike; without a positive row every score is 0; an empty table gives no row; input columns (without the text) are kept, result
@@ -24,9 +25,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-POSITIVES, UNLABELLED, SHARDS = 12_000, 24_000, 4
+POSITIVES, UNLABELLED, FOLDS = 8_000, 16_000, 5
 MARKS = b".,;:!?\"'()*#$%&|<>-"
-#: Positive texts of a shard that a word must occur in.
+#: Positive learning texts that a word must occur in.
 LEAST = 3
 EPOCHS, RATE, BIAS_RATE, DECAY = 150, 20.0, 0.5, 1e-4
 #: Score from which a text counts as toxic.
@@ -60,18 +61,18 @@ class Features:
         return np.bincount(self.cols, per_row[self.rows], self.width)
 
 
-def train(positive: list, unlabelled: list, prior: float) -> tuple[np.ndarray, np.ndarray, float]:
-    """Word keys, their weights and the bias. The bias is moved so that of the texts that a classifier has not seen a share of
-    ``prior`` gets a score of CUT or more: two classifiers, each from half of the rows, tell how far."""
+def train(positive: list, unlabelled: list, held: list, prior: float) -> tuple[np.ndarray, np.ndarray, float]:
+    """Word keys, their weights and the bias. The bias is moved so that of ``held``, unlabelled texts that the classifier has
+    not seen, a share of ``prior`` at most gets a score of CUT or more."""
     keys, weights, bias = descend(positive, unlabelled, prior)
-    if min(len(positive), len(unlabelled)) < 4:
-        return keys, weights, bias
-    moves = []
-    for own, other in ((0, 1), (1, 0)):
-        k, w, b = descend(positive[own::2], unlabelled[own::2], prior)
-        margins = Features(unlabelled[other::2], k).times(w) + b
-        moves.append(math.log(CUT / (1 - CUT)) - float(np.quantile(margins, 1 - prior)))
-    return keys, weights, bias + sum(moves) / 2
+    if held:
+        margins = Features(held, keys).times(weights) + bias
+        # the lowest margin that no larger share reaches: texts that tie below it stay out together
+        reached, n = np.unique(margins, return_counts=True)
+        share = np.cumsum(n[::-1])[::-1] / len(margins)
+        lowest = reached[min(int(np.searchsorted(-share, -prior)), len(reached) - 1)]
+        bias += math.log(CUT / (1 - CUT)) - float(lowest)
+    return keys, weights, bias
 
 
 def descend(positive: list, unlabelled: list, prior: float) -> tuple[np.ndarray, np.ndarray, float]:
@@ -97,25 +98,30 @@ def descend(positive: list, unlabelled: list, prior: float) -> tuple[np.ndarray,
     return keys, weights * lift, bias
 
 
-def examples(docs: DataFrame, id: str, text: str, positive: Column, positives: int, unlabelled: int, shards: int) -> DataFrame:
-    """(shard, positive, words) of the learning rows: the first by a hash of id and text, dealt out to the shards."""
+def examples(docs: DataFrame, id: str, text: str, positive: Column, positives: int, unlabelled: int, folds: int) -> DataFrame:
+    """(fold, own, positive, words) of the learning rows: the first by a hash of id and text. Every fold gets all of them; its own
+    share is marked."""
     hashed = docs.select(
         F.col(text).cast("binary").alias("_text"), F.coalesce(positive, F.lit(False)).alias("positive"),
         F.xxhash64(F.lit(6), F.col(id).cast("string"), F.col(text)).alias("_order"),
     )
     parts = [hashed.filter("positive").orderBy("_order").limit(positives), hashed.withColumn("positive", F.lit(False)).orderBy("_order").limit(unlabelled)]
-    rows = parts[0].unionAll(parts[1]).withColumn("shard", F.pmod("_order", F.lit(shards)).cast("int")).select("shard", "positive", "_text")
+    rows = parts[0].unionAll(parts[1]).select(F.pmod("_order", F.lit(folds)).cast("int").alias("home"), "positive", "_text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             words = [np.fromiter(word_keys(x.as_py() or b""), np.int64) for x in batch.column("_text")]
-            yield pa.RecordBatch.from_arrays([batch.column("shard"), batch.column("positive"), pa.array(words, pa.list_(pa.int64()))], ["shard", "positive", "words"])
+            yield pa.RecordBatch.from_arrays([batch.column("home"), batch.column("positive"), pa.array(words, pa.list_(pa.int64()))], ["home", "positive", "words"])
 
-    return rows.repartition(shards).mapInArrow(work, "shard int, positive boolean, words array<bigint>")
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    words = rows.repartition(parts).mapInArrow(work, "home int, positive boolean, words array<bigint>")
+    return words.select(
+        F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"), "home", "positive", "words"
+    ).select("fold", (F.col("fold") == F.col("home")).alias("own"), "positive", "words")
 
 
 class Model:
-    """The mean of the shards' classifiers."""
+    """The mean of the folds' classifiers."""
 
     def __init__(self, fitted: list):
         self.weights: dict[int, float] = {}
@@ -132,22 +138,23 @@ class Model:
 
 def fit(
     docs: DataFrame, positive: Column, prior: float, id: str = "doc_id", text: str = "text",
-    positives: int = POSITIVES, unlabelled: int = UNLABELLED, shards: int = SHARDS,
+    positives: int = POSITIVES, unlabelled: int = UNLABELLED, folds: int = FOLDS,
 ) -> Model:
     """``docs``: the rows to learn from; ``positive`` marks the confirmed toxic ones, all others are unlabelled."""
 
     def learn(table: pa.Table) -> pa.Table:
-        flags = table.column("positive").to_numpy()
         words = [np.asarray(x.values) for x in table.column("words")]
-        toxic = [w for w, y in zip(words, flags, strict=True) if y]
-        others = [w for w, y in zip(words, flags, strict=True) if not y]
+        kinds = list(zip(words, table.column("positive").to_pylist(), table.column("own").to_pylist(), strict=True))
+        toxic = [w for w, y, own in kinds if y and not own]
+        others = [w for w, y, own in kinds if not y and not own]
+        held = [w for w, y, own in kinds if not y and own]
         if not toxic or not others:
             return pa.table({"keys": pa.array([], pa.binary()), "weights": pa.array([], pa.binary()), "bias": pa.array([], pa.float64())})
-        keys, weights, bias = train(toxic, others, prior)
+        keys, weights, bias = train(toxic, others, held, prior)
         return pa.table({"keys": pa.array([keys.tobytes()], pa.binary()), "weights": pa.array([weights.tobytes()], pa.binary()), "bias": [bias]})
 
-    rows = examples(docs, id, text, positive, positives, unlabelled, shards)
-    fitted = rows.groupBy("shard").applyInArrow(learn, "keys binary, weights binary, bias double")
+    rows = examples(docs, id, text, positive, positives, unlabelled, folds)
+    fitted = rows.groupBy("fold").applyInArrow(learn, "keys binary, weights binary, bias double")
     return Model(sorted(fitted.collect(), key=lambda r: r.bias))
 
 
