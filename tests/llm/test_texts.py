@@ -45,8 +45,8 @@ def test_words_get_the_best_path_and_decode():
         assert vocabulary.decode(b"".join(codes[w] for w in vocabulary.words(text))) == text
 
 
-def test_like_the_library_with_the_same_scores(odd):
-    """The library runs its own Viterbi when the model is marked as a unigram model."""
+def test_never_below_the_library_with_the_same_scores():
+    """The library runs its own search when the model is marked as a unigram model; it works in 32-bit floats."""
     import sentencepiece
     from sentencepiece import sentencepiece_model_pb2
 
@@ -61,7 +61,7 @@ def test_like_the_library_with_the_same_scores(odd):
     codes = vocabulary.encode(words)
     got = [i for w in words for i in memoryview(codes[w]).cast("I")]
     score = lambda ids: sum(vocabulary.scores[vocabulary.spelled[i].decode().replace(" ", pieces.MARK)] for i in ids)
-    assert score(got) == score(library.encode(text))
+    assert score(got) >= score(library.encode(text))
 
 
 def test_encode_and_decode_rows(odd, none):
