@@ -134,10 +134,11 @@ def tune_lr(features: DataFrame, grid: Mapping[str, list] = SEARCH, seed: int =
         estimator=estimator, estimatorParamMaps=maps, trainRatio=0.8, seed=seed, parallelism=parallelism,
         evaluator=MulticlassClassificationEvaluator(metricName="f1"),
     ).fit(features)
-    best = max(search.validationMetrics)
+    # of tied combinations the search fits the first
+    best = search.validationMetrics.index(max(search.validationMetrics))
     rows = [
-        (*[float(m[getattr(estimator, name)]) for name in grid], float(f1), f1 == best)
-        for m, f1 in zip(maps, search.validationMetrics)
+        (*[float(m[getattr(estimator, name)]) for name in grid], float(f1), place == best)
+        for place, (m, f1) in enumerate(zip(maps, search.validationMetrics))
     ]
     columns = ", ".join(f"{name} double" for name in grid)
     table = features.sparkSession.createDataFrame(rows, f"{columns}, f1 double, best boolean")

@@ -38,8 +38,8 @@ def running_totals(
 
 
 def value_counts(df: DataFrame, value: Column, by: Sequence[str] = ()) -> DataFrame:
-    """Rows per distinct non-null value and group, as ``value`` and ``n``."""
-    present = df.select(*by, value.cast("double").alias("value")).filter(F.col("value").isNotNull())
+    """Rows per distinct value and group, as ``value`` and ``n``; null and NaN are left out."""
+    present = df.select(*by, value.cast("double").alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
     return present.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
 
 
@@ -126,9 +126,11 @@ def nth_keys(
         .select(group, "_bucket", "name", (F.col("n") - F.col("_upto") + F.col("_size")).alias("_left"))
     )
     # copies of a key are one counted row, so a key that fills the bucket stays small
+    rows, wanted_buckets = df.select(group, hashed, tie, bucket).alias("r"), F.broadcast(located).alias("l")
+    # a null group is a group
+    same = F.col(f"r.{group}").eqNullSafe(F.col(f"l.{group}")) & (F.col("r._bucket") == F.col("l._bucket"))
     keys = (
-        df.select(group, hashed, tie, bucket)
-        .join(F.broadcast(located), [group, "_bucket"])
+        rows.join(wanted_buckets, same).select("r.*", "name", "_left")
         .groupBy(group, "name", "_left", F.col(hashed).alias("cut_hash"), F.col(tie).alias("cut_key"))
         .agg(F.count(F.lit(1)).alias("_copies"))
     )

@@ -3,6 +3,7 @@
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tonegauge.functions import hashing, labels
@@ -72,10 +73,10 @@ def sample(df: DataFrame, fraction: float, seed: int = 42, key: str = "Id") -> D
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "Id", by: str | None = None) -> DataFrame:
-    """A sample of ``n`` rows, or ``n`` per value of ``by`` (a column with few values).
+    """A sample of ``n`` rows, or ``n`` per value of ``by`` (a column with few values, null being one of them).
 
     The cut key that bounds the sample is found from hash bucket counts, so no task gathers more than the
-    rows of one bucket.
+    rows of one bucket. Rows whose key is the first behind the cut fill the sample up, in the order of all their columns.
     """
     rows = df.withColumn("_h", hashing.seeded_hash(F.col(key), seed))
     group = by or "_all"
@@ -83,10 +84,21 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "Id", by: str | N
         # the same for every row, yet not a literal: joins on a literal become nested loops
         rows = rows.withColumn("_all", F.length("_h"))
     cuts = ranking.nth_keys(rows, group, "_h", key, {"cut": lambda total: F.least(total, F.lit(n))})
+    cuts = cuts.select(F.col(group).alias("_group"), F.struct("cut_hash", "cut_key").alias("_cut"))
     place = F.struct(F.col("_h").alias("cut_hash"), F.col(key).alias("cut_key"))
     # one row, or one per value of ``by``
-    inside = rows.join(F.broadcast(cuts), group).filter(place <= F.struct("cut_hash", "cut_key"))
-    return inside.select(*df.columns)
+    placed = rows.join(F.broadcast(cuts), F.col(group).eqNullSafe(F.col("_group")))
+    placed = placed.select(*rows.columns, place.alias("_place"), (place <= F.col("_cut")).alias("_inside"))
+    sizes = placed.groupBy(F.col(group).alias("_group")).agg(
+        F.count_if("_inside").alias("_taken"), F.min(F.when(~F.col("_inside"), F.col("_place"))).alias("_next")
+    )
+    following = placed.filter(~F.col("_inside")).join(F.broadcast(sizes), F.col(group).eqNullSafe(F.col("_group")))
+    order = W.partitionBy(group).orderBy(F.xxhash64(*df.columns), *df.columns)
+    filling = (
+        following.filter(F.col("_place").eqNullSafe(F.col("_next")) & (F.col("_taken") < n))
+        .withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= n).filter(F.col("_taken") + F.col("_rank") <= n)
+    )
+    return placed.filter("_inside").select(*df.columns).unionAll(filling.select(*df.columns))
 
 
 def split_audit(df: DataFrame, column: str = "Sentiment") -> DataFrame:

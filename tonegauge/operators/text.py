@@ -32,12 +32,19 @@ def combine(df: DataFrame, first: str = "lemmatized", second: str = "bigrams", o
 
 
 def occurrences(df: DataFrame, tokens: str, key: str = "Id") -> DataFrame:
-    """Distinct tokens of each row with their number, as key, token, tf.
+    """Distinct tokens of each row with their number, as key, token, tf. Rows are counted apart, whatever their keys.
 
-    All tokens of a row sit in one task, so they are counted there before anything is shuffled.
+    All tokens of a row are sorted inside the row, and a run of equal ones is one token: nothing is shuffled.
     """
-    each = df.select(key, F.explode(tokens).alias("token"))
-    return each.groupBy(key, "token").agg(F.count(F.lit(1)).alias("tf"))
+    ranked = df.select(key, F.sort_array(F.coalesce(F.col(tokens), F.array().cast("array<string>"))).alias("_sorted"))
+    n = F.size("_sorted")
+    every = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+    fresh = lambda i: (i == 0) | (F.get("_sorted", i) != F.get("_sorted", F.greatest(i - 1, F.lit(0))))
+    starts = ranked.withColumn("_starts", F.filter(every, fresh))
+    counted = F.transform("_starts", lambda i, k: F.struct(
+        F.get("_sorted", i).alias("token"), (F.coalesce(F.get("_starts", k + 1), n) - i).cast("bigint").alias("tf")
+    ))
+    return starts.select(key, F.inline(counted))
 
 
 def salted_lookup(rows: DataFrame, small: DataFrame, on: str, salt_by: str, how: str = "inner") -> DataFrame:
@@ -58,7 +65,8 @@ def document_frequency(counts: DataFrame) -> DataFrame:
 def idf(df: DataFrame, tokens: str, key: str = "Id", minimum: int = 3) -> DataFrame:
     """Inverse document frequency ``ln((m + 1) / (df + 1))`` per token, 0 below ``minimum`` documents."""
     documents = df.agg(F.count(F.lit(1)).cast("double")).scalar()
-    seen = document_frequency(occurrences(df, tokens, key)).withColumn("_m", documents)
+    each = df.select(F.explode(F.array_distinct(F.col(tokens))).alias("token"))
+    seen = document_frequency(each).withColumn("_m", documents)
     weight = F.log((F.col("_m") + 1) / (F.col("df") + 1))
     return seen.select("token", "df", F.when(F.col("df") >= minimum, weight).otherwise(F.lit(0.0)).alias("idf"))
 

@@ -10,8 +10,7 @@ from tonegauge.plans import profile
 from tonegauge.plans import views_sql as v
 from tonegauge.sources import storage, views
 
-# Small hash space for the document queries; the library default is larger.
-SETTINGS = features.FeatureSettings(num_features=1 << 12)
+SETTINGS = features.FeatureSettings()
 
 
 def _rounded(df, digits=6):
@@ -121,12 +120,12 @@ def t9_nonzero_features(spark, folder):
 
 def m1_logistic_regression(spark, folder):
     train, test = _featured(spark, folder)
-    return _predicted(models.train_lr(train, maxIter=20), test)
+    return _predicted(models.train_lr(train), test)
 
 
 def m2_linear_svc(spark, folder):
     train, test = _featured(spark, folder)
-    return _predicted(models.train_svc(train, maxIter=20), test)
+    return _predicted(models.train_svc(train), test)
 
 
 def m3_naive_bayes(spark, folder):
@@ -136,14 +135,14 @@ def m3_naive_bayes(spark, folder):
 
 def m4_random_forest(spark, folder):
     train, test = _featured(spark, folder)
-    return _predicted(models.train_rf(train, numTrees=10, maxDepth=5), test)
+    return _predicted(models.train_rf(train), test)
 
 
 def m5_benchmark(spark, folder):
     train, test = _featured(spark, folder)
     results, _ = models.benchmark(
         {"logistic regression": models.logistic_regression(train, **models.BASELINE),
-         "naive bayes": models.naive_bayes()},
+         "naive bayes": models.naive_bayes(), "linear SVM": models.linear_svc(train)},
         train, test,
     )
     return results.drop("train_seconds")
@@ -152,7 +151,7 @@ def m5_benchmark(spark, folder):
 def m6_tune(spark, folder):
     train, _ = _featured(spark, folder)
     kept = train.persist(StorageLevel.MEMORY_AND_DISK)
-    _, table = models.tune_lr(kept, {**models.SEARCH, "maxIter": [10, 20]}, parallelism=4)
+    _, table = models.tune_lr(kept, models.SEARCH, parallelism=4)
     kept.unpersist()
     return table
 
@@ -168,12 +167,12 @@ def m14_cluster_classifier(spark, folder):
 
 def m15_training_history(spark, folder):
     train, _ = _featured(spark, folder)
-    return models.training_history(spark, models.train_lr(train, maxIter=20))
+    return models.training_history(spark, models.train_lr(train))
 
 
 def m16_score(spark, folder):
     rows = views.vectors(spark, folder)
-    model = models.train_lr(rows, maxIter=20)
+    model = models.train_lr(rows)
     return models.score(model, rows).select("Id", "label", "prediction", "probability")
 
 

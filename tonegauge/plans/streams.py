@@ -88,9 +88,8 @@ def s15_history(spark, folder):
 def r1_scored_stream(spark, folder):
     """Documents as messages, scored by a model fitted on the labelled ones."""
     docs = model_plans._labelled_docs(spark, folder)
-    settings = features.FeatureSettings(num_features=1 << 10, lemmas=False, bigrams=False)
-    fitted = features.fit_features(docs, settings)
-    model = SentimentModel(fitted, models.train_lr(fitted.transform(docs), maxIter=10))
+    fitted = features.fit_features(docs)
+    model = SentimentModel(fitted, models.train_lr(storage.stored(fitted.transform(docs), "features")))
     stream = views.table_stream(spark, folder, "documents").select(
         F.to_json(F.struct(
             F.col("doc_id").cast("string").alias("Id"), F.col("source").alias("ProductId"),

@@ -43,7 +43,7 @@ DOC_REVIEWS = """
 doc_reviews AS (
   SELECT CAST(doc_id AS VARCHAR) AS Id, source AS ProductId, lang AS UserId,
     CAST(CASE WHEN toxic = 1 THEN 1 WHEN quality = 0 THEN 3 WHEN quality = 1 THEN 5 END AS DOUBLE) AS Score,
-    1325376000 + 3600 * doc_id AS Time, substr(text, 1, 60) AS Summary, text AS Text
+    1325376000 + 3600 * doc_id AS Time, string_split(text, chr(10))[1] AS Summary, text AS Text
   FROM documents LEFT JOIN labels USING (doc_id))
 """
 

@@ -1,7 +1,6 @@
 """Result tables, models' sidecar files and the insight document."""
 
 import json
-import tempfile
 import uuid
 from datetime import datetime
 
@@ -13,15 +12,11 @@ from tonegauge import schemas
 
 
 def shared_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder path under ``spark.checkpoint.dir``, which every executor can reach.
-
-    Only a local session without that setting falls back to a temporary folder.
-    """
+    """A new folder path under ``spark.checkpoint.dir``, which every executor can reach; where that is unset, under the
+    warehouse folder, which is shared too."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder shared by the cluster")
-        base = tempfile.mkdtemp(prefix="tonegauge-")
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints"
     return f"{base.rstrip('/')}/tonegauge/{purpose}-{uuid.uuid4().hex}"
 
 
@@ -66,7 +61,7 @@ def replace_table(df: DataFrame, path: str, now: datetime) -> None:
     list of versions, so a reader sees the old table or the new one and never an empty or half-written one.
     """
     spark = df.sparkSession
-    version = now.strftime("%Y%m%dT%H%M%S%f")
+    version = f"{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex}"
     stamped = df.withColumn("aggregated_at", F.lit(now.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz"))
     stamped.write.mode("overwrite").parquet(f"{path}/data/v={version}")
     entry = spark.range(1).select(F.lit(version).alias("version"))

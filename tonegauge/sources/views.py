@@ -13,15 +13,6 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """A scan of fewer pieces than there are cores dealt out to all of them; larger scans stay as they are.
-
-    Used for texts, where the work per row is far larger than moving the row.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def table_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """The same table as a stream of its files."""
     schema = table(spark, folder, name).schema
@@ -89,7 +80,7 @@ def predictions(
 
 def doc_reviews(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as reviews; the score comes from the quality and toxicity marks, null where unmarked."""
-    docs = spread(table(spark, folder, "documents"))
+    docs = table(spark, folder, "documents")
     marks = table(spark, folder, "labels")
     score = (
         F.when(F.col("toxic") == 1, 1)
@@ -102,15 +93,14 @@ def doc_reviews(spark: SparkSession, folder: str) -> DataFrame:
         F.col("lang").alias("UserId"),
         score.cast("double").alias("Score"),
         (F.lit(1325376000) + 3600 * F.col("doc_id")).alias("Time"),
-        F.substring("text", 1, 60).alias("Summary"),
+        F.substring_index("text", "\n", 1).alias("Summary"),
         F.col("text").alias("Text"),
     )
 
 
 def doc_texts(spark: SparkSession, folder: str) -> DataFrame:
     """Id and whole text of every document; no join."""
-    docs = table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("Id"), F.col("text").alias("Text"))
-    return spread(docs)
+    return table(spark, folder, "documents").select(F.col("doc_id").cast("string").alias("Id"), F.col("text").alias("Text"))
 
 
 def event_messages(spark: SparkSession, folder: str, events: DataFrame | None = None) -> DataFrame:
