@@ -149,7 +149,7 @@ def test_scores(odd, none):
         assert (r.n_tokens, r.n_known, r.train_tokens) == (len(words), sum(counts[w] > 0 for w in words), total)
         assert r.base_score == pytest.approx(base) and math.isfinite(r.score)
     assert hmm.scored(none, F.lit(True)).count() == 0
-    assert all(r.n_known == 0 and r.score == pytest.approx(r.base_score) for r in hmm.scored(odd, F.lit(False), times=1).collect())
+    assert all(r.n_known == 0 and r.score == pytest.approx(r.base_score, abs=1e-6) for r in hmm.scored(odd, F.lit(False), times=1).collect())
 
 
 def test_forward_is_exact_and_training_improves():
@@ -158,8 +158,8 @@ def test_forward_is_exact_and_training_improves():
     rng = np.random.default_rng(5)
     sizes = np.array([1, 700, 3, 128, 129, 256, 40])
     classes = rng.integers(0, 20, sizes.sum())
-    ratio = rng.uniform(0.2, 3, (21, 4)).astype(np.float32)
-    move = rng.dirichlet(np.ones(4), 4).astype(np.float32)
+    ratio = rng.uniform(0.2, 3, (21, 4))
+    move = rng.dirichlet(np.ones(4), 4)
     parts = hmm.Pieces(sizes)
     got = parts.forward(parts.emissions(classes, ratio), move)[0]
     at = 0
@@ -169,7 +169,7 @@ def test_forward_is_exact_and_training_improves():
             state = state @ move * ratio[c]
             log += math.log(state.sum())
             state /= state.sum()
-        assert x == pytest.approx(log, rel=1e-4, abs=1e-4)
+        assert x == pytest.approx(log, rel=1e-9)
         at += n
     # Baum-Welch never lowers the likelihood
     share = np.bincount(classes, minlength=20) / len(classes)

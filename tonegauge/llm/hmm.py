@@ -35,7 +35,7 @@ from tonegauge.llm.store import stored
 STATES = 6
 ROUNDS = 4
 OWN, ENDINGS = 4096, 2048
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 2 << 20
 #: Tokens of a piece; pieces run side by side.
 PIECE = 128
 #: How far the first emissions of the states lie apart.
@@ -138,6 +138,37 @@ def count_bucket(table: pa.Table) -> pa.Table:
     )
 
 
+SUMS = "bucket int, top array<struct<key: bigint, c: bigint, ending: int>>, tail array<struct<ending: int, c: bigint, n: bigint>>"
+#: Buckets whose sums one task merges.
+FAN = 32
+
+
+def merge_sums(table: pa.Table) -> pa.Table:
+    """One row of sums from those of some buckets; a token is in one bucket only."""
+    top, tail = (table.column(c).combine_chunks().flatten() for c in ("top", "tail"))
+    key, c, ending = (top.field(x).to_numpy() for x in ("key", "c", "ending"))
+    most = np.lexsort((key, -c))[:OWN]
+    kinds = tail.field("ending").to_numpy()
+    counts, numbers = (np.bincount(kinds, tail.field(x).to_numpy(), ENDINGS).astype(np.int64) for x in ("c", "n"))
+    used = np.flatnonzero(numbers)
+    tops = pa.StructArray.from_arrays([pa.array(key[most]), pa.array(c[most]), pa.array(ending[most])], ["key", "c", "ending"])
+    tails = pa.StructArray.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used]), pa.array(numbers[used])], ["ending", "c", "n"])
+    whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+    return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()), "top": whole(tops), "tail": whole(tails)})
+
+
+def corpus_sums(counted: DataFrame, buckets: int) -> tuple[list, list]:
+    """The most frequent tokens and the sums by ending, merged some buckets at a time."""
+    level = counted.filter(F.col("block") == -1).select("bucket", "top", "tail")
+    while True:
+        level = level.withColumn("bucket", (F.col("bucket") / FAN).cast("int")).groupBy("bucket").applyInArrow(merge_sums, SUMS)
+        buckets = -(-buckets // FAN)
+        if buckets == 1:
+            break
+    found = level.collect()
+    return (found[0].top, found[0].tail) if found else ([], [])
+
+
 class Classes:
     """Token classes: each of the ``own`` words, then the endings, then one for unknown tokens."""
 
@@ -184,7 +215,7 @@ def start(classes: Classes, states: int) -> tuple[np.ndarray, np.ndarray]:
     expected = classes.share[:, None] * lean
     stay = np.full((states, states), 0.2 / max(states - 1, 1))
     np.fill_diagonal(stay, 0.8 if states > 1 else 1.0)
-    return ratios(1e9 * expected / np.maximum(expected.sum(axis=0), 1e-300), classes.share), stay.astype(np.float32)
+    return ratios(1e9 * expected / np.maximum(expected.sum(axis=0), 1e-300), classes.share), stay
 
 
 class Pieces:
@@ -223,8 +254,8 @@ class Pieces:
         (to state, from state, piece)."""
         k, n = len(move), self.pieces
         turned = np.ascontiguousarray(move.T)
-        transfer = np.empty((k, k, n), np.float32)
-        now = np.broadcast_to(np.eye(k, dtype=np.float32)[:, :, None], (k, k, n))
+        transfer = np.empty((k, k, n), emit.dtype)
+        now = np.broadcast_to(np.eye(k, dtype=emit.dtype)[:, :, None], (k, k, n))
         logs = np.zeros(n)
         for t, a, at in self.steps():
             if a < now.shape[2]:
@@ -237,7 +268,7 @@ class Pieces:
                 now /= scale
                 logs[:a] += np.log(scale)
         transfer[:, :, : now.shape[2]] = now
-        inside, front = np.zeros(self.texts), np.empty((k, n), np.float32)
+        inside, front = np.zeros(self.texts), np.empty((k, n), emit.dtype)
         state = np.full((k, self.texts), 1 / k)
         for rows in self.turns:
             texts = self.text[rows]
@@ -292,7 +323,7 @@ def rounds(table: DataFrame, classes: Classes, states: int, times: int) -> tuple
     sums = ", ".join(f"s{k} double" for k in range(states))
     for _ in range(times if classes.total else 0):
 
-        def work(batches: Iterator[pa.RecordBatch], ratio=ratio, move=move) -> Iterator[pa.RecordBatch]:
+        def work(batches: Iterator[pa.RecordBatch], ratio=ratio, move=move.astype(np.float32)) -> Iterator[pa.RecordBatch]:
             emitted, moved = np.zeros((classes.size, states)), np.zeros((states, states))
             for batch in batches:
                 for row in range(batch.num_rows):
@@ -317,7 +348,7 @@ def rounds(table: DataFrame, classes: Classes, states: int, times: int) -> tuple
             else:
                 moved[kind - classes.size] = values
         ratio = ratios(expected, classes.share)
-        move = ((moved + 1 / states) / (moved + 1 / states).sum(axis=1, keepdims=True)).astype(np.float32)
+        move = (moved + 1 / states) / (moved + 1 / states).sum(axis=1, keepdims=True)
     return ratio, move
 
 
@@ -344,9 +375,7 @@ def scored(docs: DataFrame, learns: Column, text: str = "text", states: int = ST
 
     asked = table.select("block", "keys", "train", "endings").mapInArrow(ask, blocks.ASKED)
     counted = stored(asked.groupBy("bucket").applyInArrow(count_bucket, COUNTED))
-    sums = counted.filter(F.col("block") == -1)
-    top = sums.select(F.inline("top")).orderBy(F.desc("c"), "key").limit(OWN).collect()
-    tail = sums.select(F.inline("tail")).groupBy("ending").agg(F.sum("c").alias("c"), F.sum("n").alias("n")).collect()
+    top, tail = corpus_sums(counted, buckets)
     classes = Classes(top, tail)
 
     def learning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -360,8 +389,10 @@ def scored(docs: DataFrame, learns: Column, text: str = "text", states: int = ST
                     ["sizes", "ids", "keys", "endings", "learns"],
                 )
 
+    # training works in single precision, scores are exact in double
     parts = table.mapInArrow(learning, "sizes binary, ids binary, keys binary, endings binary, learns binary")
     ratio, move = rounds(parts, classes, states, times)
+    ratio = ratio.astype(np.float64)
     fields = [rows.schema[c] for c in others]
     schema = T.StructType([*fields, *T.StructType.fromDDL("n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double").fields])
 
