@@ -66,7 +66,7 @@ def test_stream_equals_batch_and_replay_changes_nothing(spark, trained, review_f
     model = SentimentModel.load(spark, f"{trained}/model")
     batch = model.predictions(reviews.decode(reviews.as_json(rows)))
     assert pred.select("Id", "prediction", "Text").exceptAll(batch.select("Id", "prediction", "Text")).count() == 0
-    scoring.write_predictions(batch.filter("CAST(Id AS INT) >= 200"), 1, stored)
+    scoring.write_predictions(batch.filter("CAST(Id AS INT) >= 200"), 1, stored, run=pred.first()["run"])
     pred = scoring.read_predictions(spark, stored)
     assert pred.count() == 300
     assert model.thresholds is not None and "prediction" in model.predict(rows.limit(5), calibrated=True).columns
@@ -100,12 +100,12 @@ def test_live_recent_survives_a_replay(spark, tmp_path):
             F.format_string("%03d", "id").alias("Id"), *[F.lit("x").alias(c) for c in live.RECENT_COLUMNS[1:]])
         ids.coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(schema).parquet(source)
-        live.start_recent(stream, path, 12, str(tmp_path / "c"), {"availableNow": True}).awaitTermination()
+        live.start_recent(stream, path, str(tmp_path / "c"), 12, {"availableNow": True}).awaitTermination()
     first = [r.Id for r in storage.read_table(spark, path).orderBy(F.desc("Id")).collect()]
     assert first == [f"{i:03d}" for i in range(19, 7, -1)]
     # the same files again under a new checkpoint are batch 0 once more
     stream = spark.readStream.schema(schema).parquet(source)
-    live.start_recent(stream, path, 12, str(tmp_path / "c2"), {"availableNow": True}).awaitTermination()
+    live.start_recent(stream, path, str(tmp_path / "c2"), 12, {"availableNow": True}).awaitTermination()
     assert storage.read_table(spark, path).count() == 12
 
 

@@ -62,6 +62,16 @@ def s9_prediction_sink(spark, folder):
     return scoring.read_predictions(spark, path).select("Id", "PredictedSentiment", "batch_id")
 
 
+def r3_restarted_sink(spark, folder):
+    """A run of two batches, the second replayed, and a run with a new checkpoint whose first batch has the same number."""
+    pred = views.predictions(spark, folder).select("Id", "prediction", "PredictedSentiment", "Score")
+    path = storage.shared_dir(spark, "predictions")
+    parts = [("a", 0, F.col("Score") <= 2), ("a", 1, F.col("Score") == 3), ("a", 1, F.col("Score") == 3), ("b", 0, F.col("Score") > 3)]
+    for run, batch, rows in parts:
+        scoring.write_predictions(pred.filter(rows), batch, path, run=run)
+    return scoring.read_predictions(spark, path).select("Id", "PredictedSentiment", "run", "batch_id")
+
+
 def s14_replace_table(spark, folder):
     """A result table replaced by a newer one."""
     pred = views.predictions(spark, folder)
@@ -97,13 +107,13 @@ def r1_scored_stream(spark, folder):
         )).alias("value")
     )
     path = storage.shared_dir(spark, "predictions")
-    scoring.start_scoring(stream, model, path, trigger=ALL_NOW).awaitTermination()
+    scoring.start_scoring(stream, model, path, storage.shared_dir(spark, "scoring"), trigger=ALL_NOW).awaitTermination()
     return scoring.read_predictions(spark, path).select("Id", "prediction", "PredictedSentiment", "ProcessingTime")
 
 
 def r4_live_monthly(spark, folder):
     path = storage.shared_dir(spark, "monthly")
-    live.start_monthly(_stream_predictions(spark, folder), path, trigger=ALL_NOW).awaitTermination()
+    live.start_monthly(_stream_predictions(spark, folder), path, storage.shared_dir(spark, "live"), trigger=ALL_NOW).awaitTermination()
     table = storage.read_table(spark, path)
     return table.select(F.col("year").cast("bigint").alias("year"), F.col("month").cast("bigint").alias("month"),
                         "sentiment", "count")
@@ -111,13 +121,13 @@ def r4_live_monthly(spark, folder):
 
 def r4_live_stats(spark, folder):
     path = storage.shared_dir(spark, "monthly")
-    live.start_monthly(_stream_predictions(spark, folder), path, trigger=ALL_NOW).awaitTermination()
+    live.start_monthly(_stream_predictions(spark, folder), path, storage.shared_dir(spark, "live"), trigger=ALL_NOW).awaitTermination()
     return live.live_stats(spark, path)
 
 
 def r5_live_recent(spark, folder):
     path = storage.shared_dir(spark, "recent")
-    live.start_recent(_stream_predictions(spark, folder), path, trigger=ALL_NOW).awaitTermination()
+    live.start_recent(_stream_predictions(spark, folder), path, storage.shared_dir(spark, "live"), trigger=ALL_NOW).awaitTermination()
     return storage.read_table(spark, path).select("Id", "ProductId", "Score", "PredictedSentiment", "Summary")
 
 
@@ -134,6 +144,8 @@ SQL = {
     "s8_decode_stream": cleaning.SQL["s8_decode"],
     "s9_prediction_sink": f"""WITH {v.PREDICTIONS} SELECT Id, PredictedSentiment,
         CAST(CASE WHEN Score <= 2 THEN 0 ELSE 1 END AS BIGINT) AS batch_id FROM predictions""",
+    "r3_restarted_sink": f"""WITH {v.PREDICTIONS} SELECT Id, PredictedSentiment, CASE WHEN Score <= 3 THEN 'a' ELSE 'b' END AS run,
+        CAST(CASE WHEN Score = 3 THEN 1 ELSE 0 END AS BIGINT) AS batch_id FROM predictions""",
     "s14_replace_table": f"""SELECT *, '2024-01-02' AS aggregated_at
         FROM ({dashboard_plans.SQL['a3_monthly_sentiment']})""",
     "s15_history": f"""WITH {v.PREDICTIONS}, r AS (SELECT unnest([0, 1]) AS run)

@@ -58,7 +58,8 @@ def replace_table(df: DataFrame, path: str, now: datetime) -> None:
     """Replaces a result table, stamped ``aggregated_at``.
 
     The new rows go to a version folder of their own. Only after they are complete one row is added to the
-    list of versions, so a reader sees the old table or the new one and never an empty or half-written one.
+    list of versions, so a reader sees the old table or the new one and never an empty or half-written one. Old versions
+    are removed, but for the last few.
     """
     spark = df.sparkSession
     version = f"{now:%Y%m%dT%H%M%S%f}-{uuid.uuid4().hex}"
@@ -66,6 +67,23 @@ def replace_table(df: DataFrame, path: str, now: datetime) -> None:
     stamped.write.mode("overwrite").parquet(f"{path}/data/v={version}")
     entry = spark.range(1).select(F.lit(version).alias("version"))
     entry.coalesce(1).write.mode("append").json(f"{path}/versions")
+    _forget(spark, f"{path}/data", KEPT)
+    _forget(spark, f"{path}/versions", 2 * KEPT)
+
+
+#: Versions that stay, for readers that began before the newest was complete.
+KEPT = 5
+
+
+def _forget(spark: SparkSession, path: str, keep: int) -> None:
+    """Deletes all but the newest entries of a folder of versions."""
+    jvm = spark.sparkContext._jvm
+    folder = jvm.org.apache.hadoop.fs.Path(path)
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    listed = [(x.getModificationTime(), x.getPath().getName(), x.getPath()) for x in fs.listStatus(folder)]
+    entries = sorted((x for x in listed if not x[1].startswith(("_", "."))), key=lambda x: x[:2])
+    for _, _, old in entries[:-keep]:
+        fs.delete(old, True)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:

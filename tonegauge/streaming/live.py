@@ -12,17 +12,17 @@ from tonegauge.sources import reviews, storage
 RECENT_COLUMNS = ["Id", "ProductId", "ProfileName", "Score", "PredictedSentiment", "Summary", "ProcessingTime"]
 
 
-def _start(stream: DataFrame, handle, mode: str, checkpoint: str | None, trigger: dict | None) -> StreamingQuery:
+def _start(stream: DataFrame, handle, mode: str, checkpoint: str, trigger: dict | None) -> StreamingQuery:
     return (
         stream.writeStream.foreachBatch(handle).outputMode(mode)
-        .option("checkpointLocation", checkpoint or storage.shared_dir(stream.sparkSession, "live"))
+        .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"processingTime": "2 seconds"}))
         .start()
     )
 
 
 def start_monthly(
-    predictions: DataFrame, path: str, checkpoint: str | None = None, trigger: dict | None = None
+    predictions: DataFrame, path: str, checkpoint: str, trigger: dict | None = None
 ) -> StreamingQuery:
     """Keeps the monthly table current, by default every two seconds.
 
@@ -36,7 +36,7 @@ def start_monthly(
 
 
 def start_recent(
-    predictions: DataFrame, path: str, n: int = 50, checkpoint: str | None = None, trigger: dict | None = None
+    predictions: DataFrame, path: str, checkpoint: str, n: int = 50, trigger: dict | None = None
 ) -> StreamingQuery:
     """Keeps the ``n`` newest predictions: the top of each batch is merged with the table so far."""
     def merge(batch: DataFrame, batch_id: int) -> None:
