@@ -78,11 +78,8 @@ def _tokens(df: DataFrame, settings: FeatureSettings, lexicon: DataFrame | None,
     if lexicon is None:
         rows = rows.withColumnRenamed("_words", "_lemmas")
     else:
-        # a lemma depends on the token alone, so rows without a key can go by their words
-        by_words = F.concat(F.lit("words:"), F.md5(F.array_join("_words", " ").cast("binary")))
-        rows = rows.withColumn("_key", F.coalesce(F.col(key).cast("string"), by_words))
         lemmas = lemma.lemmas_of(rows, lexicon, "_words")
-        rows = lemma.lemmatise(rows, lemmas, "_words", "_lemmas", "_key").drop("_words", "_key")
+        rows = lemma.lemmatise(rows, lemmas, "_words", "_lemmas").drop("_words")
     tokens = F.col("_lemmas")
     if settings.bigrams:
         rows = rows.withColumn("_pairs", words.bigrams(tokens))

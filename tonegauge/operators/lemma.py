@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from tonegauge.functions import text as words
 from tonegauge.operators.text import salted_lookup
+from tonegauge.sources import storage
 
 # Public detachment rules, suffix and replacement per part of speech.
 RULES = {
@@ -18,9 +19,6 @@ RULES = {
     "n": [("s", ""), ("ses", "s"), ("ves", "f"), ("xes", "x"), ("zes", "z"), ("ches", "ch"), ("shes", "sh"),
           ("men", "man"), ("ies", "y")],
 }
-# Rules are applied again to their own results only while no candidate is known.
-ROUNDS = 3
-
 
 def vocabulary(df: DataFrame, tokens: str) -> DataFrame:
     """Distinct tokens."""
@@ -42,59 +40,71 @@ def _detached(form: str, pos: str) -> str:
     )
 
 
-def _candidates(token: str, pos: str, rounds: int) -> list[str]:
-    """SQL: (pos, round, place, form) of every candidate per round; the token itself is the first of round 0."""
-    level = _detached(token, pos)
-    found = [f"concat(array({token}), {level})"]
-    for _ in range(1, rounds):
-        level = f"flatten(transform({level}, f -> {_detached('f', pos)}))"
-        found.append(level)
-    return [
-        f"transform({forms}, (form, i) -> "
-        f"named_struct('pos', '{pos}', 'round', {number}, 'place', i, 'form', form))"
-        for number, forms in enumerate(found)
+def _first_tries(vocab: DataFrame) -> DataFrame:
+    """(token, pos, path, form): the token itself and the results of all rules. ``path`` has the places of the rules used."""
+    each = [
+        f"transform(concat(array(token), {_detached('token', pos)}), "
+        f"(form, i) -> named_struct('pos', '{pos}', 'path', array(i), 'form', form))"
+        for pos in RULES
     ]
+    return vocab.selectExpr("token", f"inline(concat({', '.join(each)}))")
+
 
+def _next_tries(tries: DataFrame) -> DataFrame:
+    """The rules applied to the forms that are there."""
+    each = " ".join(f"WHEN '{pos}' THEN {_detached('form', pos)}" for pos in RULES)
+    longer = f"inline(transform(CASE pos {each} END, (f, i) -> named_struct('path', concat(path, array(i)), 'form', f)))"
+    return tries.selectExpr("token", "pos", longer).groupBy("token", "pos", "form").agg(F.min("path").alias("path"))
 
-def lemma_table(vocab: DataFrame, lexicon: DataFrame, rounds: int = ROUNDS) -> DataFrame:
+
+def lemma_table(vocab: DataFrame, lexicon: DataFrame, complete: bool = False) -> DataFrame:
     """token, lemma for the tokens whose lemma differs from the token.
 
-    One round is enough when the lexicon knows every token.
+    Rules are applied again to their own results while no candidate is known and any are left; every rule shortens a form,
+    so that ends. ``complete``: the lexicon knows every token, so the first round decides them all.
     """
-    every = ", ".join(c for pos in RULES for c in _candidates("token", pos, rounds))
-    tries = vocab.selectExpr("token", f"inline(concat({every}))")
-    known = tries.join(lexicon.select("form", "pos", "lemma"), ["form", "pos"])
-    # an irregular form replaces all rules: it is the token itself with another lemma
-    irregular = (F.col("round") == 0) & (F.col("place") == 0) & (F.col("lemma") != F.col("token"))
-    regular = F.col("form") == F.col("lemma")
-    rank = F.struct(
-        F.when(irregular, -1).otherwise(F.col("round")).alias("round"),
-        F.length("lemma").alias("length"), F.col("place"), F.col("lemma"),
-    )
-    best = known.groupBy("token").agg(*[
-        F.min(F.when((F.col("pos") == pos) & (irregular | regular), rank)).alias(pos) for pos in RULES
-    ])
+    forms = lexicon.select("form", "pos", "lemma")
+    number, found, tries = 0, None, _first_tries(vocab)
+    while True:
+        # an irregular form replaces all rules: it is the token itself with another lemma
+        itself = F.col("path") == F.array(F.lit(0)) if number == 0 else F.lit(False)
+        irregular = itself & (F.col("lemma") != F.col("token"))
+        hits = tries.join(forms, ["form", "pos"]).filter(irregular | (F.col("form") == F.col("lemma"))).select(
+            "token", "pos", "lemma", F.when(irregular, -1).otherwise(number).alias("round"), "path"
+        )
+        if complete:
+            found = hits
+            break
+        hits = storage.stored(hits, "lemma-hits")
+        found = hits if found is None else found.unionByName(hits)
+        left = tries.join(hits.select("token", "pos").distinct(), ["token", "pos"], "left_anti")
+        # the token itself has been tried with its own rules
+        tries = storage.stored(_next_tries(left.filter(~itself)), "lemma-tries")
+        number += 1
+        if tries.isEmpty():
+            break
+    rank = F.struct("round", F.length("lemma").alias("length"), "path", "lemma")
+    best = found.groupBy("token").agg(*[F.min(F.when(F.col("pos") == pos, rank)).alias(pos) for pos in RULES])
     changed = [F.when(F.col(f"{pos}.lemma") != F.col("token"), F.col(f"{pos}.lemma")) for pos in RULES]
     lemma = F.coalesce(*changed)
     return best.select("token", lemma.alias("lemma")).filter(F.col("lemma").isNotNull())
 
 
-def lemmatise(
-    df: DataFrame, lemmas: DataFrame, tokens: str = "filtered", out: str = "lemmatized", key: str = "Id"
-) -> DataFrame:
+def lemmatise(df: DataFrame, lemmas: DataFrame, tokens: str = "filtered", out: str = "lemmatized") -> DataFrame:
     """Replaces tokens by their lemma, order and repeats kept; a null array gives an empty one.
 
-    Only distinct tokens that change travel: they are looked up, gathered per row (a set, at most as many as the row
-    has tokens) and put in place inside the row. Rows that share a key share its set, which does no harm.
+    Only distinct tokens that change travel: they are looked up, gathered per row (a set, at most as many as the row has
+    tokens) and put in place inside the row. Rows go by a digest of their tokens, so only rows with the same tokens meet.
     """
-    distinct = df.select(key, F.explode(F.array_distinct(F.col(tokens))).alias("token"))
-    changed = salted_lookup(distinct, lemmas, "token", key)
-    per_row = changed.groupBy(key).agg(
+    rows = df.withColumn("_digest", F.md5(F.array_join(F.col(tokens), "\x01").cast("binary")))
+    distinct = rows.select("_digest", F.explode(F.array_distinct(F.col(tokens))).alias("token"))
+    changed = salted_lookup(distinct, lemmas, "token", "_digest")
+    per_row = changed.groupBy("_digest").agg(
         F.collect_set(F.struct("token", "lemma")).alias("_changed")
     )
     replaced = f"CASE WHEN _changed IS NULL THEN {tokens} ELSE {_replaced(tokens, '_changed')} END"
-    joined = df.join(per_row, key, "left")
-    return joined.withColumn(out, F.expr(f"coalesce({replaced}, array())")).drop("_changed")
+    joined = rows.join(per_row, "_digest", "left")
+    return joined.withColumn(out, F.expr(f"coalesce({replaced}, array())")).drop("_changed", "_digest")
 
 
 def _replaced(tokens: str, changed: str) -> str:
@@ -112,16 +122,16 @@ def _replaced(tokens: str, changed: str) -> str:
     return f"get(transform(array({maps}), maps -> transform({tokens}, t -> coalesce({lookup}, t))), 0)"
 
 
-def lemmatised_tokens(df: DataFrame, lexicon: DataFrame | None = None, text: str = "Text", key: str = "Id") -> DataFrame:
+def lemmatised_tokens(df: DataFrame, lexicon: DataFrame | None = None, text: str = "Text") -> DataFrame:
     """Adds words, filtered and lemmatized. Without a lexicon the corpus itself is one."""
     found = df.withColumn("words", words.word_tokens(F.col(text))).withColumn(
         "filtered", words.without_words(F.col("words"), words.english_stop_words())
     )
-    return lemmatise(found, corpus_lemmas(found) if lexicon is None else lemmas_of(found, lexicon), key=key)
+    return lemmatise(found, corpus_lemmas(found) if lexicon is None else lemmas_of(found, lexicon))
 
 
 def corpus_lemmas(df: DataFrame, tokens: str = "filtered") -> DataFrame:
-    return lemma_table(vocabulary(df, tokens), corpus_lexicon(df, tokens), rounds=1)
+    return lemma_table(vocabulary(df, tokens), corpus_lexicon(df, tokens), complete=True)
 
 
 def lemmas_of(df: DataFrame, lexicon: DataFrame, tokens: str = "filtered") -> DataFrame:
