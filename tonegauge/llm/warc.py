@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tonegauge.llm import blocks
 from tonegauge.llm.store import shared_folder, stored
 
 MAGIC = "WARC/1.0\r\n"
@@ -58,7 +59,8 @@ def records(pages: DataFrame, id: str = "page_id", url: str = "url", payload: st
     # only ids and digests are grouped; a payload is moved by the join at most once
     keys = rows.filter(F.col("bytes") >= LEAST_BYTES).select("id", "digest")
     known = first_of(keys, ["digest"], "id", "first").select("id", "digest", "first").filter(F.col("first") < F.col("id"))
-    rows = rows.join(known.distinct(), ["id", "digest"], "left")
+    # written first: where few pages are copies the engine then sees that the payloads need not be moved
+    rows = rows.join(stored(known.distinct()), ["id", "digest"], "left")
     revisit = F.col("first").isNotNull()
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes"), F.lit(END))
     block = F.when(revisit, http).otherwise(F.concat(http, "body"))
@@ -102,9 +104,10 @@ def successor(offset: int, content: bytes) -> int | None:
 
 
 
-def segments(spark: SparkSession, path: str) -> DataFrame:
+def segments(spark: SparkSession, path: str, contents: bool = False) -> DataFrame:
     """The files cut at every magic: file, split (its first byte), at (offset in the split's own bytes), size, next (the
-    relative offset of the record that would follow) and content. A file's first segment is what stands before any magic."""
+    relative offset of the record that would follow), first (what stands before any magic of the file), and, if asked for, the
+    compressed content."""
     lines = (
         spark.read.option("lineSep", MAGIC).text(path)
         .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("content"))
@@ -113,23 +116,22 @@ def segments(spark: SparkSession, path: str) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, at, first = None, 0, True
         for batch in batches:
-            out = {"file": [], "split": [], "at": [], "size": [], "next": [], "first": []}
+            out = {"file": [], "split": [], "at": [], "size": [], "next": [], "first": []} | ({"content": []} if contents else {})
             for file, split, content in zip(batch.column("file").to_pylist(), batch.column("split").to_pylist(), batch.column("content"), strict=True):
                 if here != (file, split):
                     here, at, first = (file, split), 0, split == 0
                 data = content.as_py()
                 # the first segment of a file has no magic in front of it
                 size = len(data) + (0 if first else len(MAGIC))
-                after = None if first else successor(at, data)
-                for c, x in zip(out, (file, split, at, size, after, first), strict=True):
+                row = [file, split, at, size, None if first else successor(at, data), first]
+                for c, x in zip(out, [*row, blocks.squeeze(data)] if contents else row, strict=True):
                     out[c].append(x)
                 at += size
                 first = False
-            kinds = {"file": pa.string(), "first": pa.bool_()}
-            arrays = [pa.array(v, kinds.get(c, pa.int64())) for c, v in out.items()]
-            yield pa.RecordBatch.from_arrays([*arrays, batch.column("content")], [*out, "content"])
+            kinds = {"file": pa.string(), "first": pa.bool_(), "content": pa.binary()}
+            yield pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.int64())) for c, v in out.items()})
 
-    return lines.mapInArrow(cut, "file string, split bigint, at bigint, size bigint, next bigint, first boolean, content binary")
+    return lines.mapInArrow(cut, "file string, split bigint, at bigint, size bigint, next bigint, first boolean" + ", content binary" * contents)
 
 
 def local_chains(table: pa.Table) -> pa.Table:
@@ -159,13 +161,26 @@ def true_chain(table: pa.Table, entries: pa.Table) -> pa.Table:
     while offset is not None and offset in following and following[offset] is not None:
         true.add(offset)
         offset = following[offset]
+    sizes = dict(zip(at, table.column("size").to_pylist(), strict=True))
     owners, owner = {}, None
     for offset in sorted(at):
         owner = offset if offset in true else owner
         owners[offset] = owner
-    out = [None if owners[x] is None else base + owners[x] for x in at]
     n = len(at)
-    return pa.table({"file": [table.column("file")[0].as_py()] * n, "split": table.column("split"), "at": [base + x for x in at], "owner": pa.array(out, pa.int64())})
+    return pa.table(
+        {
+            "file": [table.column("file")[0].as_py()] * n,
+            "split": table.column("split"),
+            "at": at,
+            "place": [base + x for x in at],
+            "owner": pa.array([None if owners[x] is None else base + owners[x] for x in at], pa.int64()),
+            # the record ends in its own piece
+            "alone": [x in true and following[x] <= x + sizes[x] for x in at],
+        }
+    )
+
+
+CHAINED = "file string, split bigint, at bigint, place bigint, owner bigint, alone boolean"
 
 
 def entries(pointers: DataFrame, starts: DataFrame) -> DataFrame:
@@ -192,7 +207,7 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     # a split's first byte in the file: what the splits before it hold; splits are few, whatever the file holds
     bases = stored(sizes.select("file", "split", "bytes", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base")))
-    light = stored(pieces.drop("content").join(bases.withColumnRenamed("bytes", "end"), ["file", "split"]))
+    light = stored(pieces.join(bases.withColumnRenamed("bytes", "end"), ["file", "split"]))
     candidates = light.filter(~F.col("first"))
     pointers = stored(candidates.groupBy("file", "split").applyInArrow(local_chains, "file string, at bigint, exit bigint"))
     starts = pointers.groupBy("file").agg(F.min("at").alias("at"))
@@ -201,26 +216,28 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     placed = reached.join(pointers.select("file", "at"), ["file", "at"], "left_semi")
     of_split = candidates.select("file", "split", (F.col("base") + F.col("at")).alias("at"))
     entry = stored(placed.join(of_split, ["file", "at"]).groupBy("file", "split").agg(F.min("at").alias("entry")))
-    chained = candidates.groupBy("file", "split").cogroup(entry.groupBy("file", "split")).applyInArrow(
-        lambda left, right: true_chain(left, right) if left.num_rows else EMPTY, "file string, split bigint, at bigint, owner bigint"
+    chained = stored(
+        candidates.groupBy("file", "split").cogroup(entry.groupBy("file", "split")).applyInArrow(
+            lambda left, right: true_chain(left, right) if left.num_rows else EMPTY, CHAINED
+        )
     )
-    chained = stored(chained)
     # pieces in front of a split's entry belong to the last record of the splits before it
     last = chained.groupBy("file", "split").agg(F.max("owner").alias("last"))
     carried = last.select("file", "split", F.max("last").over(before).alias("carried"))
-    owned = chained.join(carried, ["file", "split"]).select("file", "split", "at", F.coalesce("owner", "carried").alias("owner"))
-    content = pieces.join(bases.select("file", "split", "base"), ["file", "split"]).select(
-        "file", "split", (F.col("base") + F.col("at")).alias("at"), "content", "first"
-    ).filter(~F.col("first"))
-    whole = content.join(owned, ["file", "split", "at"])
+    owned = chained.join(carried, ["file", "split"]).select("file", "split", "at", "place", F.coalesce("owner", "carried").alias("owner"), "alone")
+    content = segments(spark, path, contents=True).filter(~F.col("first")).select("file", "split", "at", "content")
     # most records are one piece; the others are put together again
-    alone = whole.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("at", "content"))).alias("parts")).filter(F.col("owner").isNotNull())
+    own = content.join(owned.filter("alone"), ["file", "split", "at"]).select(F.array("content").alias("parts"))
+    others = content.join(owned.filter(~F.col("alone") & F.col("owner").isNotNull()), ["file", "split", "at"])
+    joined = others.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("place", "content"))).alias("parts"))
+    # what follows a record that ended in its own piece has no head here
+    joined = joined.filter(F.get("parts", F.lit(0))["place"] == F.col("owner")).select(F.transform("parts", lambda x: x["content"]).alias("parts"))
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = {c: [] for c in ("page_id", "record_type", "refers_to", "payload_digest", "url", "payload")}
             for parts in batch.column("parts").to_pylist():
-                record = MAGIC.encode().join(p["content"] for p in parts)
+                record = MAGIC.encode().join(map(blocks.unsqueeze, parts))
                 head, _, rest = record.partition(END.encode())
                 head = head.decode(errors="replace")
                 block = rest[: int(field(head, "Content-Length"))]
@@ -236,12 +253,14 @@ def read(spark: SparkSession, path: str) -> DataFrame:
             kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out))
 
-    return alone.select("parts").mapInArrow(
+    return own.unionAll(joined).mapInArrow(
         parse, "page_id bigint, record_type string, refers_to bigint, payload_digest string, url string, payload binary"
     )
 
 
-EMPTY = pa.table({"file": pa.array([], pa.string()), "split": pa.array([], pa.int64()), "at": pa.array([], pa.int64()), "owner": pa.array([], pa.int64())})
+EMPTY = pa.table(
+    {"file": pa.array([], pa.string())} | {c: pa.array([], pa.int64()) for c in ("split", "at", "place", "owner")} | {"alone": pa.array([], pa.bool_())}
+)
 
 
 def catalogue(found: DataFrame) -> DataFrame:
