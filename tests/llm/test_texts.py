@@ -188,13 +188,12 @@ def test_forward_is_exact_and_training_improves():
 # toxicity
 
 
-def test_toxicity(spark, odd, none, folder):
-    rows = odd.withColumn("bad", F.col("block") == 9)
-    model = toxicity.fit(rows, F.col("bad"), 0.2, folds=2)
+def test_toxicity(odd, none):
+    model = toxicity.fit(odd, odd.filter(F.col("block") == 9), 0.2, folds=2)
     got = toxicity.scored(odd, model).collect()
     assert len(got) == odd.count() and all(0 <= r.score <= 1 and r.predicted == (r.score >= 0.3) for r in got)
     assert toxicity.scored(none, model).count() == 0
-    empty = toxicity.fit(rows.filter("false"), F.col("bad"), 0.2)
+    empty = toxicity.fit(none, odd, 0.2)
     assert {r.score for r in toxicity.scored(odd, empty).collect()} == {0.0}
 
 

@@ -69,9 +69,7 @@ def op6_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     marks = table(spark, folder, "labels").select("doc_id", "toxic").filter(fold(F.col("doc_id"), 4) != 2)
     seen, toxic = marks.agg(F.count("toxic"), F.sum(F.coalesce("toxic", F.lit(0)))).first()
     prior = min(max((toxic or 0) / max(seen, 1), 1e-3), 0.5)
-    confirmed = marks.filter(F.col("toxic") == 1).select("doc_id").distinct().withColumn("confirmed", F.lit(True))
-    rows = docs.filter(~F.col("held_out")).join(confirmed, "doc_id", "left")
-    model = toxicity.fit(rows, F.col("confirmed"), prior)
+    model = toxicity.fit(docs.filter(~F.col("held_out")), marks.filter(F.col("toxic") == 1), prior)
     return toxicity.scored(docs, model)
 
 

@@ -21,10 +21,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tonegauge.llm.store import stored
+
 POSITIVES, UNLABELLED, FOLDS = 8_000, 16_000, 5
 MARKS = b".,;:!?\"'()*#$%&|<>-"
 #: Positive learning texts that a word must occur in.
@@ -98,23 +100,26 @@ def descend(positive: list, unlabelled: list, prior: float) -> tuple[np.ndarray,
     return keys, weights * lift, bias
 
 
-def examples(docs: DataFrame, id: str, text: str, positive: Column, positives: int, unlabelled: int, folds: int) -> DataFrame:
-    """(fold, own, positive, words) of the learning rows: the first by a hash of id and text. Every fold gets all of them; its own
-    share is marked."""
-    hashed = docs.select(
-        F.col(text).cast("binary").alias("_text"), F.coalesce(positive, F.lit(False)).alias("positive"),
-        F.xxhash64(F.lit(6), F.col(id).cast("string"), F.col(text)).alias("_order"),
+def examples(docs: DataFrame, confirmed: DataFrame, id: str, text: str, positives: int, unlabelled: int, folds: int) -> DataFrame:
+    """(fold, own, positive, words) of the learning rows: the first by a hash of the id. Every fold gets all of them; its own
+    share is marked. Only ids are sorted; the chosen ones, ``positives`` and ``unlabelled`` at most, are broadcast to the texts,
+    and of rows that share an id the one with the smallest text is taken."""
+    ids = docs.select(F.col(id).alias("_id")).filter(F.col("_id").isNotNull()).distinct()
+    ids = ids.withColumn("_order", F.xxhash64(F.lit(6), F.col("_id").cast("string")))
+    toxic = ids.join(confirmed.select(F.col(id).alias("_id")).distinct(), "_id", "left_semi")
+    chosen = toxic.orderBy("_order", "_id").limit(positives).withColumn("positive", F.lit(True)).unionAll(
+        ids.orderBy("_order", "_id").limit(unlabelled).withColumn("positive", F.lit(False))
     )
-    parts = [hashed.filter("positive").orderBy("_order").limit(positives), hashed.withColumn("positive", F.lit(False)).orderBy("_order").limit(unlabelled)]
-    rows = parts[0].unionAll(parts[1]).select(F.pmod("_order", F.lit(folds)).cast("int").alias("home"), "positive", "_text")
+    chosen = stored(chosen.withColumn("home", F.pmod("_order", F.lit(folds)).cast("int")))
+    found = docs.select(F.col(id).alias("_id"), F.coalesce(F.col(text).cast("binary"), F.lit(b"")).alias("_text")).join(F.broadcast(chosen), "_id")
+    rows = found.groupBy("_id", "positive", "home").agg(F.min("_text").alias("_text")).select("positive", "home", "_text")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = [np.fromiter(word_keys(x.as_py() or b""), np.int64) for x in batch.column("_text")]
-            yield pa.RecordBatch.from_arrays([batch.column("home"), batch.column("positive"), pa.array(words, pa.list_(pa.int64()))], ["home", "positive", "words"])
+            words = [np.fromiter(word_keys(x.as_py()), np.uint32).tobytes() for x in batch.column("_text")]
+            yield pa.RecordBatch.from_arrays([batch.column("home"), batch.column("positive"), pa.array(words, pa.binary())], ["home", "positive", "words"])
 
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    words = rows.repartition(parts).mapInArrow(work, "home int, positive boolean, words array<bigint>")
+    words = rows.mapInArrow(work, "home int, positive boolean, words binary")
     return words.select(
         F.explode(F.sequence(F.lit(0), F.lit(folds - 1))).alias("fold"), "home", "positive", "words"
     ).select("fold", (F.col("fold") == F.col("home")).alias("own"), "positive", "words")
@@ -131,19 +136,21 @@ class Model:
                 self.weights[key] = self.weights.get(key, 0.0) + weight / len(fitted)
 
     def score(self, text: bytes) -> float:
+        if self.bias == -math.inf:
+            return 0.0
         get = self.weights.get
         margin = self.bias + sum(get(k, 0.0) for k in sorted(word_keys(text)))
         return 1 / (1 + math.exp(-max(min(margin, 700.0), -700.0)))
 
 
 def fit(
-    docs: DataFrame, positive: Column, prior: float, id: str = "doc_id", text: str = "text",
+    docs: DataFrame, confirmed: DataFrame, prior: float, id: str = "doc_id", text: str = "text",
     positives: int = POSITIVES, unlabelled: int = UNLABELLED, folds: int = FOLDS,
 ) -> Model:
-    """``docs``: the rows to learn from; ``positive`` marks the confirmed toxic ones, all others are unlabelled."""
+    """``docs``: the rows to learn from; ``confirmed``: the ids of the toxic ones. Texts are unlabelled whatever their label."""
 
     def learn(table: pa.Table) -> pa.Table:
-        words = [np.asarray(x.values) for x in table.column("words")]
+        words = [np.frombuffer(x, np.uint32).astype(np.int64) for x in table.column("words").to_pylist()]
         kinds = list(zip(words, table.column("positive").to_pylist(), table.column("own").to_pylist(), strict=True))
         toxic = [w for w, y, own in kinds if y and not own]
         others = [w for w, y, own in kinds if not y and not own]
@@ -153,7 +160,7 @@ def fit(
         keys, weights, bias = train(toxic, others, held, prior)
         return pa.table({"keys": pa.array([keys.tobytes()], pa.binary()), "weights": pa.array([weights.tobytes()], pa.binary()), "bias": [bias]})
 
-    rows = examples(docs, id, text, positive, positives, unlabelled, folds)
+    rows = examples(docs, confirmed, id, text, positives, unlabelled, folds)
     fitted = rows.groupBy("fold").applyInArrow(learn, "keys binary, weights binary, bias double")
     return Model(sorted(fitted.collect(), key=lambda r: r.bias))
 
