@@ -2,7 +2,7 @@
 
 A text gets a leading mark and a mark for each space, and falls into marked words (marks, then characters without marks). No
 piece of the vocabulary has a mark behind another character, so words can be encoded apart. The distinct words of a slice of
-rows are sorted; going through them in that order is a depth-first walk of their trie: the forward scores of the common prefix
+rows that the worker does not remember are sorted; going through them in that order is a depth-first walk of their trie: the forward scores of the common prefix
 with the word before stay, and only the rest is worked out. A word's ids are then looked up for each occurrence.
 
 The segmentation has the highest sum of piece scores; ties go to the longer last piece. Characters that no piece covers cost
@@ -25,12 +25,16 @@ from pyspark.sql import types as T
 from tonegauge.llm import blocks
 
 MARK = "▁"
-SLICE_BYTES = 16 << 20
+SLICE_BYTES = 4 << 20
+#: Words whose ids a worker remembers before it starts afresh.
+REMEMBERED = 200_000
+#: Tells a string that ends no piece from one that is itself no piece.
+NONE = object()
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
 
 
 class Vocabulary:
-    def __init__(self, model: str):
+    def __init__(self, model: str, encodes: bool = True):
         import sentencepiece
 
         model = sentencepiece.SentencePieceProcessor(model_file=model)
@@ -51,7 +55,11 @@ class Vocabulary:
                 self.ids[piece] = i
                 self.scores[piece] = model.get_score(i)
                 self.spelled.append(piece.replace(MARK, " ").encode())
-        self.longest = max(map(len, self.ids))
+        self.known: dict[str, bytes] = {}
+        if not encodes:
+            return
+        # every end of a piece; with its score where it is a piece itself
+        self.tails: dict[str, float | None] = {p[k:]: None for p in self.ids for k in range(len(p))} | self.scores
         self.unknown = min(self.scores.values()) - 10
 
     def words(self, text: str) -> list[str]:
@@ -65,7 +73,7 @@ class Vocabulary:
     def encode(self, words: list[str]) -> dict[str, bytes]:
         """Ids, as 32-bit bytes, of distinct words."""
         codes = {}
-        scores, longest, known = self.scores, self.longest, self.scores.get
+        scores, tail = self.scores, self.tails.get
         before, best, back = "", [0.0], [0]
         for word in sorted(words):
             shared = 0
@@ -75,20 +83,30 @@ class Vocabulary:
                 shared += 1
             del best[shared + 1 :], back[shared + 1 :]
             for end in range(shared + 1, len(word) + 1):
-                # the unknown character first: a single-character piece of any score replaces it
-                top, start = (best[end - 1] + self.unknown, end - 1) if word[end - 1] not in scores else (None, 0)
-                for begin in range(end - longest if end > longest else 0, end):
-                    score = known(word[begin:end])
+                top, start = None, 0
+                for begin in range(end - 1, -1, -1):
+                    score = tail(word[begin:end], NONE)
+                    if score is NONE:
+                        break
                     if score is not None:
                         score += best[begin]
-                        if top is None or score > top or (score == top and begin < start):
+                        if top is None or score >= top:
                             top, start = score, begin
+                if word[end - 1] not in scores and (top is None or best[end - 1] + self.unknown > top):
+                    top, start = best[end - 1] + self.unknown, end - 1
                 best.append(top)
                 back.append(start)
             codes[word] = self.path(word, back)
             before = word
         return codes
 
+    def codes(self, words: list[list[str]]) -> dict[str, bytes]:
+        """Ids of all words of some texts; those worked out before are remembered."""
+        if len(self.known) > REMEMBERED:
+            self.known = {}
+        self.known |= self.encode([w for w in set().union(*words) if w not in self.known])
+        return self.known
+
     def path(self, word: str, back: list[int]) -> bytes:
         ids, end = [], len(word)
         while end:
@@ -113,7 +131,7 @@ def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
         for batch in batches:
             for part in blocks.slices(batch, blocks.byte_lengths(batch.column("_text")), SLICE_BYTES):
                 words = [vocabulary.words(x.as_py() or "") for x in part.column("_text")]
-                codes = vocabulary.encode(list(set().union(*words)))
+                codes = vocabulary.codes(words)
                 ids = [b"".join(map(codes.__getitem__, w)) for w in words]
                 columns = [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids]), pa.array([len(w) for w in words])]
                 yield pa.RecordBatch.from_arrays([*part.select(others).columns, *columns], schema.names)
@@ -127,7 +145,7 @@ def decode(rows: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     schema = T.StructType([*[rows.schema[c] for c in others], T.StructField("decoded", T.StringType())])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = Vocabulary(model)
+        vocabulary = Vocabulary(model, encodes=False)
         for batch in batches:
             texts = [None if x is None else vocabulary.decode(x) for x in batch.column(ids).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.select(others).columns, pa.array(texts, pa.string())], schema.names)
