@@ -303,3 +303,49 @@ def test_freshness_of_empty_tables(spark):
     some = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-01 00:00:00' AS aggregated_at")
     row = dashboard.freshness(some, some.limit(0)).first()
     assert row.last_aggregated_at == row.monthly_last_aggregated_at and row.product_last_aggregated_at is None
+
+
+def test_samples_on_repeated_and_null_keys(spark):
+    rows = spark.createDataFrame(
+        [("a", None, k) for k in range(3)] + [("a", "x", 9), (None, "x", 1), (None, "x", 2)], "Id string, g string, v int"
+    )
+    for n in (1, 2, 4, 6, 9):
+        assert splits.sample_n(rows, n).count() == min(n, 6)
+    by_group = splits.sample_n(rows, 2, by="g").groupBy("g").count().collect()
+    assert {r.g: r["count"] for r in by_group} == {None: 2, "x": 2}
+    assert splits.sample_n(rows.limit(0), 3).count() == 0
+
+
+def test_null_probability_decides_nothing(spark):
+    rows = spark.createDataFrame([([0.2, 0.3, 0.5],), ([None, 0.3, 0.7],), (None,)], "probability array<double>")
+    said = [r.prediction for r in calibration.apply_thresholds(rows).collect()]
+    assert said[1:] == [None, None] and said[0] in (0.0, 1.0, 2.0)
+
+
+def test_nan_is_no_value(spark):
+    rows = spark.createDataFrame([(float(x),) for x in (1, 2, 3, 4, 5)] + [(float("nan"),), (None,)], "v double")
+    assert [r.q for r in ranking.exact_quantiles(rows, F.col("v"), [0.0, 0.5, 1.0]).orderBy("p").collect()] == [1.0, 3.0, 5.0]
+
+
+def test_tokens_count_by_row_and_not_by_key(spark):
+    rows = spark.createDataFrame([("1", ["good", "good"]), ("1", ["good"]), ("2", ["bad"]), ("3", []), ("4", None)], "Id string, t array<string>")
+    counted = sorted((r.Id, r.token, r.tf) for r in text_ops.occurrences(rows, "t").collect())
+    assert counted == [("1", "good", 1), ("1", "good", 2), ("2", "bad", 1)]
+    assert {r.token: r.df for r in text_ops.idf(rows, "t", minimum=1).collect()} == {"good": 2, "bad": 1}
+
+
+def test_lemma_rules_repeat_until_nothing_is_left(spark):
+    lexicon = spark.createDataFrame([("walk", "v", "walk")], "form string, pos string, lemma string")
+    vocabulary = spark.createDataFrame([("walksssss",), ("walkedings",), ("zzz",)], "token string")
+    found = {r.token: r.lemma for r in lemma.lemma_table(vocabulary, lexicon).collect()}
+    assert found == {"walksssss": "walk", "walkedings": "walk"}
+
+
+def test_old_table_versions_go(spark, tmp_path):
+    from datetime import timedelta
+
+    path = str(tmp_path / "table")
+    for k in range(storage.KEPT + 3):
+        storage.replace_table(spark.range(k), path, datetime(2024, 1, 1) + timedelta(seconds=k))
+    assert len(list((tmp_path / "table" / "data").glob("v=*"))) == storage.KEPT
+    assert storage.read_table(spark, path).count() == storage.KEPT + 2

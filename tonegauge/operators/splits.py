@@ -10,6 +10,11 @@ from tonegauge.functions import hashing, labels
 from tonegauge.operators import ranking
 
 
+def _hash_of(key: str, seed: int):
+    """Rows without a key have a place in hash order too."""
+    return F.coalesce(hashing.seeded_hash(F.col(key), seed), hashing.seeded_hash(F.lit(""), seed))
+
+
 def stratified_split(
     df: DataFrame, column: str = "Sentiment", seed: int = 42, key: str = "Id",
     values: Sequence = tuple(labels.SENTIMENTS), tenths: tuple[int, int] = (8, 1),
@@ -19,7 +24,7 @@ def stratified_split(
     Rows whose class is not in ``values`` are left out. The rows are not sorted or shuffled: the two cut keys of
     every class are found first, then each row is compared with them. Rows with the same key stay together.
     """
-    rows = df.filter(F.col(column).isin(*values)).withColumn("_h", hashing.seeded_hash(F.col(key), seed))
+    rows = df.filter(F.col(column).isin(*values)).withColumn("_h", _hash_of(key, seed))
     train, val = tenths
 
     def tenth_part(total, tenth: int):
@@ -78,7 +83,7 @@ def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "Id", by: str | N
     The cut key that bounds the sample is found from hash bucket counts, so no task gathers more than the
     rows of one bucket. Rows whose key is the first behind the cut fill the sample up, in the order of all their columns.
     """
-    rows = df.withColumn("_h", hashing.seeded_hash(F.col(key), seed))
+    rows = df.withColumn("_h", _hash_of(key, seed))
     group = by or "_all"
     if by is None:
         # the same for every row, yet not a literal: joins on a literal become nested loops
