@@ -151,10 +151,12 @@ def test_archives_in_small_splits(spark):
     held = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
     try:
-        got = sorted(map(tuple, warc.catalogue(warc.read(spark, path)).collect()), key=str)
+        got = sorted(map(tuple, warc.catalogue(spark, path).collect()), key=str)
+        payloads = {(r.page_id, hashlib.sha256(r.payload).hexdigest()) for r in warc.read(spark, path).filter("payload is not null").collect()}
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", held)
-    assert got == wanted(pages(spark).collect())
+    want = wanted(pages(spark).collect())
+    assert got == want and payloads == {(w[0], w[2]) for w in want if w[3] == "response"}
 
 
 # pipeline

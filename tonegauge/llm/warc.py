@@ -16,6 +16,7 @@ of the first magic is skipped as no record; a chain that ends in something that
 are ignored.
 """
 
+import hashlib
 import re
 from collections.abc import Iterator
 
@@ -104,34 +105,102 @@ def successor(offset: int, content: bytes) -> int | None:
 
 
 
-def segments(spark: SparkSession, path: str, contents: bool = False) -> DataFrame:
-    """The files cut at every magic: file, split (its first byte), at (offset in the split's own bytes), size, next (the
-    relative offset of the record that would follow), first (what stands before any magic of the file), and, if asked for, the
-    compressed content."""
-    lines = (
-        spark.read.option("lineSep", MAGIC).text(path)
-        .select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("content"))
+def pieces(spark: SparkSession, path: str) -> DataFrame:
+    """The files cut at every magic: file, split (first byte of its range) and content, in the order of the bytes."""
+    lines = spark.read.option("lineSep", MAGIC).text(path)
+    return lines.select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.col("value").cast("binary").alias("content")
     )
 
+
+class Walk:
+    """Gives each piece of a task its offset in the split's own bytes; a task can hold several splits."""
+
+    def __init__(self):
+        self.here, self.at, self.first = None, 0, True
+
+    def rows(self, batch: pa.RecordBatch) -> Iterator[tuple]:
+        """(file, split, at, size, next, first, content): ``next`` is the relative offset of the record that would follow;
+        ``first`` marks what stands before any magic of the file."""
+        for file, split, content in zip(batch.column("file").to_pylist(), batch.column("split").to_pylist(), batch.column("content"), strict=True):
+            if self.here != (file, split):
+                self.here, self.at, self.first = (file, split), 0, split == 0
+            data = content.as_py()
+            size = len(data) + (0 if self.first else len(MAGIC))
+            yield file, split, self.at, size, None if self.first else successor(self.at, data), self.first, data
+            self.at += size
+            self.first = False
+
+
+def segments(spark: SparkSession, path: str) -> DataFrame:
+    """All pieces without their content."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walk = Walk()
+        for batch in batches:
+            columns = list(zip(*[row[:6] for row in walk.rows(batch)], strict=True)) or [[]] * 6
+            kinds = [pa.string(), *[pa.int64()] * 4, pa.bool_()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["file", "split", "at", "size", "next", "first"])
+
+    return pieces(spark, path).mapInArrow(cut, "file string, split bigint, at bigint, size bigint, next bigint, first boolean")
+
+
+PLACE = "file string, split bigint, at bigint"
+
+
+def contents(spark: SparkSession, path: str) -> DataFrame:
+    """(file, split, at, content) of every piece behind a magic, the content compressed."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        walk = Walk()
+        for batch in batches:
+            rows = [(*row[:3], blocks.squeeze(row[6])) for row in walk.rows(batch) if not row[5]]
+            columns = list(zip(*rows, strict=True)) or [[]] * 4
+            kinds = [pa.string(), pa.int64(), pa.int64(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["file", "split", "at", "content"])
+
+    return pieces(spark, path).mapInArrow(cut, f"{PLACE}, content binary")
+
+
+def parsed(record: bytes) -> tuple:
+    """(page_id, record_type, refers_to, payload_digest, url, payload) of a whole record without its magic."""
+    head, _, rest = record.partition(END.encode())
+    head = head.decode(errors="replace")
+    body = rest[: int(field(head, "Content-Length"))].partition(END.encode())[2]
+    kind = field(head, "WARC-Type")
+    named, refers = (re.fullmatch("<urn:page:(-?[0-9]+)>", field(head, x) or "") for x in ("WARC-Record-ID", "WARC-Refers-To"))
+    return (
+        int(named[1]) if named else None, kind, int(refers[1]) if refers else None,
+        (field(head, "WARC-Payload-Digest") or "").removeprefix("sha256:"), field(head, "WARC-Target-URI"),
+        None if kind == "revisit" else body,
+    )
+
+
+def brief(record: bytes) -> tuple:
+    """(page_id, record_type, refers_to, own_bytes, own_digest): the payload measured where it lies."""
+    page, kind, refers, _, _, body = parsed(record)
+    return page, kind, refers, None if body is None else len(body), None if body is None else hashlib.sha256(body).hexdigest()
+
+
+BRIEF = "page_id bigint, record_type string, refers_to bigint, own_bytes bigint, own_digest string"
+BRIEF_KINDS = [pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string()]
+
+
+def briefs(spark: SparkSession, path: str) -> DataFrame:
+    """The brief of every candidate that would end in its own piece."""
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        here, at, first = None, 0, True
+        walk = Walk()
         for batch in batches:
-            out = {"file": [], "split": [], "at": [], "size": [], "next": [], "first": []} | ({"content": []} if contents else {})
-            for file, split, content in zip(batch.column("file").to_pylist(), batch.column("split").to_pylist(), batch.column("content"), strict=True):
-                if here != (file, split):
-                    here, at, first = (file, split), 0, split == 0
-                data = content.as_py()
-                # the first segment of a file has no magic in front of it
-                size = len(data) + (0 if first else len(MAGIC))
-                row = [file, split, at, size, None if first else successor(at, data), first]
-                for c, x in zip(out, [*row, blocks.squeeze(data)] if contents else row, strict=True):
-                    out[c].append(x)
-                at += size
-                first = False
-            kinds = {"file": pa.string(), "first": pa.bool_(), "content": pa.binary()}
-            yield pa.RecordBatch.from_pydict({c: pa.array(v, kinds.get(c, pa.int64())) for c, v in out.items()})
-
-    return lines.mapInArrow(cut, "file string, split bigint, at bigint, size bigint, next bigint, first boolean" + ", content binary" * contents)
+            rows = [(*row[:3], *brief(row[6])) for row in walk.rows(batch) if row[4] is not None and row[4] <= row[2] + row[3]]
+            columns = list(zip(*rows, strict=True)) or [[]] * 8
+            kinds = [pa.string(), pa.int64(), pa.int64(), *BRIEF_KINDS]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], ["file", "split", "at", *BRIEF_NAMES])
+
+    return pieces(spark, path).mapInArrow(cut, f"{PLACE}, {BRIEF}")
+
+
+BRIEF_NAMES = ["page_id", "record_type", "refers_to", "own_bytes", "own_digest"]
 
 
 def local_chains(table: pa.Table) -> pa.Table:
@@ -199,15 +268,15 @@ def entries(pointers: DataFrame, starts: DataFrame) -> DataFrame:
         jumps = stored(jumps.join(far, ["file", "exit"], "left").select("file", "at", F.coalesce("far", "exit").alias("exit")))
 
 
-def read(spark: SparkSession, path: str) -> DataFrame:
-    """(page_id, record_type, refers_to, payload_digest, url, payload binary): the true records; a revisit has no payload of
-    its own and null here."""
-    pieces = stored(segments(spark, path))
-    sizes = pieces.groupBy("file", "split").agg(F.sum("size").alias("bytes"))
+def chain(spark: SparkSession, path: str) -> DataFrame:
+    """(file, split, at, place, owner, alone) of every piece behind a magic: the place in the file, the place of the record that
+    it belongs to (null: of none), and whether it is a record that ends in its own piece."""
+    cuts = stored(segments(spark, path))
+    sizes = cuts.groupBy("file", "split").agg(F.sum("size").alias("bytes"))
     before = Window.partitionBy("file").orderBy("split").rowsBetween(Window.unboundedPreceding, -1)
     # a split's first byte in the file: what the splits before it hold; splits are few, whatever the file holds
     bases = stored(sizes.select("file", "split", "bytes", F.coalesce(F.sum("bytes").over(before), F.lit(0)).alias("base")))
-    light = stored(pieces.join(bases.withColumnRenamed("bytes", "end"), ["file", "split"]))
+    light = stored(cuts.join(bases.withColumnRenamed("bytes", "end"), ["file", "split"]))
     candidates = light.filter(~F.col("first"))
     pointers = stored(candidates.groupBy("file", "split").applyInArrow(local_chains, "file string, at bigint, exit bigint"))
     starts = pointers.groupBy("file").agg(F.min("at").alias("at"))
@@ -224,37 +293,44 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     # pieces in front of a split's entry belong to the last record of the splits before it
     last = chained.groupBy("file", "split").agg(F.max("owner").alias("last"))
     carried = last.select("file", "split", F.max("last").over(before).alias("carried"))
-    owned = chained.join(carried, ["file", "split"]).select("file", "split", "at", "place", F.coalesce("owner", "carried").alias("owner"), "alone")
-    content = segments(spark, path, contents=True).filter(~F.col("first")).select("file", "split", "at", "content")
-    # most records are one piece; the others are put together again
-    own = content.join(owned.filter("alone"), ["file", "split", "at"]).select(F.array("content").alias("parts"))
-    others = content.join(owned.filter(~F.col("alone") & F.col("owner").isNotNull()), ["file", "split", "at"])
-    joined = others.groupBy("file", "owner").agg(F.sort_array(F.collect_list(F.struct("place", "content"))).alias("parts"))
+    return stored(
+        chained.join(carried, ["file", "split"]).select("file", "split", "at", "place", F.coalesce("owner", "carried").alias("owner"), "alone")
+    )
+
+
+def whole_records(spark: SparkSession, path: str, owned: DataFrame) -> DataFrame:
+    """``parts`` of the records that go over several pieces. Where these are few, the stored list of their places is small
+    and the engine need not move the other pieces."""
+    wanted = stored(owned.filter(~F.col("alone") & F.col("owner").isNotNull()).drop("alone"))
+    joined = contents(spark, path).join(wanted, ["file", "split", "at"]).groupBy("file", "owner").agg(
+        F.sort_array(F.collect_list(F.struct("place", "content"))).alias("parts")
+    )
     # what follows a record that ended in its own piece has no head here
-    joined = joined.filter(F.get("parts", F.lit(0))["place"] == F.col("owner")).select(F.transform("parts", lambda x: x["content"]).alias("parts"))
+    return joined.filter(F.get("parts", F.lit(0))["place"] == F.col("owner")).select(F.transform("parts", lambda x: x["content"]).alias("parts"))
+
 
-    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def parse(rows: DataFrame, one, schema: str, kinds: list) -> DataFrame:
+    """``one`` applied to the records whose compressed ``parts`` the rows have."""
+    names = [x.split()[0] for x in schema.split(", ")]
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {c: [] for c in ("page_id", "record_type", "refers_to", "payload_digest", "url", "payload")}
-            for parts in batch.column("parts").to_pylist():
-                record = MAGIC.encode().join(map(blocks.unsqueeze, parts))
-                head, _, rest = record.partition(END.encode())
-                head = head.decode(errors="replace")
-                block = rest[: int(field(head, "Content-Length"))]
-                body = block.partition(END.encode())[2]
-                kind = field(head, "WARC-Type")
-                refers = re.fullmatch("<urn:page:(-?[0-9]+)>", field(head, "WARC-Refers-To") or "")
-                named = re.fullmatch("<urn:page:(-?[0-9]+)>", field(head, "WARC-Record-ID") or "")
-                values = (int(named[1]) if named else None, kind, int(refers[1]) if refers else None,
-                          (field(head, "WARC-Payload-Digest") or "").removeprefix("sha256:"), field(head, "WARC-Target-URI"),
-                          None if kind == "revisit" else body)
-                for c, x in zip(out, values, strict=True):
-                    out[c].append(x)
-            kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()]
-            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(out.values(), kinds, strict=True)], list(out))
-
-    return own.unionAll(joined).mapInArrow(
-        parse, "page_id bigint, record_type string, refers_to bigint, payload_digest string, url string, payload binary"
+            found = [one(MAGIC.encode().join(map(blocks.unsqueeze, parts))) for parts in batch.column("parts").to_pylist()]
+            columns = list(zip(*found, strict=True)) or [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names)
+
+    return rows.mapInArrow(work, schema)
+
+
+def read(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, record_type, refers_to, payload_digest, url, payload binary): the true records; a revisit has no payload of
+    its own and null here."""
+    owned = chain(spark, path)
+    own = contents(spark, path).join(owned.filter("alone"), ["file", "split", "at"]).select(F.array("content").alias("parts"))
+    return parse(
+        own.unionAll(whole_records(spark, path, owned)), parsed,
+        "page_id bigint, record_type string, refers_to bigint, payload_digest string, url string, payload binary",
+        [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.binary()],
     )
 
 
@@ -263,13 +339,12 @@ EMPTY = pa.table(
 )
 
 
-def catalogue(found: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of what ``read`` found. Digests of responses are
-    worked out from their payloads; a revisit takes size and digest from the response it names."""
-    found = stored(found.select(
-        "page_id", "record_type", "refers_to", F.octet_length("payload").cast("bigint").alias("own_bytes"),
-        F.when(F.col("payload").isNotNull(), F.sha2("payload", 256)).alias("own_digest"),
-    ))
+def catalogue(spark: SparkSession, path: str) -> DataFrame:
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to) of the true records. Digests of responses are worked
+    out from their payloads, in the task that reads them; a revisit takes size and digest from the response it names."""
+    owned = chain(spark, path)
+    alone = briefs(spark, path).join(owned.filter("alone").select("file", "split", "at"), ["file", "split", "at"]).select(*BRIEF_NAMES)
+    found = stored(alone.unionAll(parse(whole_records(spark, path, owned), brief, BRIEF, BRIEF_KINDS)))
     asked = found.filter("refers_to is not null").select(F.col("refers_to").alias("to")).distinct()
     answers = found.filter(F.col("record_type") == "response").select(F.col("page_id").alias("to"), "own_bytes", "own_digest")
     named = answers.join(asked, "to", "left_semi").groupBy("to").agg(F.min("own_bytes").alias("b"), F.min("own_digest").alias("d"))
@@ -286,4 +361,4 @@ def round_trip(pages: DataFrame, id: str = "page_id", url: str = "url", payload:
     """Writes the pages to archives in the shared folder and gives the catalogue of what is read back."""
     path = shared_folder(pages.sparkSession)
     write(pages, path, id, url, payload)
-    return catalogue(read(pages.sparkSession, path))
+    return catalogue(pages.sparkSession, path)
