@@ -14,11 +14,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the group's smallest id."""
-    groups = simhash.near_duplicates(docs.select("doc_id", "text"))
-    # rows without an id stay: no other row can be told to stand for them
-    gone = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id")
-    return docs.join(gone.distinct(), "doc_id", "left_anti").select(*docs.columns)
+    """One row of each group of near copies: the one with the group's smallest id (rows without an id come last)."""
+    # ids can repeat or be missing, so groups and removal go by row; the numbers are written, as no second reading need give them again
+    rows = stored(docs.withColumn("_row", F.monotonically_increasing_id()))
+    groups = simhash.near_duplicates(rows.select("_row", "doc_id", "text"), id="_row")
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row"))
+    kept = groups.groupBy("component_id").agg(first.alias("first")).select("first._row")
+    return rows.join(kept, "_row", "left_semi").select(*docs.columns)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

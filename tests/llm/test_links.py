@@ -209,3 +209,24 @@ def test_stages_take_odd_rows(spark, odd, none, folder):
         for _, stage in corpus_pipeline.STAGES:
             docs = store.stored(stage(spark, docs, folder))
     assert docs.count() == 0
+
+
+def test_stages_keep_one_row_of_each_text(spark, folder):
+    """Repeated rows, rows without an id, and ids that carry two texts: every text is left once and whole."""
+    import random
+
+    def prose(seed):
+        letters = random.Random(seed)
+        return " ".join("".join(letters.choices("abcdefghijklmnopqrstuvwxyz", k=6)) for _ in range(150))
+
+    a, b, c, d, e, f, g = map(prose, range(7))
+    rows = [(4, a), (4, a), (None, b), (None, b), (2, c), (None, c), (1, d), (5, d), (5, e), (6, f), (6, g)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").withColumn("n_chars", F.char_length("text").cast("bigint"))
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = store.stored(stage(spark, docs, folder))
+        assert docs.columns == columns
+    want = [(4, a), (None, b), (2, c), (1, d), (5, e), (6, f), (6, g)]
+    assert sorted(map(str, docs.select("doc_id", "text").collect())) == sorted(f"Row(doc_id={i}, text={t!r})" for i, t in want)
+    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert {r.doc_id for r in pieces.select("doc_id").collect()} == {i for i, _ in want}
