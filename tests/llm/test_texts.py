@@ -152,6 +152,18 @@ def test_scores(odd, none):
     assert all(r.n_known == 0 and r.score == pytest.approx(r.base_score, abs=1e-6) for r in hmm.scored(odd, F.lit(False), times=1).collect())
 
 
+def test_words_of_one_ending_learn_apart(spark):
+    """Two kinds of texts whose words end alike, behind 4200 words that are more frequent."""
+    word = lambda kind, k, j: f"{kind}{(k * 100 + j) % 500}zzz"
+    rows = [(k, " ".join(word("xy"[k % 2], k // 2, j) for j in range(100)), True) for k in range(40)]
+    rows += [(100, " ".join(f"n{i % 4200}" for i in range(8 * 4200)), True)]
+    # the same places, once with words of one kind and once of both
+    rows += [(200, " ".join(word("x", 1, j) for j in range(100)), False), (201, " ".join(word("xy"[j % 2], 1, j) for j in range(100)), False)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, train boolean").coalesce(2)
+    gain = {r.doc_id: r.score - r.base_score for r in hmm.scored(docs, F.col("train"), states=3, times=8).collect()}
+    assert gain[200] > gain[201] + 1
+
+
 def test_forward_is_exact_and_training_improves():
     import numpy as np
 

@@ -3,28 +3,28 @@
 Tokens are lower-cased (A-Z) words and one end per text. Counts of all tokens of the training rows give the base model: a
 token with count c has probability (c + 0.1) / (N + 0.1 (V + 1)), and all unknown tokens share one such place with c = 0.
 
-The hidden Markov model has ``states`` latent states. A state emits a class of tokens, and a token within its class by the base
-model, so every token of the corpus has a probability and only classes times states numbers are trained, whatever the
-vocabulary. The most frequent words are classes of their own; the others are classed by their last characters. A text starts
-from all states alike. Its probability is the base probability times the ratio that the forward recursion gives, so it is a
-proper distribution over texts, and the score is exact: the recursion runs over whole texts, in pieces of fixed length whose
-transfer matrices are multiplied, rescaled as it goes.
+The hidden Markov model has ``states`` latent states, and every training token has its own emission in each of them: the base
+model's probability times a ratio (1 for unknown tokens). Each text's state in front of its first token follows a trained start
+distribution. The score is exact: the forward recursion runs over whole texts, in pieces of fixed length whose transfer
+matrices are multiplied, rescaled as it goes.
 
-Training: in each round every block runs forward and backward over its training texts, expected counts are added up within a
-task, then across tasks by class. Counting goes through the block exchange: a block sends each of its distinct tokens once.
+Training: in each round every block runs forward and backward over its training texts and sends the expected counts of its
+distinct tokens to the buckets of their keys; a bucket adds them up and answers every block with the sums of the tokens it
+holds. The emissions are thus a table keyed by token that no task and not the driver holds whole; the driver sees only sums
+over states.
 
 Defined results: null and empty texts are the end alone; rows are independent; copies count as often as they occur; with no
 training row every token is unknown and the model's ratio is 1; an empty table gives no row; input columns (without the text)
 are kept, result columns replace those of the same name.
 """
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,7 +34,6 @@ from tonegauge.llm.store import stored
 
 STATES = 6
 ROUNDS = 4
-OWN, ENDINGS = 4096, 2048
 BLOCK_BYTES = 2 << 20
 #: Tokens of a piece; pieces run side by side.
 PIECE = 128
@@ -42,7 +41,7 @@ PIECE = 128
 LEAN = 0.5
 #: Weight of the base model in a state's emissions.
 PRIOR = 20.0
-TOKENS = "block bigint, rows binary, sizes binary, ids binary, keys binary, endings binary, train binary"
+TOKENS = "block bigint, rows binary, sizes binary, ids binary, keys binary, learns binary, train binary"
 
 
 class Numbers(dict):
@@ -75,13 +74,12 @@ def token_block(block: int, part: pa.RecordBatch, text: str, learns: str) -> pa.
         ids.append(np.fromiter(map(vocabulary.__getitem__, words), np.uint32, len(words)))
         sizes.append(len(words))
     keys = np.array([xxhash.xxh64_intdigest(w) for w in vocabulary], np.uint64)
-    endings = np.array([zlib.crc32(w[-3:]) % ENDINGS for w in vocabulary], np.uint16)
     order = np.argsort(keys)
     place = np.empty(len(order), np.uint32)
     place[order] = np.arange(len(order), dtype=np.uint32)
     ids = place[np.concatenate(ids)] if ids else np.zeros(0, np.uint32)
-    learning = np.repeat(pa.compute.fill_null(part.column(learns), False).to_numpy(zero_copy_only=False).astype(bool), sizes)
-    train = np.bincount(ids[learning], minlength=len(keys)).astype(np.uint32)
+    flags = pa.compute.fill_null(part.column(learns), False).to_numpy(zero_copy_only=False).astype(bool)
+    train = np.bincount(ids[np.repeat(flags, sizes)], minlength=len(keys)).astype(np.uint32)
     rows = part.select([c for c in part.schema.names if c != text])
     return pa.RecordBatch.from_pydict(
         {
@@ -90,7 +88,7 @@ def token_block(block: int, part: pa.RecordBatch, text: str, learns: str) -> pa.
             "sizes": [np.array(sizes, np.int64).tobytes()],
             "ids": [blocks.squeeze(np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 4).T).tobytes())],
             "keys": [blocks.encode(keys[order])],
-            "endings": [blocks.squeeze(endings[order].tobytes())],
+            "learns": [flags.tobytes()],
             "train": [blocks.squeeze(train.tobytes())],
         }
     )
@@ -101,121 +99,118 @@ def ids_of(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
 
 
-COUNTED = f"{blocks.REPLY}, top array<struct<key: bigint, c: bigint, ending: int>>, tail array<struct<ending: int, c: bigint, n: bigint>>"
+def planes(values: np.ndarray) -> bytes:
+    """Rows of single-precision numbers, byte planes apart."""
+    flat = np.ascontiguousarray(values, np.float32).reshape(-1)
+    return blocks.squeeze(np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 4).T).tobytes())
 
 
-def count_bucket(table: pa.Table) -> pa.Table:
-    """For each asking block the corpus counts of its tokens; one row more, of block -1, for the bucket's own sums."""
-    held = [blocks.decode(x) for x in table.column("keys").to_pylist()]
-    extra = [np.frombuffer(blocks.unsqueeze(x), np.uint32).reshape(2, -1) for x in table.column("extra").to_pylist()]
-    distinct, back = np.unique(np.concatenate(held), return_inverse=True)
-    counts = np.zeros(len(distinct), np.int64)
-    np.add.at(counts, back, np.concatenate([x[0] for x in extra]).astype(np.int64))
-    endings = np.zeros(len(distinct), np.int64)
-    endings[back] = np.concatenate([x[1] for x in extra])
-    replies, at = [], 0
-    for keys in held:
-        replies.append(blocks.squeeze(counts[back[at : at + len(keys)]].tobytes()))
-        at += len(keys)
-    known = counts > 0
-    most = np.flatnonzero(known)
-    signed = distinct.view(np.int64)
-    most = most[np.lexsort((signed[most], -counts[most]))][:OWN]
-    top = [{"key": int(signed[k]), "c": int(counts[k]), "ending": int(endings[k])} for k in most]
-    by_ending, number = np.bincount(endings, counts, ENDINGS), np.bincount(endings[known], minlength=ENDINGS)
-    tail = [{"ending": k, "c": int(by_ending[k]), "n": int(number[k])} for k in np.flatnonzero(number).tolist()]
-    blank = [None] * len(held)
-    names = ("key", "c", "ending"), ("ending", "c", "n")
-    kinds = [pa.list_(pa.struct([(n, pa.int32() if n == "ending" else pa.int64()) for n in each])) for each in names]
+def rows_of(data: bytes, states: int) -> np.ndarray:
+    flat = np.ascontiguousarray(np.frombuffer(blocks.unsqueeze(data), np.uint8).reshape(4, -1).T)
+    return flat.view(np.float32).reshape(-1, states)
+
+
+def lean(keys: np.ndarray, states: int) -> np.ndarray:
+    """How the states first lean to each token (tokens by states): log-normal, from the token's key alone."""
+    with np.errstate(over="ignore"):
+        x = keys[:, None] + np.arange(1, 2 * states + 1, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+        x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    uniform = (((x ^ (x >> np.uint64(31))) >> np.uint64(11)) + 0.5) / (1 << 53)
+    return np.exp(LEAN * np.sqrt(-2 * np.log(uniform[:, :states])) * np.cos(2 * np.pi * uniform[:, states:]))
+
+
+#: Rows of block -1 hold a bucket's own sums.
+ANSWERED = f"{blocks.REPLY}, sums array<double>"
+
+
+def answered(table: pa.Table, held: list[np.ndarray], replies: list[bytes], sums: np.ndarray) -> pa.Table:
+    asking = [b for b in table.column("block").to_pylist() if b >= 0]
     return pa.table(
         {
-            "block": pa.array([*table.column("block").to_pylist(), -1], pa.int64()),
-            "bucket": pa.array([*table.column("bucket").to_pylist(), table.column("bucket")[0].as_py()], pa.int32()),
+            "block": pa.array([*asking, -1], pa.int64()),
+            "bucket": pa.array([table.column("bucket")[0].as_py()] * (len(asking) + 1), pa.int32()),
             "reply": pa.array([*replies, None], pa.binary()),
-            "top": pa.array([*blank, top], kinds[0]),
-            "tail": pa.array([*blank, tail], kinds[1]),
+            "sums": pa.array([*[None] * len(held), sums.tolist()], pa.list_(pa.float64())),
         }
     )
 
 
-SUMS = "bucket int, top array<struct<key: bigint, c: bigint, ending: int>>, tail array<struct<ending: int, c: bigint, n: bigint>>"
-#: Buckets whose sums one task merges.
-FAN = 32
-
-
-def merge_sums(table: pa.Table) -> pa.Table:
-    """One row of sums from those of some buckets; a token is in one bucket only."""
-    top, tail = (table.column(c).combine_chunks().flatten() for c in ("top", "tail"))
-    key, c, ending = (top.field(x).to_numpy() for x in ("key", "c", "ending"))
-    most = np.lexsort((key, -c))[:OWN]
-    kinds = tail.field("ending").to_numpy()
-    counts, numbers = (np.bincount(kinds, tail.field(x).to_numpy(), ENDINGS).astype(np.int64) for x in ("c", "n"))
-    used = np.flatnonzero(numbers)
-    tops = pa.StructArray.from_arrays([pa.array(key[most]), pa.array(c[most]), pa.array(ending[most])], ["key", "c", "ending"])
-    tails = pa.StructArray.from_arrays([pa.array(used.astype(np.int32)), pa.array(counts[used]), pa.array(numbers[used])], ["ending", "c", "n"])
-    whole = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
-    return pa.table({"bucket": pa.array([table.column("bucket")[0].as_py()], pa.int32()), "top": whole(tops), "tail": whole(tails)})
-
-
-def corpus_sums(counted: DataFrame, buckets: int) -> tuple[list, list]:
-    """The most frequent tokens and the sums by ending, merged some buckets at a time."""
-    level = counted.filter(F.col("block") == -1).select("bucket", "top", "tail")
-    while True:
-        level = level.withColumn("bucket", (F.col("bucket") / FAN).cast("int")).groupBy("bucket").applyInArrow(merge_sums, SUMS)
-        buckets = -(-buckets // FAN)
-        if buckets == 1:
-            break
-    found = level.collect()
-    return (found[0].top, found[0].tail) if found else ([], [])
-
-
-class Classes:
-    """Token classes: each of the ``own`` words, then the endings, then one for unknown tokens."""
-
-    def __init__(self, top: list, tail: list):
-        order = sorted(top, key=lambda r: r.key % (1 << 64))
-        self.own = np.array([r.key for r in order], np.int64).view(np.uint64)
-        self.total = sum(r.c for r in tail)
-        self.distinct = sum(r.n for r in tail)
-        c, n = np.zeros(len(order) + ENDINGS), np.zeros(len(order) + ENDINGS)
-        for r in tail:
-            c[len(order) + r.ending], n[len(order) + r.ending] = r.c, r.n
-        for k, r in enumerate(order):
-            c[k], n[k] = r.c, 1
-            c[len(order) + r.ending] -= r.c
-            n[len(order) + r.ending] -= 1
-        share = c + 0.1 * n
-        self.share = share / max(share.sum(), 1e-300)
-        self.size = len(share)
+def merged(held: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
+    """The distinct keys of a bucket, and where each block's keys are among them."""
+    distinct, back = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_inverse=True)
+    return distinct, np.split(back, np.cumsum([len(x) for x in held])[:-1]) if held else []
 
-    def base(self, counts: np.ndarray) -> np.ndarray:
-        return np.log10((counts + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
 
-    def of(self, keys: np.ndarray, endings: np.ndarray) -> np.ndarray:
-        out = len(self.own) + endings.astype(np.int64)
-        if len(self.own):
-            at = np.minimum(np.searchsorted(self.own, keys), len(self.own) - 1)
-            hit = self.own[at] == keys
-            out[hit] = at[hit]
-        return out
-
-
-def ratios(expected: np.ndarray, share: np.ndarray) -> np.ndarray:
-    """State by class emissions over the base share of the class; the last row, for unknown tokens, is 1."""
-    emission = (expected + PRIOR * share[:, None]) / (expected.sum(axis=0) + PRIOR)
-    ratio = np.ones((len(share) + 1, expected.shape[1]), np.float32)
-    used = share > 0
-    ratio[:-1][used] = emission[used] / share[used, None]
-    return ratio
+def count_bucket(table: pa.Table, states: int) -> pa.Table:
+    """For each asking block the corpus counts of its tokens; sums: all tokens, distinct tokens, weights by state."""
+    held = [blocks.decode(x) for x in table.column("keys").to_pylist()]
+    distinct, places = merged(held)
+    counts = np.zeros(len(distinct), np.int64)
+    for at, x in zip(places, table.column("extra").to_pylist(), strict=True):
+        counts[at] += np.frombuffer(blocks.unsqueeze(x), np.uint32)
+    known = counts > 0
+    weights = (counts[known] + 0.1) @ lean(distinct[known], states)
+    sums = np.concatenate([[counts.sum(), known.sum()], weights])
+    return answered(table, held, [blocks.squeeze(counts[at].tobytes()) for at in places], sums)
+
+
+def add_bucket(table: pa.Table, states: int) -> pa.Table:
+    """For each asking block the expected counts of its tokens in the whole corpus (tokens by states); sums: expected counts
+    by state, then what the tasks' own rows hold."""
+    own = [b < 0 for b in table.column("block").to_pylist()]
+    extra = table.column("extra").to_pylist()
+    held = [blocks.decode(x) for x, o in zip(table.column("keys").to_pylist(), own, strict=True) if not o]
+    distinct, places = merged(held)
+    expected = np.zeros((len(distinct), states))
+    for at, x in zip(places, [x for x, o in zip(extra, own, strict=True) if not o], strict=True):
+        expected[at] += rows_of(x, states)
+    moved = np.zeros(states * states + states)
+    for x in (x for x, o in zip(extra, own, strict=True) if o):
+        moved += np.frombuffer(x, np.float64)
+    return answered(table, held, [planes(expected[at]) for at in places], np.concatenate([expected.sum(axis=0), moved]))
+
+
+def summed(replies: DataFrame, size: int) -> np.ndarray:
+    """The buckets' sums added up: so many numbers, whatever the vocabulary."""
+    out = np.zeros(size)
+    for at, value in replies.filter(F.col("block") < 0).select(F.posexplode("sums")).groupBy("pos").agg(F.sum("col")).collect():
+        out[at] = value
+    return out
+
+
+class Model:
+    """What all blocks share: numbers of tokens, sums by state, moves and start. Emissions come with the replies."""
+
+    def __init__(self, states: int, sums: np.ndarray):
+        self.total, self.distinct, self.weights, self.by_state = int(sums[0]), int(sums[1]), sums[2:], None
+        self.move = np.full((states, states), 0.2 / max(states - 1, 1))
+        np.fill_diagonal(self.move, 0.8 if states > 1 else 1.0)
+        self.begin = np.full(states, 1 / states)
 
+    def base(self, counts: np.ndarray) -> np.ndarray:
+        return np.log10((counts + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
 
-def start(classes: Classes, states: int) -> tuple[np.ndarray, np.ndarray]:
-    """States that tend to stay and lean to different classes, the same in every run."""
-    lean = np.exp(LEAN * np.random.default_rng(8).standard_normal((classes.size, states)))
-    expected = classes.share[:, None] * lean
-    stay = np.full((states, states), 0.2 / max(states - 1, 1))
-    np.fill_diagonal(stay, 0.8 if states > 1 else 1.0)
-    return ratios(1e9 * expected / np.maximum(expected.sum(axis=0), 1e-300), classes.share), stay
+    def ratios(self, keys: np.ndarray, replies: list[bytes]) -> np.ndarray:
+        """A block's tokens by states: emissions over base probabilities; 1 for unknown tokens, and a last row of 1."""
+        states = len(self.move)
+        ratio = np.ones((len(keys) + 1, states))
+        if self.by_state is None:
+            known = np.concatenate([np.frombuffer(blocks.unsqueeze(x), np.int64) for x in replies]) > 0
+            ratio[:-1][known] = lean(keys[known], states) * (self.total + 0.1 * self.distinct) / self.weights
+            return ratio
+        expected = np.concatenate([rows_of(x, states) for x in replies]).astype(np.float64)
+        # over the states, expected counts add up to the token's count
+        counts = expected.sum(axis=1)
+        known = counts > 0.5
+        share = ((counts[known] + 0.1) / (self.total + 0.1 * self.distinct))[:, None]
+        ratio[:-1][known] = (expected[known] + PRIOR * share) / ((self.by_state + PRIOR) * share)
+        return ratio
+
+    def learn(self, sums: np.ndarray) -> None:
+        states = len(self.move)
+        self.by_state, moved, begun = sums[:states], sums[states:-states].reshape(states, states) + 1 / states, sums[-states:] + 1 / states
+        self.move, self.begin = moved / moved.sum(axis=1, keepdims=True), begun / begun.sum()
 
 
 class Pieces:
@@ -239,7 +234,7 @@ class Pieces:
         by_turn = np.argsort(turn, kind="stable")
         edges = np.searchsorted(turn[by_turn], np.arange(turn.max() + 2 if len(order) else 1))
         self.turns = [by_turn[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-        self.texts, self.pieces = len(sizes), len(order)
+        self.texts, self.pieces, self.opens = len(sizes), len(order), turn == 0
 
     def steps(self) -> list[tuple[int, int, int]]:
         return [(t, a, self.edges[t]) for t, a in enumerate(self.active)]
@@ -249,7 +244,7 @@ class Pieces:
         kinds = classes[self.tokens]
         return np.stack([ratio[:, s][kinds] for s in range(ratio.shape[1])])
 
-    def forward(self, emit: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def forward(self, emit: np.ndarray, move: np.ndarray, begin: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Natural log of each text's ratio, the state shares in front of each piece, and each piece's transfer matrix
         (to state, from state, piece)."""
         k, n = len(move), self.pieces
@@ -263,13 +258,13 @@ class Pieces:
                 now = now[:, :, :a]
             now = (turned @ np.ascontiguousarray(now).reshape(k, -1)).reshape(k, k, a)
             now *= emit[:, None, at : at + a]
-            if t % 8 == 7:
+            if t % 2:
                 scale = now.sum(axis=(0, 1))
                 now /= scale
                 logs[:a] += np.log(scale)
         transfer[:, :, : now.shape[2]] = now
         inside, front = np.zeros(self.texts), np.empty((k, n), emit.dtype)
-        state = np.full((k, self.texts), 1 / k)
+        state = np.repeat((np.full(k, 1 / k) if begin is None else begin)[:, None], self.texts, axis=1)
         for rows in self.turns:
             texts = self.text[rows]
             front[:, rows] = state[:, texts]
@@ -281,8 +276,14 @@ class Pieces:
 
     def expected(self, classes: np.ndarray, ratio: np.ndarray, move: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Baum-Welch: expected emissions (class by state) and moves."""
+        return self.learned(classes, ratio, move)[:2]
+
+    def learned(
+        self, classes: np.ndarray, ratio: np.ndarray, move: np.ndarray, begin: np.ndarray | None = None
+    ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Expected emissions (class by state), moves, and states in front of the texts."""
         emit = self.emissions(classes, ratio)
-        _, front, transfer = self.forward(emit, move)
+        _, front, transfer = self.forward(emit, move, begin)
         k, n = len(move), self.pieces
         turned = np.ascontiguousarray(move.T)
         back = np.empty((k, n), np.float32)
@@ -299,7 +300,7 @@ class Pieces:
             state *= emit[:, at : at + a]
             state /= state.sum(axis=0)
             shares[:, at : at + a] = state
-        moves = np.zeros((k, k))
+        moves, begun = np.zeros((k, k)), np.zeros(k)
         for t, a, at in reversed(self.steps()):
             here = shares[:, at : at + a]
             outer = emit[:, at : at + a] * back[:, :a]
@@ -312,44 +313,49 @@ class Pieces:
             if t:
                 behind /= behind.sum(axis=0)
                 back[:, :a] = behind
+            else:
+                first = (came * behind)[:, self.opens]
+                begun = (first / first.sum(axis=0)).sum(axis=1)
         kinds = classes[self.tokens]
         emitted = np.stack([np.bincount(kinds, shares[s], len(ratio)) for s in range(k)], axis=1)
-        return emitted[:-1], moves * move
+        return emitted[:-1], moves * move, begun
 
 
-def rounds(table: DataFrame, classes: Classes, states: int, times: int) -> tuple[np.ndarray, np.ndarray]:
-    """Trains on the blocks' training texts. Only classes times states sums reach the driver."""
-    ratio, move = start(classes, states)
-    sums = ", ".join(f"s{k} double" for k in range(states))
-    for _ in range(times if classes.total else 0):
+def rounds(table: DataFrame, counted: DataFrame, states: int, times: int, buckets: int) -> tuple[Model, DataFrame]:
+    """Trains on the blocks' training texts: the model, and per block the replies that hold its tokens' emissions."""
+    model = Model(states, summed(counted, 2 + states))
+    replies = blocks.per_block(counted.filter(F.col("block") >= 0).select("block", "bucket", "reply"))
+    for _ in range(times if model.total else 0):
 
-        def work(batches: Iterator[pa.RecordBatch], ratio=ratio, move=move.astype(np.float32)) -> Iterator[pa.RecordBatch]:
-            emitted, moved = np.zeros((classes.size, states)), np.zeros((states, states))
+        def work(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
+            moved, begun = np.zeros((states, states)), np.zeros(states)
+            move, begin = model.move.astype(np.float32), model.begin
             for batch in batches:
                 for row in range(batch.num_rows):
-                    got = {c: batch.column(c)[row].as_py() for c in ("sizes", "ids", "keys", "endings", "learns")}
-                    sizes, learns = np.frombuffer(got["sizes"], np.int64), np.frombuffer(got["learns"], bool)
+                    got = {c: batch.column(c)[row].as_py() for c in ("block", "sizes", "ids", "keys", "learns", "replies")}
+                    sizes, learns, keys = np.frombuffer(got["sizes"], np.int64), np.frombuffer(got["learns"], bool), blocks.decode(got["keys"])
                     ids = ids_of(got["ids"])[np.repeat(learns, sizes)]
+                    emitted = np.zeros((len(keys), states))
                     if len(ids):
-                        kinds = classes.of(blocks.decode(got["keys"]), np.frombuffer(blocks.unsqueeze(got["endings"]), np.uint16))
-                        e, m = Pieces(sizes[learns]).expected(kinds[ids], ratio, move)
-                        emitted += e
+                        ratio = model.ratios(keys, got["replies"]).astype(np.float32)
+                        emitted, m, b = Pieces(sizes[learns]).learned(ids, ratio, move, begin)
                         moved += m
-            used = np.flatnonzero(emitted.any(axis=1))
-            kind = np.concatenate([used, classes.size + np.arange(states)])
-            both = np.concatenate([emitted[used], moved])
-            yield pa.RecordBatch.from_arrays([pa.array(kind, pa.int64()), *[pa.array(both[:, s]) for s in range(states)]], ["kind", *[f"s{s}" for s in range(states)]])
-
-        added = table.mapInArrow(work, f"kind bigint, {sums}").groupBy("kind").agg(*[F.sum(f"s{s}").alias(f"s{s}") for s in range(states)])
-        expected, moved = np.zeros((classes.size, states)), np.zeros((states, states))
-        for kind, *values in added.collect():
-            if kind < classes.size:
-                expected[kind] = values
-            else:
-                moved[kind - classes.size] = values
-        ratio = ratios(expected, classes.share)
-        move = (moved + 1 / states) / (moved + 1 / states).sum(axis=1, keepdims=True)
-    return ratio, move
+                        begun += b
+                    yield blocks.questions(got["block"], keys, lambda a, b, e=emitted: planes(e[a:b]), buckets)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "bucket": pa.array([TaskContext.get().partitionId() % buckets], pa.int32()),
+                    "block": pa.array([-1], pa.int64()),
+                    "keys": pa.array([None], pa.binary()),
+                    "extra": pa.array([np.concatenate([moved.ravel(), begun]).tobytes()], pa.binary()),
+                }
+            )
+
+        asked = table.select("block", "sizes", "ids", "keys", "learns").join(replies, "block").mapInArrow(work, blocks.ASKED)
+        added = stored(asked.groupBy("bucket").applyInArrow(lambda t: add_bucket(t, states), ANSWERED))
+        replies = blocks.per_block(added.filter(F.col("block") >= 0).select("block", "bucket", "reply"))
+        model.learn(summed(added, states * states + 2 * states))
+    return model, replies
 
 
 def scored(docs: DataFrame, learns: Column, text: str = "text", states: int = STATES, times: int = ROUNDS) -> DataFrame:
@@ -367,59 +373,40 @@ def scored(docs: DataFrame, learns: Column, text: str = "text", states: int = ST
             for row in range(batch.num_rows):
                 keys = blocks.decode(batch.column("keys")[row].as_py())
                 train = np.frombuffer(blocks.unsqueeze(batch.column("train")[row].as_py()), np.uint32)
-                endings = np.frombuffer(blocks.unsqueeze(batch.column("endings")[row].as_py()), np.uint16).astype(np.uint32)
                 yield blocks.questions(
-                    batch.column("block")[row].as_py(), keys,
-                    lambda a, b, train=train, endings=endings: blocks.squeeze(np.stack([train[a:b], endings[a:b]]).tobytes()), buckets,
-                )
-
-    asked = table.select("block", "keys", "train", "endings").mapInArrow(ask, blocks.ASKED)
-    counted = stored(asked.groupBy("bucket").applyInArrow(count_bucket, COUNTED))
-    top, tail = corpus_sums(counted, buckets)
-    classes = Classes(top, tail)
-
-    def learning(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in range(batch.num_rows):
-                flags = blocks.from_stream(batch.column("rows")[row].as_py()).column("_learns")
-                data = flags.to_numpy().astype(bool).tobytes()
-                one = batch.slice(row, 1)
-                yield pa.RecordBatch.from_arrays(
-                    [*[one.column(c) for c in ("sizes", "ids", "keys", "endings")], pa.array([data], pa.binary())],
-                    ["sizes", "ids", "keys", "endings", "learns"],
+                    batch.column("block")[row].as_py(), keys, lambda a, b, train=train: blocks.squeeze(train[a:b].tobytes()), buckets
                 )
 
+    asked = table.select("block", "keys", "train").mapInArrow(ask, blocks.ASKED)
+    counted = stored(asked.groupBy("bucket").applyInArrow(lambda t: count_bucket(t, states), ANSWERED))
     # training works in single precision, scores are exact in double
-    parts = table.mapInArrow(learning, "sizes binary, ids binary, keys binary, endings binary, learns binary")
-    ratio, move = rounds(parts, classes, states, times)
-    ratio = ratio.astype(np.float64)
+    model, emissions = rounds(table, counted, states, times, buckets)
     fields = [rows.schema[c] for c in others]
     schema = T.StructType([*fields, *T.StructType.fromDDL("n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double").fields])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                got = {c: batch.column(c)[row].as_py() for c in ("rows", "sizes", "ids", "keys", "endings", "replies")}
-                counts = np.concatenate([np.frombuffer(blocks.unsqueeze(x), np.int64) for x in got["replies"]])
+                got = {c: batch.column(c)[row].as_py() for c in ("rows", "sizes", "ids", "keys", "counts", "replies")}
+                counts = np.concatenate([np.frombuffer(blocks.unsqueeze(x), np.int64) for x in got["counts"]])
                 sizes, ids = np.frombuffer(got["sizes"], np.int64), ids_of(got["ids"])
-                kinds = classes.of(blocks.decode(got["keys"]), np.frombuffer(blocks.unsqueeze(got["endings"]), np.uint16))
-                kinds[counts == 0] = classes.size
                 first = np.cumsum(sizes) - sizes
-                base = np.add.reduceat(classes.base(counts)[ids], first)
+                base = np.add.reduceat(model.base(counts)[ids], first)
                 known = np.add.reduceat((counts > 0)[ids].astype(np.int64), first)
                 pieces = Pieces(sizes)
-                gain = pieces.forward(pieces.emissions(kinds[ids], ratio), move)[0] / np.log(10)
+                ratio = model.ratios(blocks.decode(got["keys"]), got["replies"])
+                gain = pieces.forward(pieces.emissions(ids, ratio), model.move, model.begin)[0] / np.log(10)
                 here = blocks.from_stream(got["rows"])
                 yield from pa.table(
                     {
                         **{c: here.column(c) for c in others},
                         "n_tokens": pa.array(sizes),
                         "n_known": pa.array(known),
-                        "train_tokens": pa.array(np.full(len(sizes), classes.total, np.int64)),
+                        "train_tokens": pa.array(np.full(len(sizes), model.total, np.int64)),
                         "base_score": pa.array(base),
                         "score": pa.array(base + gain),
                     }
                 ).to_batches()
 
-    replies = blocks.per_block(counted.filter(F.col("block") >= 0).select("block", "bucket", "reply"))
-    return table.drop("train").join(replies, "block").mapInArrow(score, schema)
+    counts = blocks.per_block(counted.filter(F.col("block") >= 0).select("block", "bucket", "reply"))
+    return table.drop("train", "learns").join(counts.withColumnRenamed("replies", "counts"), "block").join(emissions, "block").mapInArrow(score, schema)
