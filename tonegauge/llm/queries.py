@@ -3,7 +3,10 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tonegauge.llm import hmm, packing, pieces, quality, secret_scan, simhash, suffix_dedup, top_k, toxicity, warc
+from tonegauge.llm import (
+    hmm, packing, periodic_runs, pieces, pivot_index, prefix_trie, quality, secret_scan, simhash, suffix_dedup, top_k, toxicity, warc,
+)
+from tonegauge.llm.store import stored
 
 
 def tokenizer(name: str) -> str:
@@ -90,9 +93,56 @@ def op10_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.round_trip(table(spark, folder, "pages"))
 
 
+def with_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with one text in ten replaced by its words, of which those from the a-th on repeat with period p."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    chosen = F.coalesce(h % 10 == 0, F.lit(False))
+    rows = docs.withColumn("words", F.when(chosen, words)).withColumn("n", F.size("words").cast("bigint"))
+    rows = rows.withColumn("a", F.when(F.col("n") > 0, F.floor(h / 10) % F.col("n")).cast("int"))
+    p = 1 + F.floor((F.col("n") - F.col("a")) / (3 + F.floor(h / 10) % 8))
+    rows = rows.withColumn("rest", (F.col("n") - F.col("a")).cast("int")).withColumn("p", p.cast("int"))
+    turns = F.ceil(F.col("rest") / F.col("p")).cast("int")
+    again = F.slice(F.flatten(F.array_repeat(F.slice("words", F.col("a") + 1, F.col("p")), turns)), F.lit(1), F.col("rest"))
+    mended = F.array_join(F.concat(F.slice("words", F.lit(1), F.col("a")), again), " ")
+    return rows.select("doc_id", F.when(F.col("n") > 0, mended).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_repeats(table(spark, folder, "documents").select("doc_id", "text")))
+    return digest_runs(found)
+
+
+def digest_runs(found: DataFrame) -> DataFrame:
+    longest = F.get(F.sort_array(F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))), F.lit(0))
+    spelled = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("top", longest).select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), F.col("top.start").alias("start"), (-F.col("top.less")).alias("length"),
+        F.col("top.period").alias("period"), F.floor(-1000 * F.col("top.less") / F.col("top.period")).alias("exponent_milli"),
+        F.sha2(spelled.cast("binary"), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_pivot_index(spark: SparkSession, folder: str) -> DataFrame:
+    return pivot_index.near_duplicates(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+
+
+def rebuilt(convs: DataFrame) -> DataFrame:
+    """Sequences (conv, turns) that begin with the first turns of an earlier conversation."""
+    h = (F.crc32(F.col("conv").cast("string").cast("binary")) % 4).cast("int")
+    heads = convs.select(F.col("conv").alias("base"), F.slice("turns", 1, 3).alias("head"))
+    own = F.slice("turns", h + 1, F.size("turns"))
+    joined = convs.withColumn("base", F.col("conv") - F.col("conv") % 20).join(heads, "base", "left")
+    return joined.select("conv", F.when(F.col("head").isNull(), own).otherwise(F.concat(F.slice("head", F.lit(1), h), own)).alias("turns"))
+
+
+def op13_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.trie(stored(rebuilt(stored(prefix_trie.sequences(table(spark, folder, "conversations"))))))
+
+
 QUERIES = {f.__name__: f for f in [
     op1_suffix_dedup, op2_best_fit_packing, op3_sentencepiece, op4_secret_scan, op5_top_k, op6_toxicity, op7_quality_rules,
-    op8_hidden_markov, op9_simhash, op10_warc,
+    op8_hidden_markov, op9_simhash, op10_warc, op11_periodic_runs, op12_pivot_index, op13_prefix_trie,
 ]}
 
 SQL = {
@@ -145,4 +195,44 @@ SELECT page_id, cast(n AS bigint) AS payload_bytes, d.h AS payload_digest,
   CASE WHEN n >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
   CASE WHEN n >= 100 AND first < page_id THEN first END AS refers_to
 FROM d LEFT JOIN f ON d.h = f.h""",
+    "op12_pivot_index": """
+WITH RECURSIVE v AS (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: cast(x AS double)) AS e FROM embeddings),
+good AS (
+  SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.r AS a, b.r AS b FROM good a JOIN good b ON a.r <> b.r AND len(a.e) = len(b.e)
+  WHERE CASE WHEN len(a.e) = len(b.e) THEN list_cosine_similarity(a.e, b.e) END >= 0.95),
+reach AS (SELECT r AS a, r AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+least AS (SELECT reach.a, min(v.vec_id) AS component_id FROM reach JOIN v ON reach.b = v.r GROUP BY reach.a),
+counted AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, cast(coalesce(n, 0) AS bigint) AS n_links, component_id, coalesce(component_id = v.vec_id, false) AS kept
+FROM v JOIN least ON v.r = least.a LEFT JOIN counted ON v.r = counted.a""",
+    "op13_prefix_trie": r"""
+WITH t AS (
+  SELECT conv_id, turn, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS said FROM conversations WHERE conv_id IS NOT NULL),
+s AS (
+  SELECT conv_id, list(said ORDER BY turn NULLS FIRST, said.r, sha256(said.t)) AS own, xor(list_reduce(list_concat([4294967295],
+    flatten(list_transform(string_split(cast(conv_id AS varchar), ''), lambda c: [ascii(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda crc, x: CASE WHEN x >= 0 THEN xor(crc, x) ELSE xor(crc >> 1, (crc & 1) * 3988292384) END), 4294967295) % 4 AS h
+  FROM t GROUP BY conv_id),
+c AS (
+  SELECT s.conv_id, list_concat(coalesce(b.own, [])[1:s.h], s.own[s.h + 1:]) AS path
+  FROM s LEFT JOIN s b ON b.conv_id = s.conv_id - s.conv_id % 20),
+p AS (SELECT conv_id, path, unnest(range(0, len(path) + 1)) AS d FROM c),
+nodes AS (
+  SELECT path[1:d] AS path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(cast(conv_id AS varchar), ',' ORDER BY conv_id) FILTER (len(path) = d), '') AS ends
+  FROM p GROUP BY path[1:d], d),
+kids AS (SELECT path[1:depth - 1] AS path, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY path[1:depth - 1]),
+weighed AS (
+  SELECT nodes.*, coalesce(kids.n, 0) AS n_children, (n_convs - 1) * CASE WHEN depth = 0 THEN 0
+    ELSE len(regexp_extract_all(nodes.path[depth].t, '[^\x20\x09-\x0D]+')) END AS saved
+  FROM nodes LEFT JOIN kids ON nodes.path = kids.path),
+up AS (SELECT path, n_children, saved, unnest(range(0, depth + 1)) AS k FROM weighed),
+sums AS (SELECT path[1:k] AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum(saved) AS saved FROM up GROUP BY path[1:k])
+SELECT n.conv_id, n.depth, parent.conv_id AS parent_conv_id, n.n_convs, cast(n.n_children AS bigint) AS n_children,
+  cast(n_leaves AS bigint) AS n_leaves, cast(sums.saved AS bigint) AS saved_tokens, sha256(n.ends) AS ends_sha256
+FROM weighed n JOIN sums ON n.path = sums.path LEFT JOIN nodes parent ON n.depth > 0 AND parent.path = n.path[1:n.depth - 1]""",
 }
