@@ -118,17 +118,18 @@ def pages(spark):
     rows = [(k, f"http://e.x/{k}", f"<p>{k}</p>" * 40) for k in range(30)]
     rows += [(40, None, None), (41, "bad\r\nWARC/1.0\r\n", ""), (42, "u", "short"), (43, "u", "short"), (44, "u", trap), (45, "u", trap),
              (46, "u", half), (47, "u", big), (48, "u", big), (49, "", "é" * 70), (50, "u", "é" * 70), (50, "u", "é" * 70), (None, "u", "gone")]
+    # one id with two payloads, both of which others revisit; payloads of rows without an id
+    rows += [(60, "u", "A" * 200), (60, "u", "B" * 300), (61, "u", "A" * 200), (62, "u", "B" * 300), (63, "u", "B" * 300)]
+    rows += [(None, "u", "A" * 200), (None, None, "C" * 150), (None, None, "C" * 150)]
     return spark.createDataFrame(rows, "page_id bigint, url string, html string").withColumn("record_type", F.lit("odd"))
 
 
 def wanted(rows):
     out = []
     for r in rows:
-        if r.page_id is None:
-            continue
         body = (r.html or "").encode()
-        first = min(x.page_id for x in rows if x.page_id is not None and (x.html or "") == (r.html or ""))
-        again = len(body) >= 100 and first < r.page_id
+        first = min((x.page_id for x in rows if x.page_id is not None and (x.html or "") == (r.html or "")), default=None)
+        again = len(body) >= 100 and first is not None and (r.page_id is None or first < r.page_id)
         out.append((r.page_id, len(body), hashlib.sha256(body).hexdigest(), "revisit" if again else "response", first if again else None))
     return sorted(out, key=str)
 

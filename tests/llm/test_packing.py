@@ -68,6 +68,20 @@ def test_reduction_never_costs_a_sequence():
         assert fixed + optimum(sorted(rest, reverse=True), 12) == optimum(sizes, 12), sizes
 
 
+def test_reduction_fixes_most_of_a_realistic_histogram():
+    """Lengths as documents have them: short ones, few very short ones, and the first pieces of long ones. Tiny pieces don't end it."""
+    rng = random.Random(11)
+    lengths = [min(1024, int(rng.lognormvariate(6.3, 0.9)) + 1) for _ in range(4000)] + [rng.randint(1, 1024) for _ in range(3000)]
+    for tiny in (0, 50):
+        histogram = Counter(lengths) + Counter({1: tiny})
+        left = dict(histogram)
+        packing.reduce(left, 1024)
+        fixed = 1 - sum(left.values()) / sum(histogram.values())
+        assert fixed > 0.5, fixed
+        used = sum(times for _, times in packing.plan(dict(histogram), 1024))
+        assert used <= packing.lower_bound(histogram, 1024) * 1.01
+
+
 @pytest.mark.parametrize("text", [
     "", " ", "a  b", "a \n b", "x<|endoftext|>y", " lead", "trail ", "don't I'll  'tis", "\t\tx\n\n\ny z", "a b", "a\x85 b", "\x1c a",
     "word, word. the&&& 12 3,4 x²y ½", "naïve ß漢字 \U0001f600 ok", "a  b",

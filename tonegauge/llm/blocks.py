@@ -58,6 +58,11 @@ def byte_lengths(column: pa.Array) -> np.ndarray:
     return pa.compute.fill_null(lengths, 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
 
+def unused(columns: list[str]) -> str:
+    """A column name that none of these is equal to."""
+    return max(columns, key=len, default="") + "_"
+
+
 def numbers() -> Iterator[int]:
     """Block numbers that no other task uses. They are kept with the block, so a task that runs again does no harm."""
     first = TaskContext.get().partitionId() << 32
@@ -133,9 +138,9 @@ def per_block(replies: DataFrame) -> DataFrame:
     return replies.groupBy("block").agg(F.transform(listed, lambda x: x["reply"]).alias("replies"))
 
 
-def repeated_keys(asked: DataFrame) -> DataFrame:
+def repeated_keys(asked: DataFrame, buckets: int) -> DataFrame:
     """REPLY rows: a bit per key, set if the key occurs twice or more. ``extra`` has a bit per key, set if the block itself
-    holds it twice. One bucket is sorted at a time."""
+    holds it twice. One bucket is sorted at a time, and there are as many tasks as buckets."""
 
     def sort_bucket(table: pa.Table) -> pa.Table:
         held = [decode(x) for x in table.column("keys").to_pylist()]
@@ -152,7 +157,7 @@ def repeated_keys(asked: DataFrame) -> DataFrame:
             bits.append(np.packbits(twice[at] == keys if len(twice) else np.zeros(len(keys), bool)).tobytes())
         return pa.table({"block": table.column("block"), "bucket": table.column("bucket"), "reply": pa.array(bits, pa.binary())})
 
-    return asked.groupBy("bucket").applyInArrow(sort_bucket, REPLY)
+    return asked.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(sort_bucket, REPLY)
 
 
 def bits_of(replies: Iterable[bytes], keys: np.ndarray, buckets: int, bits: int = 64) -> np.ndarray:

@@ -6,8 +6,9 @@ takes what does not fill one. Pieces are then put into as few sequences of ``cap
 The packing only depends on how many pieces there are of each length, so it is worked out on that histogram (at most
 ``capacity`` counts, whatever the corpus holds), for all pieces of a length at once:
 
-1. Reduction. For the longest length left, a set of one, two or three pieces is fixed for good where it provably dominates
-   every other set that the piece could share a sequence with; this repeats until no such set is found.
+1. Reduction. For each length, longest first, a set of one, two or three pieces is fixed for good where it provably dominates
+   every other set that the piece could share a sequence with. Fixed sets leave fewer choices for the others, so passes over
+   all lengths repeat until one fixes nothing.
 2. What remains is packed best-fit, longest first.
 
 The result is a list of runs: a pattern of lengths and how many sequences use it. Each piece then finds its sequence from its
@@ -15,7 +16,7 @@ rank among the pieces of its length; ranks are made per bucket of rows, so no le
 
 Defined results: null and empty texts are the end id alone; copies are packed one by one; an empty table gives no row; input
 columns (without the text) are kept, result columns replace those of the same name. The order among pieces of one length
-follows a hash of the row, so results are repeatable.
+follows a hash of the row, so results are repeatable. Texts are cut in slices of ``blocks.BLOCK_BYTES`` or one row.
 """
 
 import bisect
@@ -30,6 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tonegauge.llm import blocks
 from tonegauge.llm.store import stored
 
 SPECIAL = "<|endoftext|>"
@@ -110,7 +112,8 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int =
     """One row per piece: the other columns, ``piece``, ``start``, ``length``, ``ids_crc32`` and, if asked for, ``ids``."""
     added = {"piece", "start", "length", "ids_crc32", "ids"}
     others = [c for c in docs.columns if c not in {text, *added}]
-    rows = docs.select(*others, F.col(text).cast("string").alias("_text"))
+    body = blocks.unused(docs.columns)
+    rows = docs.select(*others, F.col(text).cast("string").alias(body))
     fields = [rows.schema[c] for c in others] + T.StructType.fromDDL(
         "piece int, start bigint, length bigint, ids_crc32 bigint" + ", ids binary" * with_ids
     ).fields
@@ -118,9 +121,9 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int =
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tokenizer)
         end = np.array([end_id], "<u4").tobytes()
-        for batch in batches:
+        for batch in (part for b in batches for part in blocks.slices(b, blocks.byte_lengths(b.column(body)))):
             row, out = [], {"piece": [], "start": [], "length": [], "ids_crc32": []} | ({"ids": []} if with_ids else {})
-            for at, value in enumerate(batch.column("_text")):
+            for at, value in enumerate(batch.column(body)):
                 ids = encoder.encode(value.as_py() or "") + end
                 total = len(ids) // 4
                 first = total % capacity or capacity
@@ -145,12 +148,12 @@ def pieces(docs: DataFrame, tokenizer: str, text: str = "text", capacity: int =
 # the packing of a histogram
 
 
-def dominant(sizes: list[int], left: dict[int, int], capacity: int) -> tuple[int, ...] | None:
-    """For the longest piece j: a set with it that dominates all others it can be in, or None if none is proven.
+def dominant(j: int, sizes: list[int], left: dict[int, int], capacity: int) -> tuple[int, ...] | None:
+    """For a piece of length j: a set with it that dominates all others it can be in, or None if none is proven. Its partners
+    can be longer than it.
 
     A set dominates another if the other's pieces can be dealt to its pieces without exceeding any.
     """
-    j = sizes[-1]
     room = capacity - j
     have = lambda s, taken: left[s] - taken.count(s) > 0
     fit = [s for s in sizes[: bisect.bisect_right(sizes, room)] if have(s, (j,))]
@@ -184,16 +187,18 @@ def dominant(sizes: list[int], left: dict[int, int], capacity: int) -> tuple[int
 
 
 def reduce(left: dict[int, int], capacity: int) -> list[tuple[tuple[int, ...], int]]:
-    """Fixes dominating sets of the longest pieces, as often as the counts allow; takes them out of ``left``."""
-    runs = []
-    while left:
+    """Fixes dominating sets, as often as the counts allow, and takes them out of ``left``: lengths from the longest on, in
+    passes until one fixes nothing."""
+    runs, fixed = [], True
+    while fixed:
+        fixed = False
         sizes = sorted(left)
-        found = dominant(sizes, left, capacity)
-        if found is None:
-            return runs
-        times = min(left[s] // found.count(s) for s in set(found))
-        runs.append((found, times))
-        take(left, found, times)
+        for j in sizes[::-1]:
+            while j in left and (found := dominant(j, sizes, left, capacity)):
+                times = min(left[s] // found.count(s) for s in set(found))
+                runs.append((found, times))
+                take(left, found, times)
+                fixed, sizes = True, sorted(left)
     return runs
 
 

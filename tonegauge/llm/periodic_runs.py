@@ -265,7 +265,7 @@ def find_runs(docs: DataFrame, text: str = "text", shortest: int = SHORTEST) ->
     ``collapsed`` (binary: the words that no run repeats, joined by one space)."""
     added = ["n_words", "runs", "collapsed"]
     others = [c for c in docs.columns if c not in {text, *added}]
-    body = max(docs.columns, key=len) + "_"
+    body = blocks.unused(docs.columns)
     rows = docs.select(*others, F.col(text).cast("binary").alias(body))
     schema = T.StructType([
         *[rows.schema[c] for c in others],

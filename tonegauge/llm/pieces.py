@@ -10,7 +10,8 @@ more than any piece and become the ids of their UTF-8 bytes.
 
 Defined results: null and empty texts have no ids and decode to the empty text; rows are independent; input columns are kept,
 result columns replace those of the same name. Decoding gives the text back exactly, unless the text itself has the mark
-character, which decodes to a space, as in the library.
+character, which decodes to a space, as in the library. A slice is 4 MB of texts or one row, whatever its length; a worker holds one
+vocabulary and a bounded number of bytes of remembered words.
 """
 
 import re
@@ -26,8 +27,8 @@ from tonegauge.llm import blocks
 
 MARK = "▁"
 SLICE_BYTES = 4 << 20
-#: Words whose ids a worker remembers before it starts afresh.
-REMEMBERED = 200_000
+#: Bytes of words and of their ids that a worker remembers before it starts afresh.
+REMEMBERED_BYTES = 16 << 20
 #: Tells a string that ends no piece from one that is itself no piece.
 NONE = object()
 WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+").findall
@@ -56,6 +57,7 @@ class Vocabulary:
                 self.scores[piece] = model.get_score(i)
                 self.spelled.append(piece.replace(MARK, " ").encode())
         self.known: dict[str, bytes] = {}
+        self.held = 0
         if not encodes:
             return
         # every end of a piece; with its score where it is a piece itself
@@ -102,9 +104,11 @@ class Vocabulary:
 
     def codes(self, words: list[list[str]]) -> dict[str, bytes]:
         """Ids of all words of some texts; those worked out before are remembered."""
-        if len(self.known) > REMEMBERED:
-            self.known = {}
-        self.known |= self.encode([w for w in set().union(*words) if w not in self.known])
+        if self.held > REMEMBERED_BYTES:
+            self.known, self.held = {}, 0
+        new = self.encode([w for w in set().union(*words) if w not in self.known])
+        self.held += sum(map(len, new)) + sum(map(len, new.values()))
+        self.known |= new
         return self.known
 
     def path(self, word: str, back: list[int]) -> bytes:
@@ -120,20 +124,26 @@ class Vocabulary:
         return b"".join(map(self.spelled.__getitem__, memoryview(ids).cast("I"))).decode(errors="replace")[1:]
 
 
-def encode(docs: DataFrame, model: str, text: str = "text") -> DataFrame:
-    """``docs`` and ``ids`` (binary, little-endian 32-bit), ``n_pieces`` and ``n_words``."""
-    others = [c for c in docs.columns if c not in {"ids", "n_pieces", "n_words"}]
-    rows = docs.select(*others, F.col(text).cast("string").alias("_text"))
-    schema = T.StructType([*[rows.schema[c] for c in others], *T.StructType.fromDDL("ids binary, n_pieces bigint, n_words bigint").fields])
+def encode(docs: DataFrame, model: str, text: str = "text", decoded: bool = False) -> DataFrame:
+    """``docs`` and ``ids`` (binary, little-endian 32-bit), ``n_pieces`` and ``n_words``; if ``decoded``, also the text that the ids
+    decode to, worked out in the same pass."""
+    added = "ids binary, n_pieces bigint, n_words bigint" + (", decoded string" if decoded else "")
+    added = T.StructType.fromDDL(added)
+    others = [c for c in docs.columns if c not in added.names]
+    body = blocks.unused(docs.columns)
+    rows = docs.select(*others, F.col(text).cast("string").alias(body))
+    schema = T.StructType([*[rows.schema[c] for c in others], *added.fields])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model)
         for batch in batches:
-            for part in blocks.slices(batch, blocks.byte_lengths(batch.column("_text")), SLICE_BYTES):
-                words = [vocabulary.words(x.as_py() or "") for x in part.column("_text")]
+            for part in blocks.slices(batch, blocks.byte_lengths(batch.column(body)), SLICE_BYTES):
+                words = [vocabulary.words(x.as_py() or "") for x in part.column(body)]
                 codes = vocabulary.codes(words)
                 ids = [b"".join(map(codes.__getitem__, w)) for w in words]
-                columns = [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids]), pa.array([len(w) for w in words])]
+                columns = [pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array([len(w) for w in words], pa.int64())]
+                if decoded:
+                    columns.append(pa.array(map(vocabulary.decode, ids), pa.string()))
                 yield pa.RecordBatch.from_arrays([*part.select(others).columns, *columns], schema.names)
 
     return rows.mapInArrow(work, schema)
@@ -147,7 +157,8 @@ def decode(rows: DataFrame, model: str, ids: str = "ids") -> DataFrame:
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary = Vocabulary(model, encodes=False)
         for batch in batches:
-            texts = [None if x is None else vocabulary.decode(x) for x in batch.column(ids).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.select(others).columns, pa.array(texts, pa.string())], schema.names)
+            for part in blocks.slices(batch, blocks.byte_lengths(batch.column(ids)), SLICE_BYTES):
+                texts = [None if x is None else vocabulary.decode(x) for x in part.column(ids).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*part.select(others).columns, pa.array(texts, pa.string())], schema.names)
 
     return rows.select(*others).mapInArrow(work, schema)

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tonegauge.llm import simhash
+from tonegauge.llm import blocks, simhash
 from tonegauge.llm.store import stored
 from tonegauge.llm.top_k import usable
 
@@ -203,7 +203,7 @@ def near_duplicates(
     """``rows`` without ``vector``, and ``n_links`` (other rows linked directly), ``component_id`` (smallest id that links lead to,
     its own included) and ``kept`` (the row has that id)."""
     others = [c for c in rows.columns if c not in {vector, "n_links", "component_id", "kept"}]
-    body = max(rows.columns, key=len) + "_"
+    body = blocks.unused(rows.columns)
     whole = rows.select(*others, direction(F.col(vector)).alias(body))
     folded = whole.filter(F.col(body).isNotNull()).groupBy(F.col(body).alias("vector")).agg(
         F.count("*").alias("rows"), F.min(F.col(id).cast("bigint")).alias("first_id")

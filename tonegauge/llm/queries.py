@@ -21,13 +21,15 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def fold(id: Column, count: int) -> Column:
-    """The rest of an id's CRC-32, of its decimal text, by ``count``."""
-    return F.crc32(id.cast("string").cast("binary")) % count
+    """The rest of an id's CRC-32, of its decimal text, by ``count``; no id counts as the empty text (0)."""
+    return F.crc32(F.coalesce(id.cast("string"), F.lit("")).cast("binary")) % count
 
 
 def op1_suffix_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    cut = suffix_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"))
-    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+    """``text`` is what is left where repeated passages of over 50 words go too, however few bytes they have."""
+    cut = suffix_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), words=51)
+    rest = suffix_dedup.readable("rest").alias("text")
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"), rest)
 
 
 def op2_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
@@ -39,7 +41,7 @@ def op3_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every text, and whether decoding them gives the text back."""
     docs = table(spark, folder, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
     model = tokenizer("piece_bpe_32k.model")
-    coded = pieces.decode(pieces.encode(docs, model), model)
+    coded = pieces.encode(docs, model, decoded=True)
     return coded.select(
         "doc_id", "n_words", "n_pieces", F.crc32("ids").alias("ids_crc32"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
         (F.col("decoded") == F.col("text")).alias("round_trip"),
@@ -186,14 +188,14 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM judged""",
     "op10_warc": """
 WITH p AS (
-  SELECT page_id, coalesce(html, '') AS body FROM pages WHERE page_id IS NOT NULL),
+  SELECT page_id, coalesce(html, '') AS body FROM pages),
 d AS (
   SELECT page_id, strlen(body) AS n, sha256(body) AS h FROM p),
 f AS (
   SELECT h, min(page_id) AS first FROM d WHERE n >= 100 GROUP BY h)
 SELECT page_id, cast(n AS bigint) AS payload_bytes, d.h AS payload_digest,
-  CASE WHEN n >= 100 AND first < page_id THEN 'revisit' ELSE 'response' END AS record_type,
-  CASE WHEN n >= 100 AND first < page_id THEN first END AS refers_to
+  CASE WHEN n >= 100 AND first < coalesce(page_id, first + 1) THEN 'revisit' ELSE 'response' END AS record_type,
+  CASE WHEN n >= 100 AND first < coalesce(page_id, first + 1) THEN first END AS refers_to
 FROM d LEFT JOIN f ON d.h = f.h""",
     "op12_pivot_index": """
 WITH RECURSIVE v AS (

@@ -25,6 +25,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tonegauge.llm import blocks
+
 BASE62 = "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 
 
@@ -132,15 +134,16 @@ def scan(docs: DataFrame, text: str = "text", mark: str = "[SECRET]", redact: bo
     """``docs`` without ``text`` and with ``spans`` and, if asked for, ``redacted``."""
     added = {"spans", "redacted"}
     others = [c for c in docs.columns if c not in {text, *added}]
-    rows = docs.select(*others, F.col(text).cast("string").alias("_text"))
+    body = blocks.unused(docs.columns)
+    rows = docs.select(*others, F.col(text).cast("string").alias(body))
     fields = [rows.schema[c] for c in others] + T.StructType.fromDDL(f"spans {SPANS}" + ", redacted string" * redact).fields
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = Scanner()
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
-        for batch in batches:
+        for batch in (part for b in batches for part in blocks.slices(b, blocks.byte_lengths(b.column(body)))):
             spans, clean = [], []
-            for value in batch.column("_text"):
+            for value in batch.column(body):
                 content = value.as_py()
                 found = scanner.spans(content) if content else []
                 spans.append([dict(zip(("kind", "start", "end"), x, strict=True)) for x in found])

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tonegauge.llm import blocks
 from tonegauge.llm.store import stored
 
 SEED = 42
@@ -51,11 +52,12 @@ def fingerprint(text: bytes, shingle: int = 3) -> int:
 def fingerprints(docs: DataFrame, text: str = "text", shingle: int = 3) -> DataFrame:
     """``docs`` without ``text`` and with ``fp`` (the fingerprint as a signed 64-bit number)."""
     others = [c for c in docs.columns if c not in {text, "fp"}]
-    rows = docs.select(*others, F.col(text).cast("binary").alias("_text"))
+    body = blocks.unused(docs.columns)
+    rows = docs.select(*others, F.col(text).cast("binary").alias(body))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [fingerprint(x.as_py() or b"", shingle) for x in batch.column("_text")]
+        for batch in (part for b in batches for part in blocks.slices(b, blocks.byte_lengths(b.column(body)))):
+            found = [fingerprint(x.as_py() or b"", shingle) for x in batch.column(body)]
             signed = pa.array(np.array(found, np.uint64).view(np.int64))
             yield pa.RecordBatch.from_arrays([*batch.select(others).columns, signed], [*others, "fp"])
 
@@ -193,7 +195,11 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
     """``docs`` without ``text`` and with ``fingerprint`` (16 hexadecimal digits) and ``component_id``, the smallest id that
     links lead to, its own included."""
     docs = docs.drop("fingerprint", "component_id")
-    marked = stored(fingerprints(docs, text, shingle))
+    # columns of the rows take other names in between, as some are called like those worked out here
+    others = [c for c in docs.columns if c != text]
+    plain = docs.select(*[F.col(c).alias(f"c{k}_") for k, c in enumerate(others)], F.col(text).alias("text"))
+    id = f"c{others.index(id)}_"
+    marked = stored(fingerprints(plain, "text", shingle))
     # the smallest id stands for each fingerprint; copies go no further
     distinct = stored(marked.groupBy("fp").agg(F.min(id).alias("first_id")))
     links = near_links(distinct.select("fp"), distance)
@@ -203,6 +209,6 @@ def near_duplicates(docs: DataFrame, id: str = "doc_id", text: str = "text", shi
     least = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
     labels = rooted.join(least, "root").select("fp", "component_id")
     hexed = F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint")
-    return marked.join(labels, "fp").select(*[c for c in marked.columns if c != "fp"], hexed, "component_id")
+    return marked.join(labels, "fp").select(*[F.col(f"c{k}_").alias(c) for k, c in enumerate(others)], hexed, "component_id")
 
 

@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tonegauge.llm import blocks
 from tonegauge.llm.store import stored
 
 POSITIVES, UNLABELLED, FOLDS = 8_000, 16_000, 5
@@ -168,12 +169,13 @@ def fit(
 def scored(docs: DataFrame, model: Model, text: str = "text", least: float = CUT) -> DataFrame:
     """``docs`` without ``text`` and with score and predicted (1 from ``least`` on)."""
     others = [c for c in docs.columns if c not in {text, "score", "predicted"}]
-    rows = docs.select(*others, F.col(text).cast("binary").alias("_text"))
+    body = blocks.unused(docs.columns)
+    rows = docs.select(*others, F.col(text).cast("binary").alias(body))
     schema = T.StructType([*[rows.schema[c] for c in others], *T.StructType.fromDDL("score double, predicted int").fields])
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = np.array([model.score(x.as_py() or b"") for x in batch.column("_text")], np.float64)
+        for batch in (part for b in batches for part in blocks.slices(b, blocks.byte_lengths(b.column(body)))):
+            scores = np.array([model.score(x.as_py() or b"") for x in batch.column(body)], np.float64)
             yield pa.RecordBatch.from_arrays(
                 [*batch.select(others).columns, pa.array(scores), pa.array((scores >= least).astype(np.int32))], schema.names
             )

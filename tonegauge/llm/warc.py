@@ -10,8 +10,8 @@ split the chain from every candidate is followed to the first offset behind the
 then jumped (doubled) from the file's start until all entries are known. Only candidates on the chain are records; whatever
 else the splitting cut is part of the record before it.
 
-Defined results: null payloads are empty; ids must not be null (such rows are dropped) and rows that repeat an id are records
-of their own; CR, LF, controls and spaces in targets are percent-encoded; files without a record give no row, text in front
+Defined results: null payloads are empty; rows that repeat an id are records of their own, each with its own size and digest; a row
+without an id is a record without one, which revisits the smallest id of its payload and is no record that others revisit; CR, LF, controls and spaces in targets are percent-encoded; files without a record give no row, text in front
 of the first magic is skipped as no record; a chain that ends in something that is no record ends there; extra columns of the pages
 are ignored.
 """
@@ -52,22 +52,25 @@ def first_of(rows: DataFrame, key: list[str], value: str, into: str) -> DataFram
 
 def records(pages: DataFrame, id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
     """One row per page with its record as text, without the closing empty lines."""
-    rows = pages.filter(F.col(id).isNotNull()).select(
-        F.col(id).cast("bigint").alias("id"),
-        F.coalesce(target(F.col(url).cast("string")), F.concat(F.lit("urn:page:"), F.col(id))).alias("url"),
+    named = F.concat(F.lit("urn:page:"), F.coalesce(F.col(id).cast("bigint").cast("string"), F.lit("none")))
+    rows = pages.select(
+        F.col(id).cast("bigint").alias("id"), named.alias("name"),
+        F.coalesce(target(F.col(url).cast("string")), named).alias("url"),
         F.coalesce(F.col(payload).cast("string"), F.lit("")).alias("body"),
     ).withColumn("digest", F.sha2(F.col("body").cast("binary"), 256)).withColumn("bytes", F.octet_length("body"))
     # only ids and digests are grouped; a payload is moved by the join at most once
     keys = rows.filter(F.col("bytes") >= LEAST_BYTES).select("id", "digest")
-    known = first_of(keys, ["digest"], "id", "first").select("id", "digest", "first").filter(F.col("first") < F.col("id"))
+    known = first_of(keys, ["digest"], "id", "first").select("id", "digest", "first")
+    known = known.filter((F.col("first") < F.col("id")) | F.col("id").isNull() & F.col("first").isNotNull())
+    known = stored(known.distinct().withColumnsRenamed({"id": "of", "digest": "held"}))
     # written first: where few pages are copies the engine then sees that the payloads need not be moved
-    rows = rows.join(stored(known.distinct()), ["id", "digest"], "left")
+    rows = rows.join(known, F.equal_null("id", "of") & (F.col("digest") == F.col("held")), "left")
     revisit = F.col("first").isNotNull()
     http = F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("bytes"), F.lit(END))
     block = F.when(revisit, http).otherwise(F.concat(http, "body"))
     lines = [
         F.concat(F.lit("WARC-Type: "), F.when(revisit, "revisit").otherwise("response")),
-        F.concat(F.lit("WARC-Record-ID: <urn:page:"), "id", F.lit(">")),
+        F.concat(F.lit("WARC-Record-ID: <"), "name", F.lit(">")),
         F.concat(F.lit("WARC-Target-URI: "), "url"),
         F.lit("WARC-Date: 2000-01-01T00:00:00Z"),
         F.concat(F.lit("WARC-Payload-Digest: sha256:"), "digest"),
@@ -177,9 +180,10 @@ def parsed(record: bytes) -> tuple:
 
 
 def brief(record: bytes) -> tuple:
-    """(page_id, record_type, refers_to, own_bytes, own_digest): the payload measured where it lies."""
-    page, kind, refers, _, _, body = parsed(record)
-    return page, kind, refers, None if body is None else len(body), None if body is None else hashlib.sha256(body).hexdigest()
+    """(page_id, record_type, refers_to, own_bytes, own_digest): the payload measured where it lies; a revisit has the digest
+    that its header names."""
+    page, kind, refers, named, _, body = parsed(record)
+    return page, kind, refers, None if body is None else len(body), named if body is None else hashlib.sha256(body).hexdigest()
 
 
 BRIEF = "page_id bigint, record_type string, refers_to bigint, own_bytes bigint, own_digest string"
@@ -341,20 +345,18 @@ EMPTY = pa.table(
 
 def catalogue(spark: SparkSession, path: str) -> DataFrame:
     """(page_id, payload_bytes, payload_digest, record_type, refers_to) of the true records. Digests of responses are worked
-    out from their payloads, in the task that reads them; a revisit takes size and digest from the response it names."""
+    out from their payloads, in the task that reads them; a revisit takes its size from the response of the id and digest it names."""
     owned = chain(spark, path)
     alone = briefs(spark, path).join(owned.filter("alone").select("file", "split", "at"), ["file", "split", "at"]).select(*BRIEF_NAMES)
     found = stored(alone.unionAll(parse(whole_records(spark, path, owned), brief, BRIEF, BRIEF_KINDS)))
-    asked = found.filter("refers_to is not null").select(F.col("refers_to").alias("to")).distinct()
+    asked = found.filter("refers_to is not null").select(F.col("refers_to").alias("to"), "own_digest").distinct()
     answers = found.filter(F.col("record_type") == "response").select(F.col("page_id").alias("to"), "own_bytes", "own_digest")
-    named = answers.join(asked, "to", "left_semi").groupBy("to").agg(F.min("own_bytes").alias("b"), F.min("own_digest").alias("d"))
+    named = answers.join(asked, ["to", "own_digest"], "left_semi").groupBy("to", "own_digest").agg(F.min("own_bytes").alias("b"))
     salted = named.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     own = found.withColumn("_salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int")).withColumn("to", F.col("refers_to"))
-    joined = own.join(salted, ["to", "_salt"], "left")
-    return joined.select(
-        "page_id", F.coalesce("own_bytes", "b").alias("payload_bytes"), F.coalesce("own_digest", "d").alias("payload_digest"),
-        "record_type", "refers_to",
-    )
+    joined = own.join(salted, ["to", "own_digest", "_salt"], "left")
+    size = F.coalesce("own_bytes", "b")
+    return joined.select("page_id", size.alias("payload_bytes"), F.when(size.isNotNull(), F.col("own_digest")).alias("payload_digest"), "record_type", "refers_to")
 
 
 def round_trip(pages: DataFrame, id: str = "page_id", url: str = "url", payload: str = "html") -> DataFrame:
