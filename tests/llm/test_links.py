@@ -8,7 +8,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tonegauge.llm import simhash, store, top_k, warc
+from tonegauge.llm import packing, periodic_runs, pieces, quality, secret_scan, simhash, store, suffix_dedup, top_k, warc
+from tonegauge.llm.queries import tokenizer
 
 
 def plain_fingerprint(text):
@@ -166,7 +167,7 @@ def test_archives_in_small_splits(spark):
 def test_stages_like_plain_versions(spark, folder):
     import re
 
-    from test_suffix_dedup import brute
+    from test_suffix_dedup import brute_words
     from test_texts import plain_measures, plain_spans
 
     from tonegauge.llm import secret_scan
@@ -189,7 +190,7 @@ def test_stages_like_plain_versions(spark, folder):
 
     cut = store.stored(repeats(spark, single, folder))
     ids = sorted(now)
-    want = dict(zip(ids, (k.decode(errors="ignore") for *_, k in brute([now[d] for d in ids], 400)), strict=True))
+    want = dict(zip(ids, (k.decode(errors="ignore") for k in brute_words([now[d] for d in ids], 400, 51)), strict=True))
     now = {r.doc_id: r.text for r in cut.collect()}
     assert cut.columns == columns and now == want and all(r.n_chars == len(r.text) for r in cut.collect())
 
@@ -200,8 +201,8 @@ def test_stages_like_plain_versions(spark, folder):
             assert r.text == now[r.doc_id]
         else:
             assert "[SECRET]" in r.text and not re.search("AKIA[A-Z0-9]{16,}", r.text)
-    pieces = packed(spark, clean, folder)
-    assert {r.doc_id for r in pieces.select("doc_id").collect()} == set(now)
+    parts = packed(spark, clean, folder)
+    assert {r.doc_id for r in parts.select("doc_id").collect()} == set(now)
 
 
 def test_stages_take_odd_rows(spark, odd, none, folder):
@@ -212,6 +213,30 @@ def test_stages_take_odd_rows(spark, odd, none, folder):
     assert docs.count() == 0
 
 
+def test_stages_leave_clashing_columns_alone(spark, folder):
+    names = ["kept", "n_words", "_words", "spans", "n_bytes", "redacted", "_row", "_text", "fp", "rest", "c0_", "text_"]
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("*", *[F.concat(F.lit(n), "doc_id").alias(n) for n in names])
+    columns = docs.columns
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = store.stored(stage(spark, docs, folder))
+        assert docs.columns == columns
+    left = docs.collect()
+    assert left and all(r[n] == f"{n}{r.doc_id}" for r in left for n in names)
+    assert {r.doc_id for r in corpus_pipeline.STAGES[-1][1](spark, docs, folder).select("doc_id").collect()} == {r.doc_id for r in left}
+
+
+def test_operators_take_clashing_columns(spark):
+    rows = spark.createDataFrame([(1, "a b c " * 30, "x"), (2, None, "y")], "doc_id bigint, text string, other string")
+    for n in ("_text", "text_", "fp", "_id", "body", "kind", "ids_crc32_"):
+        named = rows.withColumnRenamed("other", n)
+        found = [
+            simhash.near_duplicates(named), suffix_dedup.remove_repeats(named, words=5), secret_scan.scan(named), quality.judged(named),
+            periodic_runs.find_runs(named), packing.pack(named, tokenizer("byte_bpe_50k.json")), pieces.encode(named, tokenizer("piece_bpe_32k.model")),
+        ]
+        for f in found:
+            assert n in f.columns and {r[n] for r in f.collect()} == {"x", "y"}
+
+
 def test_stages_keep_one_row_of_each_text(spark, folder):
     """Repeated rows, rows without an id, and ids that carry two texts: every text is left once and whole."""
     import random
@@ -229,5 +254,5 @@ def test_stages_keep_one_row_of_each_text(spark, folder):
         assert docs.columns == columns
     want = [(4, a), (None, b), (2, c), (1, d), (5, e), (6, f), (6, g)]
     assert sorted(map(str, docs.select("doc_id", "text").collect())) == sorted(f"Row(doc_id={i}, text={t!r})" for i, t in want)
-    pieces = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
-    assert {r.doc_id for r in pieces.select("doc_id").collect()} == {i for i, _ in want}
+    parts = corpus_pipeline.STAGES[-1][1](spark, docs, folder)
+    assert {r.doc_id for r in parts.select("doc_id").collect()} == {i for i, _ in want}
