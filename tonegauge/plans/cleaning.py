@@ -39,6 +39,24 @@ doc_votes AS (
 """
 
 
+def s1_review_scan(spark, folder):
+    """Documents written as review files and read back with their types."""
+    path = storage.shared_dir(spark, "reviews")
+    src.write_review_text(views.doc_reviews(spark, folder), path)
+    return src.read_reviews(spark, path).select("Id", "ProductId", "UserId", "HelpfulnessNumerator", "Score", "Time", "Summary", "Text")
+
+
+def s2_quoted_csv(spark, folder):
+    """Fields with quotes, commas and line breaks of both kinds, in review files whose splits end inside fields."""
+    path = storage.shared_dir(spark, "reviews")
+    said = F.concat(F.lit('"'), F.replace("text", F.lit(". "), F.lit('.",\r\n"')), F.lit('"'))
+    docs = views.table(spark, folder, "documents").select(
+        F.col("doc_id").alias("Id"), F.col("source").alias("ProductId"), said.alias("Summary"), F.col("text").alias("Text")
+    )
+    src.write_review_text(docs, path)
+    return src.read_review_text(spark, path, strict=True).select("Id", "ProductId", "Summary", "Text")
+
+
 def s3_slim(spark, folder):
     return src.slim(views.doc_reviews(spark, folder))
 
@@ -236,6 +254,8 @@ QUERIES = {
     "s5_bounded": s5_bounded,
     "s5_bounded_per_file": s5_bounded_per_file,
     "s8_decode": s8_decode,
+    "s1_review_scan": s1_review_scan,
+    "s2_quoted_csv": s2_quoted_csv,
     "s10_feature_set": s10_feature_set,
     "s11_split_files": s11_split_files,
     "p1_drop_empty_text": p1_drop_empty_text,
@@ -306,6 +326,10 @@ SQL = {
           CASE WHEN ok THEN event_type END AS Summary,
           CASE WHEN ok AND event_id % 5 <> 0 THEN event_type ELSE '' END AS Text
         FROM (SELECT *, {_EVENT_KEY} AS k, event_id % 13 <> 0 AS ok FROM events)""",
+    "s1_review_scan": f"""WITH {v.DOC_REVIEWS}
+        SELECT Id, ProductId, UserId, CAST(NULL AS INT) AS HelpfulnessNumerator, Score, Time, Summary, Text FROM doc_reviews""",
+    "s2_quoted_csv": """SELECT CAST(doc_id AS VARCHAR) AS Id, source AS ProductId,
+        concat('"', replace(text, '. ', concat('.",', chr(13), chr(10), '"')), '"') AS Summary, text AS Text FROM documents""",
     "s10_feature_set": f"WITH {_SPLIT} SELECT Id, label, split FROM split",
     "s11_split_files": f"WITH {_SPLIT} SELECT Id, ProductId, Score, Time, Sentiment, split FROM split",
     "p1_drop_empty_text": f"WITH {DOC_VOTES} SELECT Id, Text FROM doc_votes WHERE Text <> ''",
