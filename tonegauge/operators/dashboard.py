@@ -185,13 +185,18 @@ def score_all_products(scoring: DataFrame, pred: DataFrame) -> DataFrame:
     return stored.unionByName(live.join(stored.select("product"), "product", "left_anti"))
 
 
+def newest_first(id: str = "Id") -> list[Column]:
+    """Larger ids first: by number, and as text where they are no whole numbers."""
+    return [F.col(id).try_cast("decimal(38,0)").desc_nulls_last(), F.desc(id)]
+
+
 def recent(pred: DataFrame, n: int = 20, product: str | None = None) -> DataFrame:
     """Newest predictions: latest batch first, then the largest Id."""
     rows = pred.filter(F.col("PredictedSentiment").isNotNull())
     if product is not None:
         rows = rows.filter(F.col("ProductId") == product)
     columns = ["Id", "ProductId", "ProfileName", "Score", "PredictedSentiment", "Summary", "ProcessingTime"]
-    return rows.orderBy(F.desc("batch_id"), F.desc("Id")).limit(n).select(*columns)
+    return rows.orderBy(F.desc("batch_id"), *newest_first()).limit(n).select(*columns)
 
 
 def freshness(monthly: DataFrame, products: DataFrame) -> DataFrame:

@@ -76,11 +76,13 @@ def profile(df: DataFrame) -> DataFrame:
 
 
 def missing(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
-    """Missing values per column, number and percentage, only columns that have some, most first."""
+    """Missing values (null or NaN) per column, number and percentage, only columns that have some, most first."""
     columns = list(columns or df.columns)
+    fractional = {f.name for f in df.schema.fields if isinstance(f.dataType, (T.FloatType, T.DoubleType))}
+    absent = lambda c: F.col(c).isNull() | F.isnan(c) if c in fractional else F.col(c).isNull()
     counts = df.agg(
         F.count(F.lit(1)).alias("_total"),
-        *[F.count_if(F.col(c).isNull()).alias(c) for c in columns],
+        *[F.count_if(absent(c)).alias(c) for c in columns],
     )
     rows = counts.unpivot(["_total"], columns, "column", "missing").filter(F.col("missing") > 0)
     return rows.select(

@@ -15,6 +15,12 @@ def _hash_of(key: str, seed: int):
     return F.coalesce(hashing.seeded_hash(F.col(key), seed), hashing.seeded_hash(F.lit(""), seed))
 
 
+def _row_hash(df: DataFrame, key: str, seed: int):
+    """The hash of a row's key; where it has none, of the row as JSON (rows alike in all columns stay together)."""
+    whole = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"})
+    return F.coalesce(hashing.seeded_hash(F.col(key), seed), hashing.seeded_hash(whole, seed))
+
+
 def stratified_split(
     df: DataFrame, column: str = "Sentiment", seed: int = 42, key: str = "Id",
     values: Sequence = tuple(labels.SENTIMENTS), tenths: tuple[int, int] = (8, 1),
@@ -52,7 +58,7 @@ def approx_split(
     df: DataFrame, column: str = "Sentiment", seed: int = 42, key: str = "Id", train: float = 0.8
 ) -> DataFrame:
     """Approximate split per class: train by one hash, the rest halved into val and test by another."""
-    by_class = F.concat_ws(":", F.col(column), F.col(key))
+    by_class = F.concat_ws(":", F.col(column), F.coalesce(F.col(key).cast("string"), _row_hash(df, key, seed)))
     first = hashing.falls_below(hashing.seeded_hash(by_class, seed), train)
     second = hashing.falls_below(hashing.seeded_hash(by_class, seed + 1), 0.5)
     return df.withColumn("split", F.when(first, "train").when(second, "val").otherwise("test"))
@@ -62,8 +68,8 @@ def random_split(
     df: DataFrame, fractions: Sequence[tuple[str, float]] = (("train", 0.8), ("test", 0.2)),
     seed: int = 42, key: str = "Id",
 ) -> DataFrame:
-    """Plain random split into named parts whose fractions sum to one."""
-    hashed = hashing.seeded_hash(F.col(key), seed)
+    """Plain random split into named parts whose fractions sum to one. Rows without a key are split by all their columns."""
+    hashed = _row_hash(df, key, seed)
     out = F.lit(fractions[-1][0])
     below = 1.0
     for (name, _), (_, later) in zip(reversed(fractions[:-1]), reversed(fractions[1:])):
@@ -73,8 +79,8 @@ def random_split(
 
 
 def sample(df: DataFrame, fraction: float, seed: int = 42, key: str = "Id") -> DataFrame:
-    """Each row kept with the given probability."""
-    return df.filter(hashing.falls_below(hashing.seeded_hash(F.col(key), seed), fraction))
+    """Each row kept with the given probability. Rows without a key are drawn by all their columns."""
+    return df.filter(hashing.falls_below(_row_hash(df, key, seed), fraction))
 
 
 def sample_n(df: DataFrame, n: int, seed: int = 42, key: str = "Id", by: str | None = None) -> DataFrame:

@@ -147,7 +147,7 @@ def a12_freshness(spark, folder):
     stamp = F.to_timestamp_ntz(F.col("ProcessingTime"))
     stamps = ops.freshness(
         pred.filter(F.col("Score") < 3).select(stamp.alias("aggregated_at")),
-        pred.filter(F.col("Score") == 3).select(stamp.alias("aggregated_at")),
+        pred.filter(F.col("Score") >= 3).select(stamp.alias("aggregated_at")),
     )
     return stamps.select(*[F.date_format(c, "yyyy-MM-dd HH:mm:ss").alias(c) for c in stamps.columns])
 
@@ -285,7 +285,7 @@ SQL = {
           FROM predictions GROUP BY 1)), {_drift(100)}
         SELECT evaluated_at, {_STATUS} FROM status ORDER BY evaluated_at DESC LIMIT 1""",
     "a12_freshness": f"""WITH {v.PREDICTIONS}, m AS (SELECT max(ProcessingTime) FILTER (Score < 3) AS a,
-        max(ProcessingTime) FILTER (Score = 3) AS b FROM predictions)
+        max(ProcessingTime) FILTER (Score >= 3) AS b FROM predictions)
         SELECT greatest(a, b) AS last_aggregated_at, a AS monthly_last_aggregated_at,
         b AS product_last_aggregated_at FROM m""",
     "a14_monthly_summary": f"""WITH {v.PREDICTIONS}, {_MONTHS},

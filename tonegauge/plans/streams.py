@@ -62,6 +62,17 @@ def s9_prediction_sink(spark, folder):
     return scoring.read_predictions(spark, path).select("Id", "PredictedSentiment", "batch_id")
 
 
+def r2_timed_append(spark, folder):
+    """Predictions appended by a stream, started twice with one checkpoint, and its first batch written once more."""
+    stream = _stream_predictions(spark, folder).select("Id", "ProductId", "Score", "Time", "prediction", "PredictedSentiment")
+    path, checkpoint = storage.shared_dir(spark, "predictions"), storage.shared_dir(spark, "append")
+    for _ in range(2):
+        scoring.start_append(stream, path, checkpoint, trigger=ALL_NOW).awaitTermination()
+    stored = scoring.read_predictions(spark, path)
+    scoring.write_predictions(stored.select("Id", "Score"), 0, path, run=stored.first()["run"])
+    return scoring.read_predictions(spark, path).select("Id", "ProductId", "Score", "Time", "prediction", "PredictedSentiment", "batch_id")
+
+
 def r3_restarted_sink(spark, folder):
     """A run of two batches, the second replayed, and a run with a new checkpoint whose first batch has the same number."""
     pred = views.predictions(spark, folder).select("Id", "prediction", "PredictedSentiment", "Score")
@@ -144,6 +155,8 @@ SQL = {
     "s8_decode_stream": cleaning.SQL["s8_decode"],
     "s9_prediction_sink": f"""WITH {v.PREDICTIONS} SELECT Id, PredictedSentiment,
         CAST(CASE WHEN Score <= 2 THEN 0 ELSE 1 END AS BIGINT) AS batch_id FROM predictions""",
+    "r2_timed_append": f"""WITH {v.PREDICTIONS} SELECT Id, ProductId, CAST(Score AS VARCHAR) AS Score, CAST(Time AS VARCHAR) AS Time,
+        CAST(prediction AS DOUBLE) AS prediction, PredictedSentiment, CAST(0 AS BIGINT) AS batch_id FROM predictions""",
     "r3_restarted_sink": f"""WITH {v.PREDICTIONS} SELECT Id, PredictedSentiment, CASE WHEN Score <= 3 THEN 'a' ELSE 'b' END AS run,
         CAST(CASE WHEN Score = 3 THEN 1 ELSE 0 END AS BIGINT) AS batch_id FROM predictions""",
     "s14_replace_table": f"""SELECT *, '2024-01-02' AS aggregated_at

@@ -10,6 +10,14 @@ REVIEW_COLUMNS = [
 # Text form of a review: CSV files and topic messages carry strings only.
 MESSAGE = T.StructType([T.StructField(c, T.StringType()) for c in REVIEW_COLUMNS])
 
+# A stored prediction: message fields are kept as they came.
+PREDICTION = (
+    "Id string, ProductId string, UserId string, ProfileName string, Score string, Time string, ProcessingTime string, "
+    "Summary string, Text string, prediction double, PredictedSentiment string, max_prob double"
+)
+
+MONTHLY = "year int, month int, sentiment string, count bigint"
+
 REVIEW_TYPES = {
     "Id": "string",
     "ProductId": "string",

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tonegauge import schemas
 from tonegauge.operators import dashboard
 from tonegauge.sources import reviews, storage
 
@@ -43,30 +44,33 @@ def start_recent(
         spark = batch.sparkSession
         named = batch.filter(F.col("PredictedSentiment").isNotNull())
         rows = named.select(*RECENT_COLUMNS, F.lit(batch_id).cast("bigint").alias("batch_id"))
-        rows = rows.orderBy(F.desc("Id")).limit(n)
+        rows = rows.orderBy(*dashboard.newest_first()).limit(n)
         known = storage.read_table(spark, path)
         if known is not None:
             # rows of a replayed batch are taken out first
             rows = rows.unionByName(known.filter(F.col("batch_id") != batch_id).select(*rows.columns))
-        newest = rows.orderBy(F.desc("batch_id"), F.desc("Id")).limit(n)
+        newest = rows.orderBy(F.desc("batch_id"), *dashboard.newest_first()).limit(n)
         storage.replace_table(newest.coalesce(1), path, datetime.now(timezone.utc))
 
     return _start(predictions, merge, "append", checkpoint, trigger)
 
 
 def live_stats(spark: SparkSession, path: str) -> DataFrame:
-    """Overall statistics from the live monthly table."""
-    return dashboard.overall_from_monthly(storage.read_table(spark, path))
+    """Overall statistics from the live monthly table; zeros before its first version."""
+    return dashboard.overall_from_monthly(_monthly(spark, path))
 
 
 def live_trend(spark: SparkSession, path: str) -> DataFrame:
-    return dashboard.trend_from_monthly(storage.read_table(spark, path))
+    return dashboard.trend_from_monthly(_monthly(spark, path))
+
+
+def _monthly(spark: SparkSession, path: str) -> DataFrame:
+    found = storage.read_table(spark, path)
+    return spark.createDataFrame([], schemas.MONTHLY) if found is None else found
 
 
 def replay(spark: SparkSession, path: str, files_per_batch: int = 1) -> DataFrame:
     """Review files as a stream of JSON messages, a few files per batch."""
-    from tonegauge import schemas
-
     files = (
         spark.readStream.schema(schemas.MESSAGE).option("header", True).option("multiLine", True)
         .option("escape", '"').option("maxFilesPerTrigger", files_per_batch).csv(path)
