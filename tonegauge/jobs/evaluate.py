@@ -22,7 +22,7 @@ def run(spark: SparkSession, output: str, history: str | None = None, now: datet
     except AnalysisException:
         meta = {"model_name": models.MODEL_NAME, "model_version": models.MODEL_VERSION}
     meta["dataset"] = "test features (10% split)"
-    meta["notes"] = "Final evaluation on the test split"
+    meta["notes"] = "Final evaluation on the test split ({rows} rows)"
     path = f"{output}/model_insights"
     metrics.insight(pred, meta, now).coalesce(1).write.mode("overwrite").json(path)
     if history:

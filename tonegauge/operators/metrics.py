@@ -1,5 +1,6 @@
 """Evaluation of predictions. All figures come from one grouped count of (label, prediction) pairs."""
 
+from collections.abc import Sequence
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
@@ -103,49 +104,57 @@ def confidence_histogram(pred: DataFrame, bins: int = 50) -> DataFrame:
     return profile.histogram(confidence(pred), F.col("max_prob"), ["correct"], bins=bins, clip=None)
 
 
-def _score_totals(pred: DataFrame, cls: int, buckets: int) -> DataFrame:
-    """Per distinct score of one class: positives and negatives at it and above it."""
-    score = F.get(probability_array(pred), F.lit(cls))
-    counts = pred.select(score.alias("score"), (F.col("label") == cls).alias("is")).groupBy("score").agg(
-        F.count_if(F.col("is")).alias("pos"), F.count_if(~F.col("is")).alias("neg")
+def _score_totals(pred: DataFrame, classes: Sequence[int], buckets: int) -> DataFrame:
+    """Per class and distinct score: positives and negatives at it and above it, and of the class. One scan for all classes."""
+    scores = F.posexplode(probability_array(pred)).alias("class", "score")
+    rows = pred.select("label", scores).filter(F.col("class").isin(*classes) & F.col("score").isNotNull() & ~F.isnan("score"))
+    # values rise while scores fall
+    counts = rows.groupBy("class", (-F.col("score")).alias("value")).agg(
+        F.count_if(F.col("label") == F.col("class")).alias("pos"),
+        F.count_if(F.col("label") != F.col("class")).alias("neg"),
     )
-    # buckets rise while scores fall
-    place = F.floor((1 - F.col("score")) * buckets).cast("int")
-    spread = counts.withColumn("_one", F.lit(0)).withColumn("_bucket", place)
-    return ranking.running_totals(spread, ["_one"], "_bucket", [F.desc("score")], ["pos", "neg"])
-
-
-def roc(pred: DataFrame, cls: int, buckets: int = 10_000) -> DataFrame:
-    """Points of the one-vs-rest ROC curve of a class: every distinct score as threshold, and the origin."""
-    totals = _score_totals(pred, cls, buckets)
-    known = pred.filter(F.get(probability_array(pred), F.lit(cls)).isNotNull())
-    positives = known.agg(F.count_if(F.col("label") == cls)).scalar()
-    negatives = known.agg(F.count_if(F.col("label") != cls)).scalar()
+    spread = ranking.in_ranges(counts, ["class"], buckets, ["pos", "neg"])
+    return ranking.running_totals(spread, ["class"], "_bucket", [F.col("value")], ["pos", "neg"])
+
+
+def roc_curves(pred: DataFrame, classes: Sequence[int] = CODES, buckets: int = 256) -> DataFrame:
+    """Points of the one-vs-rest ROC curves: class, threshold, fpr, tpr. Every distinct score is a threshold, and the origin
+    has an infinite one."""
+    totals = _score_totals(pred, classes, buckets)
+    rate = lambda part, total: numbers.safe_divide(part.cast("double"), F.col(total).cast("double"))
     points = totals.select(
-        F.col("score").alias("threshold"),
-        numbers.safe_divide((F.col("neg_before") + F.col("neg")).cast("double"), negatives.cast("double")).alias("fpr"),
-        numbers.safe_divide((F.col("pos_before") + F.col("pos")).cast("double"), positives.cast("double")).alias("tpr"),
+        "class", (-F.col("value")).alias("threshold"),
+        rate(F.col("neg_before") + F.col("neg"), "_neg_total").alias("fpr"),
+        rate(F.col("pos_before") + F.col("pos"), "_pos_total").alias("tpr"),
     )
-    origin = pred.sparkSession.range(1).select(
-        F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
+    origin = pred.sparkSession.createDataFrame([(c,) for c in classes], "class int").select(
+        "class", F.lit(float("inf")).alias("threshold"), F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")
     )
     return points.unionByName(origin)
 
 
-def auc(pred: DataFrame, cls: int, buckets: int = 10_000) -> DataFrame:
-    """Area under that curve: per negative the positives above it, ties count half."""
-    totals = _score_totals(pred, cls, buckets)
+def roc(pred: DataFrame, cls: int, buckets: int = 256) -> DataFrame:
+    """The curve of one class."""
+    return roc_curves(pred, [cls], buckets).drop("class")
+
+
+def aucs(pred: DataFrame, classes: Sequence[int] = CODES, buckets: int = 256) -> DataFrame:
+    """Area under each of those curves: per negative the positives above it, ties count half."""
+    totals = _score_totals(pred, classes, buckets)
     area = F.sum(F.col("neg").cast("double") * (F.col("pos_before") + F.col("pos") / 2))
-    sums = totals.agg(area.alias("area"), F.sum("pos").alias("p"), F.sum("neg").alias("q"))
-    return sums.select(
-        F.lit(cls).alias("class"),
-        numbers.safe_divide(F.col("area"), (F.col("p") * F.col("q")).cast("double")).alias("auc"),
-    )
+    sums = totals.groupBy("class").agg(area.alias("area"), F.sum("pos").alias("p"), F.sum("neg").alias("q"))
+    return sums.select("class", numbers.safe_divide(F.col("area"), (F.col("p") * F.col("q")).cast("double")).alias("auc"))
+
+
+def auc(pred: DataFrame, cls: int, buckets: int = 256) -> DataFrame:
+    return aucs(pred, [cls], buckets)
 
 
 def insight(pred: DataFrame, meta: dict, now: datetime) -> DataFrame:
-    """The evaluation as one document row: metrics, confusion matrix and where they come from."""
+    """The evaluation as one document row: metrics, confusion matrix and where they come from. ``{rows}`` in the notes becomes
+    the number of evaluated rows."""
     counts = pair_counts(pred)
+    rows = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint")).scalar()
     out = metrics_of_counts(counts)
 
     def rounded(name: str) -> Column:
@@ -174,5 +183,5 @@ def insight(pred: DataFrame, meta: dict, now: datetime) -> DataFrame:
             F.array(*[F.lit(s) for s in labels.SENTIMENTS]).alias("labels"), matrix.alias("matrix")
         ).alias("confusion_matrix"),
         (F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")).alias("parameters"),
-        F.lit(meta.get("notes")).cast("string").alias("notes"),
+        F.replace(F.lit(meta.get("notes")).cast("string"), F.lit("{rows}"), rows.cast("string")).alias("notes"),
     )

@@ -4,6 +4,7 @@ one task."""
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -111,8 +112,10 @@ def invalid_votes(df: DataFrame) -> DataFrame:
 
 def distribution(df: DataFrame, column: str) -> DataFrame:
     """Rows and percentage per value of a column with few values."""
-    counts = df.groupBy(column).agg(F.count(F.lit(1)).alias("count"))
-    return counts.withColumn("share", numbers.percent(F.col("count"), _one(df)))
+    counts = ranking.with_one_group(df.groupBy(column).agg(F.count(F.lit(1)).alias("n")))
+    # one row per value: the table itself is read once
+    total = F.sum("n").over(W.partitionBy("_all"))
+    return counts.select(column, F.col("n").alias("count"), numbers.percent(F.col("n"), total).alias("share"))
 
 
 def sentiment_balance(df: DataFrame) -> DataFrame:

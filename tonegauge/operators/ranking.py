@@ -1,7 +1,7 @@
 """Exact ranks, running totals and quantiles without sorting a whole group in one task.
 
-The common idea: rows are first counted per distinct value, the value range is cut into buckets, the small
-bucket totals are summed in order, and only rows of one bucket are ever ordered together.
+The common idea: rows are first counted per distinct value, the values are cut into ranges of about equal number by a sketch,
+the few range totals are summed in order, and only rows of one range are ever ordered together.
 """
 
 from collections.abc import Callable, Mapping, Sequence
@@ -48,43 +48,75 @@ def with_one_group(counts: DataFrame) -> DataFrame:
     return counts.withColumn("_all", F.col("n") > 0)
 
 
+def splitters(buckets: int) -> Column:
+    """Aggregate: values of ``value`` that cut its distinct values into ranges of about equal number, from a mergeable sketch.
+
+    The ranges follow the values and not their distance: an outlier or a crowd of close values makes none of them large. The
+    error of the sketch only moves a border, never a rank.
+    """
+    shares = F.array(*[F.lit(k / buckets) for k in range(1, buckets)])
+    return F.percentile_approx("value", shares, 16 * buckets)
+
+
+def range_of(value: Column, cuts: Column, buckets: int) -> Column:
+    """The number of the range (0 to buckets - 1, a power of two) of a value: a binary search among the cuts below it."""
+    steps = F.array(*[F.lit(buckets >> k) for k in range(1, buckets.bit_length())])
+    return F.aggregate(
+        steps, F.lit(0), lambda at, step: at + F.when(F.get(cuts, at + step - 1) < value, step).otherwise(F.lit(0))
+    )
+
+
+def in_ranges(counts: DataFrame, keys: Sequence[str], buckets: int, totals: Sequence[str] = ()) -> DataFrame:
+    """``counts`` (one row per group and distinct ``value``) with ``_bucket``, which rises with the value inside a group, and
+    ``_<total>_total`` for the group's sums. One row per group, ``buckets`` numbers each, goes to every task."""
+    groups = counts.groupBy(*keys).agg(splitters(buckets).alias("_cuts"), *[F.sum(t).alias(f"_{t}_total") for t in totals])
+    # nulls in the key must meet each other
+    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys]
+    joined = counts.alias("c").join(F.broadcast(groups).alias("g"), same)
+    return joined.select(
+        *[F.col(f"c.{c}") for c in counts.columns], *[F.col(f"_{t}_total") for t in totals],
+        range_of(F.col("value"), F.col("_cuts"), buckets).alias("_bucket"),
+    )
+
+
 def quantiles_of_counts(
-    counts: DataFrame, probabilities: Sequence[float], by: Sequence[str] = (), buckets: int = 4096
+    counts: DataFrame, probabilities: Sequence[float], by: Sequence[str] = (), buckets: int = 256
 ) -> DataFrame:
     """Exact quantiles with linear interpolation, one row per group and probability, from value counts.
 
-    Meant for a few groups (classes, scores, column names): their ranges are broadcast.
+    Meant for a few groups (classes, scores, column names): their cuts are broadcast.
 
-    Ranks are located in three narrow steps: group sizes and ranges, totals per equal-width bucket, and the
-    values of the buckets that hold a wanted rank.
+    All groups and probabilities in one go: cuts from a sketch, one exact count of each range between cuts, and then only the
+    ranges that hold a wanted rank are ordered.
     """
     by = list(by)
     keys = by or ["_all"]
     if not by:
         counts = with_one_group(counts)
-    groups = counts.groupBy(*keys).agg(
-        F.sum("n").alias("_total"), F.min("value").alias("_lo"), F.max("value").alias("_hi")
-    )
-    # nulls in the key must meet each other
-    left, right = counts.alias("c"), F.broadcast(groups).alias("g")
-    same = [F.col(f"c.{k}").eqNullSafe(F.col(f"g.{k}")) for k in keys]
-    span = F.nullif(F.col("_hi") - F.col("_lo"), F.lit(0.0))
-    place = F.coalesce(F.floor((F.col("value") - F.col("_lo")) / span * buckets), F.lit(0)).cast("bigint")
-    spread = left.join(right, same).select(
-        *[F.col(f"c.{k}") for k in keys], "value", "n", "_total", place.alias("_bucket")
-    )
-    ranked = running_totals(spread, keys, "_bucket", [F.col("value")], ["n"])
+    spread = in_ranges(counts, keys, buckets, ["n"])
+    sizes = spread.groupBy(*keys, "_bucket", "_n_total").agg(F.sum("n").alias("_size"))
+    upto = W.partitionBy(*keys).orderBy("_bucket").rowsBetween(W.unboundedPreceding, W.currentRow)
     wanted = F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")
+    placed = sizes.withColumn("_upto", F.sum("_size").over(upto)).select("*", wanted)
+    placed = placed.withColumn("_at", F.col("p") * (F.col("_n_total") - 1))
+    # a wanted rank lies between two whole ones, which can lie in two ranges
+    ranks = placed.select(
+        *keys, "_bucket", "p", (F.col("_upto") - F.col("_size")).alias("_before"), "_upto", "_at",
+        F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_rank"),
+    ).filter((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_upto")))
+    held = ranks.groupBy(*keys, "_bucket", "_before").agg(F.collect_set(F.struct("p", "_at", "_rank")).alias("_ranks"))
+    same = [F.col(f"s.{k}").eqNullSafe(F.col(f"h.{k}")) for k in [*keys, "_bucket"]]
+    # at most two ranges a group and probability
+    chosen = spread.alias("s").join(F.broadcast(held).alias("h"), same).select(
+        *[F.col(f"s.{k}") for k in [*keys, "_bucket"]], "value", "n", "_before", "_ranks"
+    )
+    inside = W.partitionBy(*keys, "_bucket").orderBy("value").rowsBetween(W.unboundedPreceding, -1)
+    ordered = chosen.withColumn("n_before", F.col("_before") + F.coalesce(F.sum("n").over(inside), F.lit(0)))
     found = (
-        ranked.select("*", wanted)
-        .withColumn("_at", F.col("p") * (F.col("_total") - 1))
-        .withColumn("_low", F.floor("_at"))
-        .withColumn("_high", F.ceil("_at"))
+        ordered.select(*keys, "value", "n", "n_before", F.inline("_ranks")).filter(_covers("_rank"))
         .groupBy(*keys, "p")
         .agg(
-            F.max(F.when(_covers("_low"), F.col("value"))).alias("_a"),
-            F.max(F.when(_covers("_high"), F.col("value"))).alias("_b"),
-            F.max(F.col("_at") - F.col("_low")).alias("_part"),
+            F.min("value").alias("_a"), F.max("value").alias("_b"), F.max(F.col("_at") - F.floor("_at")).alias("_part"),
         )
     )
     return found.select(*by, "p", (F.col("_a") + (F.col("_b") - F.col("_a")) * F.col("_part")).alias("q"))

@@ -96,9 +96,17 @@ def s8_decode(spark, folder):
 
 
 def s10_feature_set(spark, folder):
+    """Feature vectors with their row's fields, written and read back; vectors are shown by length, first number and sum."""
+    from pyspark.ml.functions import vector_to_array
+
     path = storage.shared_dir(spark, "features")
-    storage.save_features(splits.stratified_split(_labelled(spark, folder)).select("Id", "label", "split"), path)
-    return storage.load_features(spark, path)
+    rows = views.vectors(spark, folder).withColumn("Sentiment", F.lit("neutral"))
+    storage.save_features(splits.stratified_split(rows).select("Id", "label", "split", "features"), path)
+    numbers = vector_to_array(F.col("features"))
+    total = F.aggregate(numbers, F.lit(0.0), lambda a, x: a + x)
+    return storage.load_features(spark, path).select(
+        "Id", "label", "split", F.size(numbers).alias("length"), F.get(numbers, F.lit(0)).alias("first"), F.round(total, 9).alias("total")
+    )
 
 
 def s11_split_files(spark, folder):
@@ -330,7 +338,11 @@ SQL = {
         SELECT Id, ProductId, UserId, CAST(NULL AS INT) AS HelpfulnessNumerator, Score, Time, Summary, Text FROM doc_reviews""",
     "s2_quoted_csv": """SELECT CAST(doc_id AS VARCHAR) AS Id, source AS ProductId,
         concat('"', replace(text, '. ', concat('.",', chr(13), chr(10), '"')), '"') AS Summary, text AS Text FROM documents""",
-    "s10_feature_set": f"WITH {_SPLIT} SELECT Id, label, split FROM split",
+    "s10_feature_set": """WITH ranked AS (SELECT *, CAST(vec_id AS VARCHAR) AS Id, count(*) OVER () AS n,
+          row_number() OVER (ORDER BY md5('42:' || CAST(vec_id AS VARCHAR)), CAST(vec_id AS VARCHAR)) AS rn FROM embeddings)
+        SELECT Id, label, CASE WHEN rn <= n * 8 // 10 THEN 'train' WHEN rn <= n * 8 // 10 + n // 10 THEN 'val' ELSE 'test' END AS split,
+          CAST(len(embedding) AS INT) AS length, CAST(embedding[1] AS DOUBLE) AS first,
+          round(list_reduce(list_transform(embedding, lambda x: CAST(x AS DOUBLE)), lambda a, x: a + x, CAST(0 AS DOUBLE)), 9) AS total FROM ranked""",
     "s11_split_files": f"WITH {_SPLIT} SELECT Id, ProductId, Score, Time, Sentiment, split FROM split",
     "p1_drop_empty_text": f"WITH {DOC_VOTES} SELECT Id, Text FROM doc_votes WHERE Text <> ''",
     "p2_dedupe_text": "SELECT min(doc_id) AS Id, text AS Text FROM documents GROUP BY text",

@@ -64,21 +64,35 @@ def m11_confidence_histogram(spark, folder):
 
 
 def m12_roc(spark, folder):
-    points = metrics.roc(_pred(spark, folder), 1).filter(F.col("fpr") + F.col("tpr") > 0)
-    return _rounded(points)
+    """The curves of all classes; the origin's infinite threshold is shown as null."""
+    points = metrics.roc_curves(_pred(spark, folder))
+    finite = F.when(F.col("threshold") < float("inf"), F.col("threshold"))
+    return _rounded(points.withColumn("threshold", finite))
+
+
+def _confident(pred):
+    """Probabilities that all lie within 1e-5 of one."""
+    return pred.withColumn("probability", F.transform("probability", lambda p: 1 - (1 - p) * 1e-5))
+
+
+def m12_roc_confident(spark, folder):
+    points = metrics.roc_curves(_confident(_pred(spark, folder)))
+    return points.groupBy("class").agg(F.count("*").alias("points"), F.round(F.sum("fpr"), 4).alias("fpr"), F.round(F.sum("tpr"), 4).alias("tpr"))
+
+
+def m12_auc_confident(spark, folder):
+    return _rounded(metrics.aucs(_confident(_pred(spark, folder))))
 
 
 def m12_auc(spark, folder):
-    pred = _pred(spark, folder)
-    each = [metrics.auc(pred, cls) for cls in metrics.CODES]
-    return _rounded(each[0].unionByName(each[1]).unionByName(each[2]))
+    return _rounded(metrics.aucs(_pred(spark, folder)))
 
 
 def m17_insight(spark, folder):
-    meta = {"model_name": models.MODEL_NAME, "model_version": models.MODEL_VERSION, "dataset": "predictions"}
+    meta = {"model_name": models.MODEL_NAME, "model_version": models.MODEL_VERSION, "dataset": "predictions", "notes": "{rows} rows"}
     doc = metrics.insight(_pred(spark, folder), meta, datetime(2024, 1, 1))
     return doc.select(
-        "evaluated_at", "model_name", "trained_at",
+        "evaluated_at", "model_name", "trained_at", "notes",
         "metrics.accuracy", "metrics.f1_weighted",
         *[F.col(f"metrics.per_class.{s}.{k}").alias(f"{s}_{k}") for s in ["negative", "neutral"]
           for k in ["precision", "recall", "f1"]],
@@ -245,8 +259,14 @@ _METRIC_NAMES = ["accuracy", "f1_weighted", "precision_weighted", "recall_weight
     f"{k}_{n}" for n in _NAMES for k in ["precision", "recall", "f1"]
 ]
 _MATRIX = "(VALUES (0), (1), (2)) AS l(label)"
-_SCORES = """scores AS (SELECT p1 AS score, count(*) FILTER (label = 1) AS pos, count(*) FILTER (label <> 1) AS neg
-  FROM predictions GROUP BY 1)"""
+_ROC = """each AS (SELECT 0 AS class, p0 AS score, label FROM predictions UNION ALL SELECT 1, p1, label FROM predictions
+    UNION ALL SELECT 2, p2, label FROM predictions),
+  scores AS (SELECT class, score, count(*) FILTER (label = class) AS pos, count(*) FILTER (label <> class) AS neg FROM each GROUP BY 1, 2),
+  t AS (SELECT class, score, sum(pos) OVER (PARTITION BY class ORDER BY score DESC) AS tp,
+    sum(neg) OVER (PARTITION BY class ORDER BY score DESC) AS fp,
+    sum(pos) OVER (PARTITION BY class) AS p, sum(neg) OVER (PARTITION BY class) AS q FROM scores),
+  points AS (SELECT class, score AS threshold, CAST(fp AS DOUBLE) / q AS fpr, CAST(tp AS DOUBLE) / p AS tpr FROM t
+    UNION ALL SELECT c, CAST(NULL AS DOUBLE), 0.0, 0.0 FROM (VALUES (0), (1), (2)) AS x(c))"""
 
 
 def _auc(cls):
@@ -281,15 +301,15 @@ SQL = {
         label = prediction AS correct FROM predictions""",
     "m11_confidence_histogram": f"""WITH {v.PREDICTIONS}, c AS (SELECT greatest(p0, p1, p2) AS m,
         label = prediction AS correct FROM predictions), {profile.histogram_sql('c', 'm', 'correct', 50, None)}""",
-    "m12_roc": f"""WITH {v.PREDICTIONS}, {_SCORES}, t AS (SELECT score,
-          sum(pos) OVER (ORDER BY score DESC) AS tp, sum(neg) OVER (ORDER BY score DESC) AS fp,
-          sum(pos) OVER () AS p, sum(neg) OVER () AS q FROM scores)
-        SELECT round(score, 6) AS threshold, round(CAST(fp AS DOUBLE) / q, 6) AS fpr,
-          round(CAST(tp AS DOUBLE) / p, 6) AS tpr FROM t""",
+    "m12_roc": f"""WITH {v.PREDICTIONS}, {_ROC}
+        SELECT class, round(threshold, 6) AS threshold, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr FROM points""",
+    "m12_roc_confident": f"""WITH {v.PREDICTIONS}, {_ROC} SELECT class, count(*) AS points, round(sum(fpr), 4) AS fpr,
+        round(sum(tpr), 4) AS tpr FROM points GROUP BY class""",
+    "m12_auc_confident": f"WITH {v.PREDICTIONS} {_auc(0)} UNION ALL {_auc(1)} UNION ALL {_auc(2)}",
     "m12_auc": f"WITH {v.PREDICTIONS} {_auc(0)} UNION ALL {_auc(1)} UNION ALL {_auc(2)}",
     "m17_insight": f"""WITH {v.PREDICTIONS}, m AS (SELECT {_metric_columns(4)} FROM ({_cells('predictions')}))
         SELECT '2024-01-01T00:00:00Z' AS evaluated_at, 'LogisticRegression' AS model_name,
-          'Unknown' AS trained_at, accuracy, f1_weighted, {', '.join(
+          'Unknown' AS trained_at, (SELECT concat(count(*), ' rows') FROM predictions) AS notes, accuracy, f1_weighted, {', '.join(
             f"{k}_{s} AS {s}_{k}" for s in ['negative', 'neutral'] for k in ['precision', 'recall', 'f1'])},
           (SELECT string_agg(c, ',' ORDER BY l, p) FROM (SELECT l, p, count(predictions.label) AS c
             FROM (SELECT unnest([0, 1, 2]) AS l), (SELECT unnest([0, 1, 2]) AS p)

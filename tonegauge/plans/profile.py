@@ -109,6 +109,20 @@ def e13_box_stats(spark, folder):
     return _rounded(ops.box_stats(rows, F.col("text_words"), ["Sentiment"], cap=300), 6, "q25", "q50", "q75")
 
 
+def _with_outlier(spark, folder):
+    """Text lengths, of which the smallest document's is a million million."""
+    docs = _docs(spark, folder).withColumn("text_len", F.length("Text"))
+    return docs.withColumn("text_len", F.when(F.col("Id") == "0", F.lit(1e12)).otherwise(F.col("text_len").cast("double")))
+
+
+def e12_outlier_histogram(spark, folder):
+    return _bins(ops.histogram(_with_outlier(spark, folder), F.col("text_len"), ["Sentiment"], bins=20))
+
+
+def e13_outlier_box_stats(spark, folder):
+    return _rounded(ops.box_stats(_with_outlier(spark, folder), F.col("text_len"), ["Sentiment"]), 6, "q25", "q50", "q75")
+
+
 def e13_box_stats_by_score(spark, folder):
     rows = ops.with_text_length(views.doc_reviews(spark, folder)).filter(F.col("Score").isNotNull())
     return _rounded(ops.box_stats(rows, F.col("text_len"), ["Score"]), 6, "q25", "q50", "q75")
@@ -157,6 +171,8 @@ _DOCS = v.DOC_REVIEWS + rf""",
 docs AS (SELECT *, {_NAMED}, CAST(len(regexp_extract_all(Text, '\S+')) AS INT) AS text_words,
   CAST(len(regexp_extract_all(Summary, '\S+')) AS INT) AS summary_words, length(Text) AS text_len FROM doc_reviews)"""
 
+_OUTLIER = "far AS (SELECT *, CASE WHEN Id = '0' THEN 1e12 ELSE CAST(text_len AS DOUBLE) END AS text_far FROM docs)"
+
 
 def _numeric(name, column, source):
     return f"""SELECT '{name}' AS "column", count({column}) AS count, round(avg({column}), 2) AS mean,
@@ -243,6 +259,8 @@ SQL = {
     "e12_token_histogram": f"""WITH t AS ({text.SQL['t13_token_reduction']}),
         {histogram_sql('t', 'filtered_count', None, 50, None)}""",
     "e13_box_stats": f"WITH {_DOCS}, {_box('docs', 'least(text_words, 300)', 'Sentiment')}",
+    "e12_outlier_histogram": f"""WITH {_DOCS}, {_OUTLIER}, {histogram_sql('far', 'text_far', 'Sentiment', 20, 0.99)}""",
+    "e13_outlier_box_stats": f"WITH {_DOCS}, {_OUTLIER}, {_box('far', 'text_far', 'Sentiment')}",
     "e13_box_stats_by_score": f"""WITH {_DOCS}, scored AS (SELECT * FROM docs WHERE Score IS NOT NULL),
         {_box('scored', 'text_len', 'Score')}""",
     "e14_voted_share": f"""WITH {v.REVIEWS}, c AS (SELECT count(*) FILTER (HelpfulnessDenominator > 0) AS voted,
