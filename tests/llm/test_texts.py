@@ -164,6 +164,56 @@ def test_words_of_one_ending_learn_apart(spark):
     assert gain[200] > gain[201] + 1
 
 
+@pytest.mark.parametrize("states", [1, 2, 6])
+def test_moved_divisions_add_up(states):
+    """Steps are near the shares and add up, and every state's emissions over a bucket's tokens add up to one."""
+    import numpy as np
+    import pyarrow as pa
+
+    from tonegauge.llm import blocks
+
+    rng = np.random.default_rng(states)
+    counts = rng.integers(0, 50, 300)
+    expected = rng.dirichlet(np.full(states, 0.3), 300) * counts[:, None]
+    shares = hmm.shares_of(hmm.steps_of(expected, counts))
+    assert np.allclose(shares.sum(axis=1), 1) and (shares >= 0).all()
+    assert np.abs(shares * counts[:, None] - expected).max() <= 50 * states / 255
+    known = [{"bucket": 4, "places": blocks.encode(np.arange(300, dtype=np.uint64)), "reply": blocks.squeeze(counts.astype(np.int64).tobytes())}]
+    asked = pa.Table.from_batches([hmm.asks(7, known, expected, counts)])
+    reply = hmm.add_bucket(asked, states).to_pylist()
+    assert [r["block"] for r in reply] == [7, -1]
+    model = hmm.Model(states, np.array([counts.sum(), (counts > 0).sum(), *[1.0] * states]))
+    model.learn(np.array(reply[1]["sums"]))
+    ratio = model.ratios(counts, None, [reply[0]["reply"]])
+    base = 10 ** model.base(counts)
+    # with the one place that all unknown tokens share
+    assert base[counts > 0] @ ratio[:-1][counts > 0] + 10 ** model.base(np.array([0]))[0] == pytest.approx(np.ones(states), rel=1e-3)
+    assert (ratio[:-1][counts == 0] == 1).all()
+
+
+def test_blocks_stay_where_they_are(spark):
+    from tonegauge.llm import store
+
+    table = store.bucketed(spark.range(100).selectExpr("id AS block", "id * 2 AS v"), "block")
+    joined = table.join(spark.range(50).groupBy(F.col("id").alias("block")).count().hint("merge"), "block")
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert joined.count() == 50 and plan.count("Exchange hashpartitioning(block") <= 1 and "Bucketed: true" in plan
+    rows, path = store.written(spark.range(3).toDF("x"))
+    assert rows.count() == 3
+    store.discard(spark, path)
+    with pytest.raises(Exception, match="(?i)path|file"):
+        spark.read.parquet(path)
+
+
+def test_small_blocks_give_the_same_scores(odd, monkeypatch):
+    learns = F.col("block") > 3
+    whole = {r.block: r.score for r in hmm.scored(odd, learns, states=3, times=2).collect()}
+    monkeypatch.setattr(hmm, "PART_BYTES", 100)
+    parts = {r.block: r.score for r in hmm.scored(odd, learns, states=3, times=2).collect()}
+    assert parts == pytest.approx(whole, rel=1e-4)
+    assert all(math.isfinite(r.score) for r in hmm.scored(odd, learns, states=1, times=2).collect())
+
+
 def test_forward_is_exact_and_training_improves():
     import numpy as np
 

@@ -8,10 +8,13 @@ model's probability times a ratio (1 for unknown tokens). Each text's state in f
 distribution. The score is exact: the forward recursion runs over whole texts, in pieces of fixed length whose transfer
 matrices are multiplied, rescaled as it goes.
 
-Training: in each round every block runs forward and backward over its training texts and sends the expected counts of its
-distinct tokens to the buckets of their keys; a bucket adds them up and answers every block with the sums of the tokens it
-holds. The emissions are thus a table keyed by token that no task and not the driver holds whole; the driver sees only sums
-over states.
+Training: a block is some texts with one vocabulary, worked on in parts. Blocks send the keys of their tokens once, to the
+buckets of the keys, and learn the place of each token in its bucket. In each round every block runs forward and backward over
+its training texts and sends, by place, its tokens' counts and how they divide over the states; a bucket adds up and answers
+every block with the same for the corpus. The emissions are thus a table keyed by token that no task and not the driver holds
+whole; the driver sees only sums over states. Divisions move in steps of 1/255 (states - 1 bytes a token), and the sums over
+states are those of the moved numbers, so each state's emissions add up to one. Blocks are written by a hash of their number and
+never move; a round's answers are discarded when the next ones are written.
 
 Defined results: null and empty texts are the end alone; rows are independent; copies count as often as they occur; with no
 training row every token is unknown and the model's ratio is 1; an empty table gives no row; input columns (without the text)
@@ -30,18 +33,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tonegauge.llm import blocks
-from tonegauge.llm.store import stored
+from tonegauge.llm.store import bucketed, discard, written
 
 STATES = 6
 ROUNDS = 4
-BLOCK_BYTES = 2 << 20
+#: Text of a block, which has one vocabulary, and of a part, which is worked on at once.
+BLOCK_BYTES = 32 << 20
+PART_BYTES = 2 << 20
+#: Steps in which a token's division over the states moves.
+STEPS = 255
 #: Tokens of a piece; pieces run side by side.
 PIECE = 128
 #: How far the first emissions of the states lie apart.
 LEAN = 0.5
 #: Weight of the base model in a state's emissions.
 PRIOR = 20.0
-TOKENS = "block bigint, rows binary, sizes binary, ids binary, keys binary, learns binary, train binary"
+TOKENS = (
+    "block bigint, rows array<binary>, sizes array<binary>, ids array<binary>, keys binary, learns array<binary>, train binary"
+)
 
 
 class Numbers(dict):
@@ -52,46 +61,72 @@ class Numbers(dict):
         return number
 
 
+class Block:
+    """Texts that share a vocabulary, as parts of numbered tokens."""
+
+    def __init__(self):
+        self.vocabulary = Numbers()
+        self.vocabulary[b""]  # no word is empty: this is the end
+        self.bytes, self.rows, self.sizes, self.ids, self.learns = 0, [], [], [], []
+
+    def add(self, part: pa.RecordBatch, text: str, learns: str) -> None:
+        ids, sizes = [], []
+        number = self.vocabulary.__getitem__
+        for value in part.column(text):
+            words = (value.as_py() or b"").lower().split()
+            words.append(b"")
+            ids.append(np.fromiter(map(number, words), np.uint32, len(words)))
+            sizes.append(len(words))
+        self.bytes += int(blocks.byte_lengths(part.column(text)).sum())
+        self.rows.append(blocks.to_stream(part.select([c for c in part.schema.names if c != text])))
+        self.sizes.append(np.array(sizes, np.int64))
+        self.ids.append(np.concatenate(ids))
+        self.learns.append(pa.compute.fill_null(part.column(learns), False).to_numpy(zero_copy_only=False).astype(bool))
+
+    def row(self, block: int) -> pa.RecordBatch:
+        """The block with its vocabulary in the order of the tokens' keys."""
+        keys = np.array([xxhash.xxh64_intdigest(w) for w in self.vocabulary], np.uint64)
+        order = np.argsort(keys)
+        place = np.empty(len(order), np.uint32)
+        place[order] = np.arange(len(order), dtype=np.uint32)
+        train = np.zeros(len(keys), np.int64)
+        ids = [place[x] for x in self.ids]
+        for own, sizes, learns in zip(ids, self.sizes, self.learns, strict=True):
+            train += np.bincount(own[np.repeat(learns, sizes)], minlength=len(keys))
+        listed = pa.list_(pa.binary())
+        return pa.RecordBatch.from_pydict(
+            {
+                "block": [block],
+                "rows": pa.array([self.rows], listed),
+                "sizes": pa.array([[x.tobytes() for x in self.sizes]], listed),
+                "ids": pa.array([[split_planes(x) for x in ids]], listed),
+                "keys": [blocks.encode(keys[order])],
+                "learns": pa.array([[x.tobytes() for x in self.learns]], listed),
+                "train": [split_planes(train.astype(np.uint32))],
+            }
+        )
+
+
 def tokenized(docs: DataFrame, text: str, learns: str) -> DataFrame:
     """Blocks of texts as numbers into the block's own sorted vocabulary of 64-bit token keys."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = blocks.numbers()
+        number, block = blocks.numbers(), Block()
         for batch in batches:
-            for part in blocks.slices(batch, blocks.byte_lengths(batch.column(text)), BLOCK_BYTES):
-                yield token_block(next(number), part, text, learns)
-
-    return stored(docs.mapInArrow(work, TOKENS))
-
-
-def token_block(block: int, part: pa.RecordBatch, text: str, learns: str) -> pa.RecordBatch:
-    vocabulary = Numbers()
-    vocabulary[b""]  # no word is empty: this is the end
-    ids, sizes = [], []
-    for value in part.column(text):
-        words = (value.as_py() or b"").lower().split()
-        words.append(b"")
-        ids.append(np.fromiter(map(vocabulary.__getitem__, words), np.uint32, len(words)))
-        sizes.append(len(words))
-    keys = np.array([xxhash.xxh64_intdigest(w) for w in vocabulary], np.uint64)
-    order = np.argsort(keys)
-    place = np.empty(len(order), np.uint32)
-    place[order] = np.arange(len(order), dtype=np.uint32)
-    ids = place[np.concatenate(ids)] if ids else np.zeros(0, np.uint32)
-    flags = pa.compute.fill_null(part.column(learns), False).to_numpy(zero_copy_only=False).astype(bool)
-    train = np.bincount(ids[np.repeat(flags, sizes)], minlength=len(keys)).astype(np.uint32)
-    rows = part.select([c for c in part.schema.names if c != text])
-    return pa.RecordBatch.from_pydict(
-        {
-            "block": [block],
-            "rows": [blocks.to_stream(rows)],
-            "sizes": [np.array(sizes, np.int64).tobytes()],
-            "ids": [blocks.squeeze(np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 4).T).tobytes())],
-            "keys": [blocks.encode(keys[order])],
-            "learns": [flags.tobytes()],
-            "train": [blocks.squeeze(train.tobytes())],
-        }
-    )
+            for part in blocks.slices(batch, blocks.byte_lengths(batch.column(text)), PART_BYTES):
+                block.add(part, text, learns)
+                if block.bytes >= BLOCK_BYTES:
+                    yield block.row(next(number))
+                    block = Block()
+        if block.rows:
+            yield block.row(next(number))
+
+    return bucketed(docs.mapInArrow(work, TOKENS), "block")
+
+
+def split_planes(values: np.ndarray) -> bytes:
+    """32-bit numbers, byte planes apart."""
+    return blocks.squeeze(np.ascontiguousarray(values.astype(np.uint32).view(np.uint8).reshape(-1, 4).T).tobytes())
 
 
 def ids_of(data: bytes) -> np.ndarray:
@@ -99,15 +134,28 @@ def ids_of(data: bytes) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view(np.uint32).ravel()
 
 
-def planes(values: np.ndarray) -> bytes:
-    """Rows of single-precision numbers, byte planes apart."""
-    flat = np.ascontiguousarray(values, np.float32).reshape(-1)
-    return blocks.squeeze(np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 4).T).tobytes())
+def steps_of(expected: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """How tokens divide over the states, in steps (tokens by states but the last, which has the rest)."""
+    shares = np.rint(expected[:, :-1] * (STEPS / np.maximum(counts, 1e-300))[:, None]).astype(np.int32)
+    over = np.maximum(shares.sum(axis=1) - STEPS, 0)
+    if shares.shape[1]:
+        shares[np.arange(len(shares)), shares.argmax(axis=1)] -= over
+    return shares.astype(np.uint8)
+
+
+def shares_of(steps: np.ndarray) -> np.ndarray:
+    rest = STEPS - steps.sum(axis=1, dtype=np.int64)
+    return np.concatenate([steps, rest[:, None]], axis=1) / STEPS
 
 
-def rows_of(data: bytes, states: int) -> np.ndarray:
-    flat = np.ascontiguousarray(np.frombuffer(blocks.unsqueeze(data), np.uint8).reshape(4, -1).T)
-    return flat.view(np.float32).reshape(-1, states)
+def packed(steps: np.ndarray) -> bytes:
+    return blocks.squeeze(np.ascontiguousarray(steps.T).tobytes())
+
+
+def unpacked(data: bytes, states: int) -> np.ndarray:
+    if states == 1:  # nothing is sent for the only state but the number of tokens
+        return np.zeros((len(blocks.unsqueeze(data)), 0), np.uint8)
+    return np.frombuffer(blocks.unsqueeze(data), np.uint8).reshape(states - 1, -1).T
 
 
 def lean(keys: np.ndarray, states: int) -> np.ndarray:
@@ -121,54 +169,58 @@ def lean(keys: np.ndarray, states: int) -> np.ndarray:
 
 
 #: Rows of block -1 hold a bucket's own sums.
-ANSWERED = f"{blocks.REPLY}, sums array<double>"
+ANSWERED = f"{blocks.REPLY}, places binary, sums array<double>"
 
 
-def answered(table: pa.Table, held: list[np.ndarray], replies: list[bytes], sums: np.ndarray) -> pa.Table:
+def answered(table: pa.Table, replies: list[bytes], sums: np.ndarray, places: list[bytes] | None = None) -> pa.Table:
     asking = [b for b in table.column("block").to_pylist() if b >= 0]
     return pa.table(
         {
             "block": pa.array([*asking, -1], pa.int64()),
             "bucket": pa.array([table.column("bucket")[0].as_py()] * (len(asking) + 1), pa.int32()),
             "reply": pa.array([*replies, None], pa.binary()),
-            "sums": pa.array([*[None] * len(held), sums.tolist()], pa.list_(pa.float64())),
+            "places": pa.array([*(places or [None] * len(asking)), None], pa.binary()),
+            "sums": pa.array([*[None] * len(asking), sums.tolist()], pa.list_(pa.float64())),
         }
     )
 
 
-def merged(held: list[np.ndarray]) -> tuple[np.ndarray, list[np.ndarray]]:
-    """The distinct keys of a bucket, and where each block's keys are among them."""
-    distinct, back = np.unique(np.concatenate(held) if held else np.zeros(0, np.uint64), return_inverse=True)
-    return distinct, np.split(back, np.cumsum([len(x) for x in held])[:-1]) if held else []
-
-
 def count_bucket(table: pa.Table, states: int) -> pa.Table:
-    """For each asking block the corpus counts of its tokens; sums: all tokens, distinct tokens, weights by state."""
+    """For each asking block the corpus counts of its tokens, and their places in the bucket; sums: all tokens, distinct
+    tokens, weights by state."""
     held = [blocks.decode(x) for x in table.column("keys").to_pylist()]
-    distinct, places = merged(held)
+    distinct, back = np.unique(np.concatenate(held), return_inverse=True)
+    places = np.split(back, np.cumsum([len(x) for x in held])[:-1])
     counts = np.zeros(len(distinct), np.int64)
     for at, x in zip(places, table.column("extra").to_pylist(), strict=True):
-        counts[at] += np.frombuffer(blocks.unsqueeze(x), np.uint32)
+        counts[at] += ids_of(x)
     known = counts > 0
     weights = (counts[known] + 0.1) @ lean(distinct[known], states)
     sums = np.concatenate([[counts.sum(), known.sum()], weights])
-    return answered(table, held, [blocks.squeeze(counts[at].tobytes()) for at in places], sums)
+    replies = [blocks.squeeze(counts[at].tobytes()) for at in places]
+    return answered(table, replies, sums, [blocks.encode(at.astype(np.uint64)) for at in places])
 
 
 def add_bucket(table: pa.Table, states: int) -> pa.Table:
-    """For each asking block the expected counts of its tokens in the whole corpus (tokens by states); sums: expected counts
-    by state, then what the tasks' own rows hold."""
+    """For each asking block how its tokens divide over the states in the whole corpus; sums: expected counts by state, then
+    what the tasks' own rows hold. A block's row has the places, and the counts in front of the divisions."""
     own = [b < 0 for b in table.column("block").to_pylist()]
     extra = table.column("extra").to_pylist()
-    held = [blocks.decode(x) for x, o in zip(table.column("keys").to_pylist(), own, strict=True) if not o]
-    distinct, places = merged(held)
-    expected = np.zeros((len(distinct), states))
-    for at, x in zip(places, [x for x, o in zip(extra, own, strict=True) if not o], strict=True):
-        expected[at] += rows_of(x, states)
+    held = [blocks.decode(x).astype(np.int64) for x, o in zip(table.column("keys").to_pylist(), own, strict=True) if not o]
+    size = max((int(x[-1]) + 1 for x in held), default=0)
+    expected, counts = np.zeros((size, states)), np.zeros(size)
+    for at, x in zip(held, [x for x, o in zip(extra, own, strict=True) if not o], strict=True):
+        cut = int.from_bytes(x[:8], "little")
+        count = ids_of(x[8 : 8 + cut]).astype(np.float64)
+        counts[at] += count
+        expected[at] += count[:, None] * shares_of(unpacked(x[8 + cut :], states))
     moved = np.zeros(states * states + states)
     for x in (x for x, o in zip(extra, own, strict=True) if o):
         moved += np.frombuffer(x, np.float64)
-    return answered(table, held, [planes(expected[at]) for at in places], np.concatenate([expected.sum(axis=0), moved]))
+    steps = steps_of(expected, counts)
+    by_state = counts @ shares_of(steps) if size else np.zeros(states)
+    replies = [packed(steps[at]) if states > 1 else blocks.squeeze(bytes(len(at))) for at in held]
+    return answered(table, replies, np.concatenate([by_state, moved]))
 
 
 def summed(replies: DataFrame, size: int) -> np.ndarray:
@@ -191,20 +243,19 @@ class Model:
     def base(self, counts: np.ndarray) -> np.ndarray:
         return np.log10((counts + 0.1) / (self.total + 0.1 * (self.distinct + 1)))
 
-    def ratios(self, keys: np.ndarray, replies: list[bytes]) -> np.ndarray:
-        """A block's tokens by states: emissions over base probabilities; 1 for unknown tokens, and a last row of 1."""
+    def ratios(self, counts: np.ndarray, keys: np.ndarray | None, replies: list[bytes] | None) -> np.ndarray:
+        """A block's tokens by states: emissions over base probabilities; 1 for unknown tokens, and a last row of 1. Before the
+        first round the tokens' keys decide."""
         states = len(self.move)
-        ratio = np.ones((len(keys) + 1, states))
+        ratio = np.ones((len(counts) + 1, states))
+        known = counts > 0
         if self.by_state is None:
-            known = np.concatenate([np.frombuffer(blocks.unsqueeze(x), np.int64) for x in replies]) > 0
             ratio[:-1][known] = lean(keys[known], states) * (self.total + 0.1 * self.distinct) / self.weights
             return ratio
-        expected = np.concatenate([rows_of(x, states) for x in replies]).astype(np.float64)
-        # over the states, expected counts add up to the token's count
-        counts = expected.sum(axis=1)
-        known = counts > 0.5
+        steps = np.concatenate([unpacked(x, states) for x in replies]) if replies else np.zeros((0, states - 1), np.uint8)
+        expected = counts[known, None] * shares_of(steps[known])
         share = ((counts[known] + 0.1) / (self.total + 0.1 * self.distinct))[:, None]
-        ratio[:-1][known] = (expected[known] + PRIOR * share) / ((self.by_state + PRIOR) * share)
+        ratio[:-1][known] = (expected + PRIOR * share) / ((self.by_state + PRIOR) * share)
         return ratio
 
     def learn(self, sums: np.ndarray) -> None:
@@ -321,10 +372,37 @@ class Pieces:
         return emitted[:-1], moves * move, begun
 
 
-def rounds(table: DataFrame, counted: DataFrame, states: int, times: int, buckets: int) -> tuple[Model, DataFrame]:
-    """Trains on the blocks' training texts: the model, and per block the replies that hold its tokens' emissions."""
-    model = Model(states, summed(counted, 2 + states))
-    replies = blocks.per_block(counted.filter(F.col("block") >= 0).select("block", "bucket", "reply"))
+def asks(block: int, known: list, emitted: np.ndarray, counts: np.ndarray) -> pa.RecordBatch:
+    """A block's row for each bucket that has some of its tokens: places, and counts and divisions."""
+    edges = np.cumsum([0, *[len(blocks.decode(x["places"])) for x in known]]).tolist()
+    parts = []
+    for a, b in zip(edges, edges[1:], strict=False):
+        count = split_planes(counts[a:b])
+        steps = steps_of(emitted[a:b], counts[a:b])
+        parts.append(len(count).to_bytes(8, "little") + count + (packed(steps) if steps.shape[1] else blocks.squeeze(bytes(b - a))))
+    return pa.RecordBatch.from_pydict(
+        {
+            "bucket": pa.array([x["bucket"] for x in known], pa.int32()),
+            "block": pa.array([block] * len(known), pa.int64()),
+            "keys": pa.array([x["places"] for x in known], pa.binary()),
+            "extra": pa.array(parts, pa.binary()),
+        }
+    )
+
+
+def counts_of(known: list) -> np.ndarray:
+    return np.concatenate([np.frombuffer(blocks.unsqueeze(x["reply"]), np.int64) for x in known])
+
+
+def part_of(got: dict, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Token numbers, sizes and learning flags of a block's part."""
+    return ids_of(got["ids"][k]), np.frombuffer(got["sizes"][k], np.int64), np.frombuffer(got["learns"][k], bool)
+
+
+def rounds(table: DataFrame, known: DataFrame, model: Model, times: int, buckets: int) -> DataFrame | None:
+    """Trains on the blocks' training texts: per block the replies that hold its tokens' emissions."""
+    spark, states = table.sparkSession, len(model.move)
+    replies, last = None, None
     for _ in range(times if model.total else 0):
 
         def work(batches: Iterator[pa.RecordBatch], model=model) -> Iterator[pa.RecordBatch]:
@@ -332,16 +410,19 @@ def rounds(table: DataFrame, counted: DataFrame, states: int, times: int, bucket
             move, begin = model.move.astype(np.float32), model.begin
             for batch in batches:
                 for row in range(batch.num_rows):
-                    got = {c: batch.column(c)[row].as_py() for c in ("block", "sizes", "ids", "keys", "learns", "replies")}
-                    sizes, learns, keys = np.frombuffer(got["sizes"], np.int64), np.frombuffer(got["learns"], bool), blocks.decode(got["keys"])
-                    ids = ids_of(got["ids"])[np.repeat(learns, sizes)]
-                    emitted = np.zeros((len(keys), states))
-                    if len(ids):
-                        ratio = model.ratios(keys, got["replies"]).astype(np.float32)
-                        emitted, m, b = Pieces(sizes[learns]).learned(ids, ratio, move, begin)
-                        moved += m
-                        begun += b
-                    yield blocks.questions(got["block"], keys, lambda a, b, e=emitted: planes(e[a:b]), buckets)
+                    got = {c: batch.column(c)[row].as_py() for c in batch.schema.names}
+                    counts = counts_of(got["known"])
+                    keys = blocks.decode(got["keys"]) if "keys" in got else None
+                    ratio = model.ratios(counts, keys, got.get("replies")).astype(np.float32)
+                    emitted = np.zeros((len(counts), states))
+                    for k in range(len(got["ids"])):
+                        ids, sizes, learns = part_of(got, k)
+                        if learns.any():
+                            e, m, b = Pieces(sizes[learns]).learned(ids[np.repeat(learns, sizes)], ratio, move, begin)
+                            emitted += e
+                            moved += m
+                            begun += b
+                    yield asks(got["block"], got["known"], emitted, ids_of(got["train"]))
             yield pa.RecordBatch.from_pydict(
                 {
                     "bucket": pa.array([TaskContext.get().partitionId() % buckets], pa.int32()),
@@ -351,11 +432,17 @@ def rounds(table: DataFrame, counted: DataFrame, states: int, times: int, bucket
                 }
             )
 
-        asked = table.select("block", "sizes", "ids", "keys", "learns").join(replies, "block").mapInArrow(work, blocks.ASKED)
-        added = stored(asked.groupBy("bucket").applyInArrow(lambda t: add_bucket(t, states), ANSWERED))
-        replies = blocks.per_block(added.filter(F.col("block") >= 0).select("block", "bucket", "reply"))
+        columns = ["block", "sizes", "ids", "learns", "train", *(["keys"] if replies is None else [])]
+        joined = table.select(*columns).join(known.hint("merge"), "block")
+        if replies is not None:
+            joined = joined.join(replies.hint("merge"), "block")
+        asked = joined.mapInArrow(work, blocks.ASKED)
+        added, path = written(asked.groupBy("bucket").applyInArrow(lambda t: add_bucket(t, states), ANSWERED))
+        if last:
+            discard(spark, last)
+        replies, last = blocks.per_block(added.filter(F.col("block") >= 0).select("block", "bucket", "reply")), path
         model.learn(summed(added, states * states + 2 * states))
-    return model, replies
+    return replies
 
 
 def scored(docs: DataFrame, learns: Column, text: str = "text", states: int = STATES, times: int = ROUNDS) -> DataFrame:
@@ -364,49 +451,57 @@ def scored(docs: DataFrame, learns: Column, text: str = "text", states: int = ST
     spark = docs.sparkSession
     added = ["n_tokens", "n_known", "train_tokens", "base_score", "score"]
     others = [c for c in docs.columns if c not in {text, *added}]
-    rows = docs.select(*others, F.col(text).cast("binary").alias("_text"), F.coalesce(learns, F.lit(False)).alias("_learns"))
+    body = blocks.unused(docs.columns)
+    flag = body + "_"
+    rows = docs.select(*others, F.col(text).cast("binary").alias(body), F.coalesce(learns, F.lit(False)).alias(flag))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    table = tokenized(rows, "_text", "_learns")
+    table = tokenized(rows, body, flag)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 keys = blocks.decode(batch.column("keys")[row].as_py())
-                train = np.frombuffer(blocks.unsqueeze(batch.column("train")[row].as_py()), np.uint32)
+                train = ids_of(batch.column("train")[row].as_py())
                 yield blocks.questions(
-                    batch.column("block")[row].as_py(), keys, lambda a, b, train=train: blocks.squeeze(train[a:b].tobytes()), buckets
+                    batch.column("block")[row].as_py(), keys, lambda a, b, train=train: split_planes(train[a:b]), buckets
                 )
 
     asked = table.select("block", "keys", "train").mapInArrow(ask, blocks.ASKED)
-    counted = stored(asked.groupBy("bucket").applyInArrow(lambda t: count_bucket(t, states), ANSWERED))
+    counted, path = written(asked.groupBy("bucket").applyInArrow(lambda t: count_bucket(t, states), ANSWERED))
+    model = Model(states, summed(counted, 2 + states))
+    listed = F.sort_array(F.collect_list(F.struct("bucket", "reply", "places")))
+    known = bucketed(counted.filter(F.col("block") >= 0).groupBy("block").agg(listed.alias("known")), "block")
+    discard(spark, path)
     # training works in single precision, scores are exact in double
-    model, emissions = rounds(table, counted, states, times, buckets)
+    emissions = rounds(table, known, model, times, buckets)
     fields = [rows.schema[c] for c in others]
     schema = T.StructType([*fields, *T.StructType.fromDDL("n_tokens bigint, n_known bigint, train_tokens bigint, base_score double, score double").fields])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                got = {c: batch.column(c)[row].as_py() for c in ("rows", "sizes", "ids", "keys", "counts", "replies")}
-                counts = np.concatenate([np.frombuffer(blocks.unsqueeze(x), np.int64) for x in got["counts"]])
-                sizes, ids = np.frombuffer(got["sizes"], np.int64), ids_of(got["ids"])
-                first = np.cumsum(sizes) - sizes
-                base = np.add.reduceat(model.base(counts)[ids], first)
-                known = np.add.reduceat((counts > 0)[ids].astype(np.int64), first)
-                pieces = Pieces(sizes)
-                ratio = model.ratios(blocks.decode(got["keys"]), got["replies"])
-                gain = pieces.forward(pieces.emissions(ids, ratio), model.move, model.begin)[0] / np.log(10)
-                here = blocks.from_stream(got["rows"])
-                yield from pa.table(
-                    {
-                        **{c: here.column(c) for c in others},
-                        "n_tokens": pa.array(sizes),
-                        "n_known": pa.array(known),
-                        "train_tokens": pa.array(np.full(len(sizes), model.total, np.int64)),
-                        "base_score": pa.array(base),
-                        "score": pa.array(base + gain),
-                    }
-                ).to_batches()
-
-    counts = blocks.per_block(counted.filter(F.col("block") >= 0).select("block", "bucket", "reply"))
-    return table.drop("train", "learns").join(counts.withColumnRenamed("replies", "counts"), "block").join(emissions, "block").mapInArrow(score, schema)
+                got = {c: batch.column(c)[row].as_py() for c in batch.schema.names}
+                counts = counts_of(got["known"])
+                ratio = model.ratios(counts, blocks.decode(got["keys"]) if "keys" in got else None, got.get("replies"))
+                token_base = model.base(counts)
+                for k, own in enumerate(got["rows"]):
+                    ids, sizes, _ = part_of(got, k)
+                    first = np.cumsum(sizes) - sizes
+                    base = np.add.reduceat(token_base[ids], first)
+                    seen = np.add.reduceat((counts > 0)[ids].astype(np.int64), first)
+                    pieces = Pieces(sizes)
+                    gain = pieces.forward(pieces.emissions(ids, ratio), model.move, model.begin)[0] / np.log(10)
+                    here = blocks.from_stream(own)
+                    yield from pa.table(
+                        {
+                            **{c: here.column(c) for c in others},
+                            "n_tokens": pa.array(sizes),
+                            "n_known": pa.array(seen),
+                            "train_tokens": pa.array(np.full(len(sizes), model.total, np.int64)),
+                            "base_score": pa.array(base),
+                            "score": pa.array(base + gain),
+                        }
+                    ).to_batches()
+
+    joined = table.drop("train", *([] if emissions is None else ["keys"])).join(known.hint("merge"), "block")
+    return (joined if emissions is None else joined.join(emissions.hint("merge"), "block")).mapInArrow(score, schema)

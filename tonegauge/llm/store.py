@@ -18,3 +18,28 @@ def stored(df: DataFrame) -> DataFrame:
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame) -> tuple[DataFrame, str]:
+    """The same, and where the rows are, for who discards them again."""
+    path = shared_folder(df.sparkSession)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes what ``written`` wrote, once everything worked out from it is written itself."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """The rows written once in files by a hash of ``key``, so that joins on it leave them where they are."""
+    spark = df.sparkSession
+    name = f"bucketed_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).sortBy(key).format("parquet").option("path", shared_folder(spark)).saveAsTable(name)
+    found = spark.table(name)
+    found.schema  # resolved: the files stay when the name goes
+    spark.sql(f"DROP TABLE {name}")
+    return found
