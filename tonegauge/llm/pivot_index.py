@@ -127,12 +127,12 @@ def roots(a: np.ndarray, b: np.ndarray, n: int) -> np.ndarray:
         root = least
 
 
-def join_spread(rows: DataFrame, few: DataFrame, key: str, by: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
+def join_spread(rows: DataFrame, few: DataFrame, key: str | list[str], by: str, how: str = "inner", salts: int = SALTS) -> DataFrame:
     """``rows`` joined with a table that has a key once, whose rows are copied so that a frequent key meets several of them.
     Rows are spread by a hash of ``by``, so a task that runs again spreads them alike."""
     salted = rows.withColumn("_salt_", F.pmod(F.xxhash64(by, F.lit("salt")), F.lit(salts)).cast("int"))
     copies = few.withColumn("_salt_", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [key, "_salt_"], how).drop("_salt_")
+    return salted.join(copies, [*([key] if isinstance(key, str) else key), "_salt_"], how).drop("_salt_")
 
 
 def signed(distinct: DataFrame, pivots: np.ndarray, nearest: int) -> DataFrame:
@@ -191,11 +191,17 @@ def linked(dealt: DataFrame, posted: int, shared: int, threshold: float) -> Data
 
 
 def direction(vector: Column) -> Column:
-    """The vector in double precision, or null where it takes no part."""
-    wide = F.transform(vector, lambda x: x.cast("double"))
+    """The vector in double precision, or null where it takes no part. Negative zeros become zeros."""
+    wide = F.transform(vector, lambda x: x.cast("double") + F.lit(0.0))
     return F.when(usable(vector) & F.exists(vector, lambda x: x != 0), wide)
 
 
+def names(vector: Column) -> list[Column]:
+    """Two 64-bit hashes by which a row finds the labels of its vector; null without a vector. Vectors themselves are compared
+    where they are folded."""
+    return [F.when(vector.isNotNull(), F.xxhash64(F.lit(k), vector)).alias(f"_name{k}_") for k in (1, 2)]
+
+
 def near_duplicates(
     rows: DataFrame, id: str = "vec_id", vector: str = "embedding", threshold: float = 0.95, nearest: int = NEAREST, shared: int = SHARED,
     cell: int = CELL,
@@ -217,7 +223,7 @@ def near_duplicates(
         sample = part.select("vector").orderBy(F.xxhash64("vector"), "vector").limit(SAMPLE).toArrow().column("vector")
         sample = np.asarray(sample.combine_chunks().flatten().to_numpy(zero_copy_only=False), float).reshape(-1, width)
         found.append(links_of(part, choose_pivots(sample, most), min(nearest, n), shared, threshold, cell))
-    labels = distinct.select("node", "rows", "first_id", "vector")
+    distinct = distinct.select("node", "rows", "first_id", *names(F.col("vector")))
     if found:
         links = found[0]
         for more in found[1:]:
@@ -228,13 +234,14 @@ def near_duplicates(
         grouped = distinct.join(rooted, "node", "left").withColumn("root", F.coalesce("root", "node"))
         first = grouped.groupBy("root").agg(F.min("first_id").alias("component_id"))
         labels = join_spread(grouped, first, "root", "node").join(counts, "node", "left").select(
-            F.col("vector").alias(body), (F.col("rows") - 1 + F.coalesce("n_rows", F.lit(0))).alias("n_links"), "component_id"
+            "_name1_", "_name2_", (F.col("rows") - 1 + F.coalesce("n_rows", F.lit(0))).alias("n_links"), "component_id"
         )
     else:
-        labels = labels.select(F.col("vector").alias(body), F.lit(0).cast("bigint").alias("n_links"), F.col("first_id").alias("component_id"))
+        labels = distinct.select("_name1_", "_name2_", F.lit(0).cast("bigint").alias("n_links"), F.col("first_id").alias("component_id"))
     own = F.col(id).cast("bigint")
-    component = F.when(F.col(body).isNull(), own).otherwise(F.col("component_id"))
-    return join_spread(whole, labels, body, id, "left").select(
+    component = F.when(F.col("_name1_").isNull(), own).otherwise(F.col("component_id"))
+    named = whole.select(*others, *names(F.col(body)))
+    return join_spread(named, labels, ["_name1_", "_name2_"], id, "left").select(
         *others, F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"),
         F.coalesce(component == own, F.lit(False)).alias("kept"),
     )
