@@ -38,8 +38,8 @@ from tonegauge.llm.store import bucketed, discard, written
 STATES = 6
 ROUNDS = 4
 #: Text of a block, which has one vocabulary, and of a part, which is worked on at once.
-BLOCK_BYTES = 32 << 20
-PART_BYTES = 2 << 20
+BLOCK_BYTES = 12 << 20
+PART_BYTES = 1 << 20
 #: Steps in which a token's division over the states moves.
 STEPS = 255
 #: Tokens of a piece; pieces run side by side.
