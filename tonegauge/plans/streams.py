@@ -10,7 +10,7 @@ from tonegauge.plans import cleaning, views_sql as v
 from tonegauge.plans import dashboard as dashboard_plans
 from tonegauge.plans import models as model_plans
 from tonegauge.sources import reviews, storage, views
-from tonegauge.streaming import live, scoring
+from tonegauge.streaming import live, scoring, waiting
 
 ALL_NOW = {"availableNow": True}
 
@@ -142,6 +142,27 @@ def r5_live_recent(spark, folder):
     return storage.read_table(spark, path).select("Id", "ProductId", "Score", "PredictedSentiment", "Summary")
 
 
+def r7_waiting_check(spark, folder):
+    """Messages and predictions as two streams; a prediction comes 1 to 16 minutes after its message or never, ten count.
+
+    A last message and prediction of a far later time end the wait for all others, and are left out again."""
+    rows = views.predictions(spark, folder)
+    h, sent_at = F.md5(F.col("Id").cast("binary")), F.timestamp_seconds("Time")
+    minutes = F.instr(F.lit(views.HEX_DIGITS), F.substring(h, 2, 1))
+    sent = rows.select("Id", F.col("Sentiment").alias("expected"), sent_at.alias("sent_at"))
+    stored = rows.filter(h < "e").select("Id", "PredictedSentiment", F.timestamp_seconds(F.col("Time") + 60 * minutes).alias("scored_at"))
+    last = spark.range(1).select(F.lit("last").alias("Id"), F.lit("").alias("name"), F.timestamp_seconds(F.lit(32503680000)).alias("at"))
+    streams = []
+    for frame in (sent, stored):
+        path = storage.shared_dir(spark, "topic")
+        frame.unionAll(last).write.parquet(path)
+        streams.append(spark.readStream.schema(frame.schema).parquet(path))
+    path = storage.shared_dir(spark, "checked")
+    checked = waiting.awaited(*streams)
+    waiting.start_check(checked, path, storage.shared_dir(spark, "waiting"), ALL_NOW).awaitTermination()
+    return waiting.latest(spark.read.schema(checked.schema).parquet(path)).filter(F.col("Id") != "last")
+
+
 QUERIES = {
     name: run for name, run in globals().items()
     if callable(run) and name[0] in "rs" and name[1:2].isdigit()
@@ -165,6 +186,11 @@ SQL = {
         SELECT run, count(*) AS total, count(*) FILTER (prediction = 2) AS positive,
           count(*) FILTER (prediction = 1) AS neutral, count(*) FILTER (prediction = 0) AS negative
         FROM predictions JOIN r ON Score < 3 + 3 * run GROUP BY run""",
+    "r7_waiting_check": f"""WITH {v.PREDICTIONS}, w AS (SELECT Id, CASE WHEN Score < 3 THEN 'negative' WHEN Score = 3 THEN 'neutral'
+          ELSE 'positive' END AS expected, PredictedSentiment AS name,
+          h < 'e' AND instr('0123456789abcdef', substr(h, 2, 1)) <= 10 AS found FROM predictions)
+        SELECT Id, expected, CASE WHEN found THEN name ELSE 'not_found' END AS predicted, found, found AND name = expected AS agrees
+        FROM w""",
     "r4_live_monthly": dashboard_plans.SQL["a3_monthly_sentiment"],
     "r4_live_stats": f"""WITH {v.PREDICTIONS} SELECT positive + neutral + negative AS total, positive, neutral,
         negative FROM (SELECT {v.counts('PredictedSentiment')} FROM predictions)""",
