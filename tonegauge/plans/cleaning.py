@@ -63,11 +63,11 @@ def s3_slim(spark, folder):
 
 def _messages(spark, folder):
     records = src.with_file_position(views.table(spark, folder, "events"))
-    shaped = _event_columns(records)
+    shaped = event_columns(records)
     return src.to_messages(shaped, MESSAGE_TIME, "position")
 
 
-def _event_columns(events):
+def event_columns(events):
     key = F.get_json_object("props", "$.k").cast("bigint")
     number = F.col("event_id")
     return events.select(

@@ -4,13 +4,14 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from tonegauge.operators import dashboard, features, models
+from tonegauge.operators import dashboard, features, metrics, models
+from tonegauge.operators.cleaning import probability_array
 from tonegauge.operators.sentiment_model import SentimentModel
 from tonegauge.plans import cleaning, views_sql as v
 from tonegauge.plans import dashboard as dashboard_plans
 from tonegauge.plans import models as model_plans
 from tonegauge.sources import reviews, storage, views
-from tonegauge.streaming import live, scoring, waiting
+from tonegauge.streaming import commits, live, replay, scoring, waiting
 
 ALL_NOW = {"availableNow": True}
 
@@ -142,6 +143,77 @@ def r5_live_recent(spark, folder):
     return storage.read_table(spark, path).select("Id", "ProductId", "Score", "PredictedSentiment", "Summary")
 
 
+def r6_paced_replay(spark, folder):
+    """Events as messages, replayed at 20 000 a second, stopped in between and started again; each message arrives once."""
+    shaped = replay.numbered(cleaning.event_columns(reviews.with_file_position(views.table(spark, folder, "events"))))
+    messages = reviews.to_messages(shaped, cleaning.MESSAGE_TIME, "position", keep=["number"])
+    path, checkpoint = storage.shared_dir(spark, "topic"), storage.shared_dir(spark, "replay")
+
+    def send(batch, number, run):
+        commits.write(reviews.as_json(batch), path, run, number, "text")
+
+    for seconds in (0.5, None):
+        running = replay.start_paced(messages, checkpoint, 20_000, send, interval=0.25)
+        running.wait(seconds)
+        running.stop()
+    return reviews.decode(commits.read(spark, path, "value string", "text"))
+
+
+def s13_sidecar(spark, folder):
+    """Counts of the predictions written as a small document and read back."""
+    counts = dashboard.overall_stats(views.predictions(spark, folder)).first().asDict()
+    path = storage.shared_dir(spark, "sidecar")
+    storage.save_json(spark, {"dataset": "predictions", "counts": counts}, path)
+    found = storage.load_json(spark, path)
+    names = sorted(found["counts"])
+    return spark.createDataFrame([(found["dataset"], n, found["counts"][n]) for n in names], "dataset string, name string, count bigint")
+
+
+def _insights(spark, folder):
+    """Documents of the evaluation of each score's predictions, a broken one and a missing one, ingested one after the other."""
+    pred, base = views.predictions(spark, folder), storage.shared_dir(spark, "insights")
+    history = f"{base}/history"
+    for score in (1, 3, 5):
+        meta = {"model_name": f"model {score}", "dataset": "predictions", "notes": "{rows} rows"}
+        doc = metrics.insight(pred.filter(F.col("Score") == score), meta, datetime(2024, 1, score))
+        doc.coalesce(1).write.json(f"{base}/doc{score}")
+        storage.append_history(storage.ingest_insight(spark, f"{base}/doc{score}", datetime(2024, 2, 1)), history)
+    pred.agg(F.concat(F.lit("{"), F.count("*"), F.lit(" rows")).alias("value")).coalesce(1).write.text(f"{base}/broken")
+    for day, name in ((1, "broken"), (2, "none")):
+        storage.append_history(storage.ingest_insight(spark, f"{base}/{name}", datetime(2023, 1, day)), history)
+    return spark.read.parquet(history)
+
+
+def s16_insight_ingest(spark, folder):
+    return _insights(spark, folder).select(
+        "evaluated_at", "status", F.col("metadata.model_name").alias("model_name"), F.col("metadata.notes").alias("notes"),
+        F.col("metrics.accuracy").alias("accuracy"), F.element_at(F.split(F.get("errors", F.lit(0)), ":"), 1).alias("error"),
+    )
+
+
+def a13_latest_insight(spark, folder):
+    newest = dashboard.latest_insight(_insights(spark, folder))
+    return newest.select(
+        "evaluated_at", "status", F.col("metadata.model_name").alias("model_name"), F.col("metrics.accuracy").alias("accuracy"),
+        F.array_join(F.flatten("confusion_matrix.matrix").cast("array<string>"), ",").alias("matrix"),
+    )
+
+
+def s12_saved_model(spark, folder):
+    """Documents scored by a model and by the same model saved and loaded: rows, and rows on which both agree."""
+    docs = model_plans._labelled_docs(spark, folder)
+    fitted = features.fit_features(docs)
+    model = SentimentModel(fitted, models.train_lr(storage.stored(fitted.transform(docs), "features")))
+    path = storage.shared_dir(spark, "model")
+    model.save(spark, path)
+    loaded = SentimentModel.load(spark, path)
+    every = views.doc_reviews(spark, folder)
+    one, two = (m.predict(every).select("Id", "prediction", probability_array(m.predict(every)).alias("p")) for m in (model, loaded))
+    both = one.join(two.withColumnsRenamed({"prediction": "prediction2", "p": "p2"}), "Id")
+    same = (F.col("prediction") == F.col("prediction2")) & (F.col("p") == F.col("p2"))
+    return both.agg(F.count("*").alias("scored"), F.count_if(same).alias("same"))
+
+
 def r7_waiting_check(spark, folder):
     """Messages and predictions as two streams; a prediction comes 1 to 16 minutes after its message or never, ten count.
 
@@ -165,7 +237,7 @@ def r7_waiting_check(spark, folder):
 
 QUERIES = {
     name: run for name, run in globals().items()
-    if callable(run) and name[0] in "rs" and name[1:2].isdigit()
+    if callable(run) and name[0] in "ars" and name[1:2].isdigit()
 }
 
 _MESSAGES = f"SELECT * REPLACE ('' AS Text) FROM ({cleaning.SQL['s4_messages']})"
@@ -186,6 +258,22 @@ SQL = {
         SELECT run, count(*) AS total, count(*) FILTER (prediction = 2) AS positive,
           count(*) FILTER (prediction = 1) AS neutral, count(*) FILTER (prediction = 0) AS negative
         FROM predictions JOIN r ON Score < 3 + 3 * run GROUP BY run""",
+    "r6_paced_replay": _MESSAGES,
+    "s12_saved_model": "SELECT count(*) AS scored, count(*) AS same FROM documents",
+    "s13_sidecar": f"""WITH {v.PREDICTIONS}, c AS (SELECT {v.counts('PredictedSentiment')} FROM predictions)
+        SELECT 'predictions' AS dataset, name, CAST(count AS BIGINT) AS count
+        FROM (SELECT positive + neutral + negative AS total, * FROM c) UNPIVOT (count FOR name IN (total, positive, neutral, negative))""",
+    "s16_insight_ingest": f"""WITH {v.PREDICTIONS}
+        SELECT concat('2024-01-0', Score, 'T00:00:00Z') AS evaluated_at, 'ok' AS status, concat('model ', Score) AS model_name,
+          concat(count(*), ' rows') AS notes, round(count(*) FILTER (label = prediction) / count(*), 4) AS accuracy,
+          CAST(NULL AS VARCHAR) AS error FROM predictions WHERE Score IN (1, 3, 5) GROUP BY Score
+        UNION ALL SELECT '2023-01-01T00:00:00', 'missing', NULL, NULL, NULL, 'invalid_json'
+        UNION ALL SELECT '2023-01-02T00:00:00', 'missing', NULL, NULL, NULL, 'missing_file'""",
+    "a13_latest_insight": f"""WITH {v.PREDICTIONS}, p AS (SELECT * FROM predictions WHERE Score = 5)
+        SELECT '2024-01-05T00:00:00Z' AS evaluated_at, 'ok' AS status, 'model 5' AS model_name,
+          round(count(*) FILTER (label = prediction) / count(*), 4) AS accuracy,
+          (SELECT string_agg(c, ',' ORDER BY l, g) FROM (SELECT l, g, count(p.label) AS c FROM (SELECT unnest([0, 1, 2]) AS l),
+            (SELECT unnest([0, 1, 2]) AS g) LEFT JOIN p ON label = l AND prediction = g GROUP BY l, g)) AS matrix FROM p""",
     "r7_waiting_check": f"""WITH {v.PREDICTIONS}, w AS (SELECT Id, CASE WHEN Score < 3 THEN 'negative' WHEN Score = 3 THEN 'neutral'
           ELSE 'positive' END AS expected, PredictedSentiment AS name,
           h < 'e' AND instr('0123456789abcdef', substr(h, 2, 1)) <= 10 AS found FROM predictions)

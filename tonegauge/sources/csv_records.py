@@ -124,7 +124,8 @@ def over_splits(parts: DataFrame) -> DataFrame:
 
 
 def records(spark: SparkSession, path: str | list[str], header: bool = True) -> DataFrame:
-    """(value) of every record of the files as text, without the header record of each file."""
+    """(file, split, place, value): every record of the files as text, without the header record of each file, and where it
+    begins."""
     found = lines(spark, path)
     # a key of two numbers, so what is sent to the tasks is small: a row for each split that begins inside a field
     inside = splits_inside(found).select(F.xxhash64("file", "split").alias("key"), F.lit(True).alias("inside"))
@@ -140,8 +141,30 @@ def records(spark: SparkSession, path: str | list[str], header: bool = True) ->
     return trimmed.filter(F.col("value") != "")
 
 
-def read(spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool = True, strict: bool = False) -> DataFrame:
-    """The columns of CSV files with quoted, possibly multi-line fields. ``strict`` stops at the first malformed record."""
+def numbered(rows: DataFrame) -> DataFrame:
+    """Adds ``position`` (from 1, in the file) and ``number`` (from 0, in all files by name) of each record. Only the numbers of
+    records in each split are summed in order; inside a split they are numbered as they come."""
+    order = W.partitionBy("file", "split").orderBy("place")
+    ranked = rows.withColumn("rank", F.row_number().over(order))
+    sizes = rows.groupBy("file", "split").agg(F.count(F.lit(1)).alias("rows"))
+    in_file = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.withColumn("before", F.coalesce(F.sum("rows").over(in_file), F.lit(0)))
+    files = sizes.groupBy("file").agg(F.sum("rows").alias("rows"))
+    # one row a file
+    in_all = W.partitionBy(F.col("rows") < 0).orderBy("file").rowsBetween(W.unboundedPreceding, -1)
+    starts = files.select("file", F.coalesce(F.sum("rows").over(in_all), F.lit(0)).alias("start"))
+    placed = ranked.join(before.select("file", "split", "before").join(starts, "file"), ["file", "split"])
+    position = F.col("before") + F.col("rank")
+    return placed.select(*rows.columns, position.alias("position"), (F.col("start") + position - 1).alias("number"))
+
+
+def read(
+    spark: SparkSession, path: str | list[str], schema: T.StructType, header: bool = True, strict: bool = False, position: bool = False,
+) -> DataFrame:
+    """The columns of CSV files with quoted, possibly multi-line fields. ``strict`` stops at the first malformed record;
+    ``position`` adds the columns of ``numbered``."""
     options = {"escape": '"', "multiLine": "true", "mode": "FAILFAST" if strict else "PERMISSIVE"}
     ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
-    return records(spark, path, header).select(F.from_csv("value", ddl, options).alias("r")).select("r.*")
+    found = records(spark, path, header)
+    places = ["position", "number"] if position else []
+    return (numbered(found) if position else found).select(F.from_csv("value", ddl, options).alias("r"), *places).select("r.*", *places)
