@@ -130,6 +130,33 @@ def test_measures(spark, odd, none):
     assert {r.block for r in quality.passing(odd).collect()} == {r.block for r in quality.judged(odd).filter("kept").collect()}
 
 
+def test_order_is_stable_and_by_rejections_per_cost(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    orders = [[r.name for r in quality.order(d, quality.RULES)] for d in (docs, docs.repartition(5), docs)]
+    assert orders[0] == orders[1] == orders[2] and orders[0][0] == "few_words"
+    assert [r.name for r in quality.order(docs, quality.RULES[::-1], sample_rows=50)][0] == "few_words"
+    never = quality.Rule("never", lambda text: F.lit(False), 1.0)
+    dear, cheap = (quality.Rule(n, lambda text: F.col("n_words") > 0, cost) for n, cost in (("dear", 9.0), ("cheap", 1.0)))
+    assert [r.name for r in quality.order(docs, [never, dear, cheap])] == ["cheap", "dear", "never"]
+
+
+def test_rejected_texts_are_not_shown_to_later_rules(spark):
+    rows = spark.createDataFrame([(1, "bad text"), (2, "good text"), (3, None)], "i int, text string")
+    first = quality.Rule("first", lambda text: text.startswith("bad"), 0.01)
+    fails = F.raise_error(F.lit("a rejected text was shown")).cast("boolean")
+    later = quality.Rule("later", lambda text: F.when(text.startswith("bad"), fails).otherwise(F.lit(False)), 100.0)
+    ordered = [first, later]
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(quality, "order", lambda docs, rules, text="text": rules)
+        assert {r.i for r in quality.passing(rows, rules=ordered).collect()} == {2, 3}
+        with pytest.raises(Exception, match="a rejected text was shown"):
+            quality.passing(rows, rules=[later, first]).collect()
+        windows = spark.createDataFrame([(1, "a b c " * 5), (2, "a b c " * 60), (3, "x y " * 9)], "i int, text string")
+        for rules in (quality.RULES, quality.RULES[::-1]):
+            kept = {r.i for r in quality.passing(windows, rules=rules).collect()}
+            assert kept == {r.i for r in quality.judged(windows, rules=rules).filter("kept").collect()}
+
+
 # language model
 
 
