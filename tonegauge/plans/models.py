@@ -5,8 +5,10 @@ from datetime import datetime
 from pyspark import StorageLevel
 from pyspark.sql import functions as F
 
-from tonegauge.operators import calibration, cleaning, features, metrics, models, splits
+from tonegauge.operators import calibration, cleaning, features, metrics, model_tables, models, splits
+from tonegauge.operators import text as token_ops
 from tonegauge.plans import profile
+from tonegauge.plans import text as text_plans
 from tonegauge.plans import views_sql as v
 from tonegauge.sources import storage, views
 
@@ -152,6 +154,77 @@ def m4_random_forest(spark, folder):
     return _predicted(models.train_rf(train), test)
 
 
+def _certified(certificate):
+    """The share of a class by label beside its share by the model, and whether the gradient is near 0."""
+    flat = (F.col("gradient") < FLAT).alias("flat")
+    return certificate.select("class", "rows", F.round("share", 3).alias("share"), F.round("predicted", 3).alias("predicted"), flat)
+
+
+#: Largest derivative of the mean loss by a standardised coefficient that counts as the optimum.
+FLAT = 1e-3
+
+
+def m1_lr_certificate(spark, folder):
+    train, _ = _featured(spark, folder)
+    table = model_tables.linear_table(spark, models.train_lr(train))
+    return _certified(model_tables.lr_certificate(train, table, models.BEST["regParam"], weight="classWeight"))
+
+
+def m16_lr_certificate(spark, folder):
+    """The classifier of the embeddings, whose ten classes are labels of the table."""
+    rows = views.vectors(spark, folder)
+    table = model_tables.linear_table(spark, models.train_lr(rows))
+    return _certified(model_tables.lr_certificate(rows, table, models.BEST["regParam"], classes=10))
+
+
+def _agreement(scored, by_table):
+    """Rows per label, and those that the table decides as the model does."""
+    both = scored.select("Id", "label", "prediction").join(
+        model_tables.decided(by_table).select("Id", F.col("prediction").alias("_by_table")), "Id")
+    same = F.count_if(F.col("prediction") == F.col("_by_table"))
+    return both.groupBy("label").agg(F.count(F.lit(1)).alias("rows"), same.alias("same"))
+
+
+def m2_svc_by_table(spark, folder):
+    train, test = _featured(spark, folder)
+    model = models.train_svc(train)
+    table = model_tables.linear_table(spark, model)
+    return _agreement(model.transform(test), model_tables.margins(model_tables.entries(test), table))
+
+
+def m4_forest_by_table(spark, folder):
+    train, test = _featured(spark, folder)
+    model = models.train_rf(train)
+    votes = model_tables.forest_votes(
+        test, model_tables.forest_table(spark, model), model.getNumTrees, model.getMaxDepth())
+    return _agreement(model.transform(test), votes)
+
+
+def _word_rows(spark, folder):
+    """Word counts of the labelled documents with their split."""
+    rows = splits.stratified_split(_labelled_docs(spark, folder))
+    found = token_ops.remove_stopwords(token_ops.tokenise(rows))
+    return model_tables.word_entries(found, "filtered", keep=["label", "split"])
+
+
+def _word_table(rows):
+    return model_tables.naive_bayes_table(rows.filter(F.col("split") == "train"), bias=model_tables.BIAS_WORD)
+
+
+def m3_naive_bayes_table(spark, folder):
+    table = _word_table(_word_rows(spark, folder))
+    return table.select("feature", *[F.round(F.get("weights", F.lit(c)), 6).alias(f"w{c}") for c in range(3)])
+
+
+def m3_naive_bayes_by_table(spark, folder):
+    """Rows that took no part in the fit, decided by the table."""
+    rows = storage.stored(_word_rows(spark, folder), "word-rows")
+    table = storage.stored(_word_table(rows), "word-weights")
+    held_out = rows.filter(F.col("split") != "train")
+    scored = model_tables.decided(model_tables.margins(held_out, table))
+    return scored.select("Id", "prediction", *[F.round(F.get("margins", F.lit(c)), 3).alias(f"m{c}") for c in range(3)])
+
+
 def m5_benchmark(spark, folder):
     train, test = _featured(spark, folder)
     results, _ = models.benchmark(
@@ -275,8 +348,44 @@ def _auc(cls):
         AS above FROM (SELECT p{cls} AS score, count(*) FILTER (label = {cls}) AS pos,
           count(*) FILTER (label <> {cls}) AS neg FROM predictions GROUP BY 1))"""
 
+_DOC_SPLIT = f"""{v.DOC_REVIEWS}, scored AS (SELECT *, CASE WHEN Score < 3 THEN 0 WHEN Score = 3 THEN 1 ELSE 2 END AS label
+    FROM doc_reviews WHERE Score IS NOT NULL AND Text IS NOT NULL AND Text <> ''),
+  placed AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY md5('42:' || Id), Id) AS rn,
+    count(*) OVER (PARTITION BY label) AS n FROM scored),
+  doc_split AS (SELECT *, CASE label WHEN 0 THEN 3.0 WHEN 1 THEN 8.0 ELSE 0.5 END AS weight,
+    CASE WHEN rn <= n * 8 // 10 THEN 'train' WHEN rn <= n * 8 // 10 + n // 10 THEN 'val' ELSE 'test' END AS split
+    FROM placed)"""
+_WORD_WEIGHTS = f"""WITH {text_plans.TOKENS}, {_DOC_SPLIT},
+  words AS (SELECT d.Id, label, split, unnest(list_concat([''], filtered)) AS feature
+    FROM doc_split d JOIN filtered f ON f.Id = d.Id),
+  counts AS (SELECT Id, label, split, feature, count(*) AS value FROM words GROUP BY ALL),
+  sums AS (SELECT feature, {', '.join(f"coalesce(sum(value) FILTER (label = {c}), 0) AS s{c}" for c in range(3))}
+    FROM counts WHERE split = 'train' GROUP BY feature),
+  totals AS (SELECT count(*) - 1 AS size, {', '.join(f"sum(s{c}) FILTER (feature <> '') AS t{c}" for c in range(3))},
+    sum(s0 + s1 + s2) FILTER (feature = '') AS n FROM sums),
+  weights AS (SELECT feature, {', '.join(
+      f"ln(s{c} + 1.0) - ln(CASE WHEN feature = '' THEN n + 3.0 ELSE t{c} + size * 1.0 END) AS w{c}" for c in range(3))}
+    FROM sums, totals)"""
+_HELD_OUT_ROWS = f"""WITH {_DOC_SPLIT} SELECT label, count(*) AS rows, count(*) AS same FROM doc_split
+  WHERE split <> 'train' GROUP BY label"""
+
 
 SQL = {
+    "m1_lr_certificate": f"""WITH {_DOC_SPLIT}, shares AS (SELECT label AS class, count(*) AS rows,
+        round(CAST(sum(weight) / (SELECT sum(weight) FROM doc_split WHERE split = 'train') AS DOUBLE), 3) AS share
+        FROM doc_split WHERE split = 'train' GROUP BY label)
+        SELECT *, share AS predicted, true AS flat FROM shares""",
+    "m16_lr_certificate": """WITH shares AS (SELECT CAST(label AS INT) AS class, count(*) AS rows,
+        round(count(*) / (SELECT count(*) FROM embeddings), 3) AS share FROM embeddings GROUP BY label)
+        SELECT *, share AS predicted, true AS flat FROM shares""",
+    "m2_svc_by_table": _HELD_OUT_ROWS,
+    "m4_forest_by_table": _HELD_OUT_ROWS,
+    "m3_naive_bayes_table": f"""{_WORD_WEIGHTS} SELECT feature, round(w0, 6) AS w0, round(w1, 6) AS w1, round(w2, 6) AS w2
+        FROM weights""",
+    "m3_naive_bayes_by_table": f"""{_WORD_WEIGHTS}, margins AS (SELECT Id, sum(value * w0) AS m0, sum(value * w1) AS m1,
+        sum(value * w2) AS m2 FROM counts JOIN weights USING (feature) WHERE split <> 'train' GROUP BY Id)
+        SELECT Id, CASE WHEN m0 >= m1 AND m0 >= m2 THEN 0.0::DOUBLE WHEN m1 >= m2 THEN 1.0::DOUBLE ELSE 2.0::DOUBLE END
+          AS prediction, round(m0, 3) AS m0, round(m1, 3) AS m1, round(m2, 3) AS m2 FROM margins""",
     "m7a_apply_thresholds": f"WITH {v.PREDICTIONS} {_DEFAULT} SELECT Id, label, prediction FROM decided",
     "m7b_threshold_scores": f"""WITH {v.PREDICTIONS} {_grid_scores()} SELECT combo, t0, t1, t2, round(f1, 6) AS f1,
         round(f1_neutral, 6) AS f1_neutral, round(combined, 6) AS combined FROM combined""",

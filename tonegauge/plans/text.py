@@ -101,7 +101,7 @@ STOP_WORDS = (
     "some such no nor not only own same so than too very s t can will just don should now cannot could ought would"
 ).split()
 _KEPT = _quoted(w for w in STOP_WORDS if w not in words.NEGATIONS)
-_TOKENS = rf"""tokens AS (SELECT CAST(doc_id AS VARCHAR) AS Id, text,
+TOKENS = rf"""tokens AS (SELECT CAST(doc_id AS VARCHAR) AS Id, text,
   [x FOR x IN regexp_extract_all(lower(text), '[0-9A-Za-z_]+') IF length(x) >= 2] AS words FROM documents),
 filtered AS (SELECT *, [x FOR x IN words IF x NOT IN ({_KEPT})] AS filtered FROM tokens)"""
 _PAIRS = """[filtered[i] || ' ' || filtered[i + 1] FOR i IN range(1, len(filtered))]"""
@@ -137,27 +137,27 @@ def _report_words(text):
 
 
 SQL = {
-    "t1_tokens": f"WITH {_TOKENS} SELECT Id, array_to_string(words, '|') AS words FROM tokens",
+    "t1_tokens": f"WITH {TOKENS} SELECT Id, array_to_string(words, '|') AS words FROM tokens",
     "t1_split_tokens": r"""SELECT CAST(doc_id AS VARCHAR) AS Id,
         array_to_string(regexp_extract_all(lower(text), '[0-9A-Za-z_]+'), '|') AS words FROM documents""",
     "t1_unicode_tokens": r"""SELECT CAST(doc_id AS VARCHAR) AS Id, array_to_string(
         [x FOR x IN regexp_extract_all(lower(text), '[\p{L}\p{M}\p{Nd}\p{Nl}\p{Pc}]+') IF length(x) >= 2], '|') AS words
         FROM documents""",
-    "t2_stopwords": f"""WITH {_TOKENS} SELECT Id, array_to_string(filtered, '|') AS filtered,
+    "t2_stopwords": f"""WITH {TOKENS} SELECT Id, array_to_string(filtered, '|') AS filtered,
         array_to_string([x FOR x IN words IF x NOT IN ({_quoted(STOP_WORDS)})], '|') AS plain FROM filtered""",
-    "t3_lemmas": f"""WITH {_TOKENS}, {_LEMMAS},
+    "t3_lemmas": f"""WITH {TOKENS}, {_LEMMAS},
         each AS (SELECT Id, unnest(filtered) AS token, generate_subscripts(filtered, 1) AS pos FROM filtered),
         replaced AS (SELECT Id, string_agg(coalesce(lemma, token), '|' ORDER BY pos) AS l
           FROM each LEFT JOIN lemmas USING (token) GROUP BY Id)
         SELECT Id, coalesce(l, '') AS lemmatized FROM filtered LEFT JOIN replaced USING (Id)""",
-    "t3_lemma_table": f"WITH {_TOKENS}, {_LEMMAS} SELECT token, lemma FROM lemmas",
-    "t4_bigrams": f"WITH {_TOKENS} SELECT Id, array_to_string({_PAIRS}, '|') AS bigrams FROM filtered",
-    "t5_combined": f"""WITH {_TOKENS} SELECT Id, array_to_string(list_concat(filtered, {_PAIRS}), '|') AS tokens
+    "t3_lemma_table": f"WITH {TOKENS}, {_LEMMAS} SELECT token, lemma FROM lemmas",
+    "t4_bigrams": f"WITH {TOKENS} SELECT Id, array_to_string({_PAIRS}, '|') AS bigrams FROM filtered",
+    "t5_combined": f"""WITH {TOKENS} SELECT Id, array_to_string(list_concat(filtered, {_PAIRS}), '|') AS tokens
         FROM filtered""",
-    "t7_idf": f"WITH {_TOKENS}, {_OCCURRENCES} SELECT token, df, round(idf, 6) AS idf FROM idf",
-    "t7_tf_idf": f"""WITH {_TOKENS}, {_OCCURRENCES} SELECT Id, token, tf, round(tf * idf, 6) AS tfidf
+    "t7_idf": f"WITH {TOKENS}, {_OCCURRENCES} SELECT token, df, round(idf, 6) AS idf FROM idf",
+    "t7_tf_idf": f"""WITH {TOKENS}, {_OCCURRENCES} SELECT Id, token, tf, round(tf * idf, 6) AS tfidf
         FROM occ JOIN idf USING (token)""",
-    "t9_sparsity": f"""WITH {_TOKENS}, sized AS (SELECT len(list_distinct(filtered)) AS n FROM filtered)
+    "t9_sparsity": f"""WITH {TOKENS}, sized AS (SELECT len(list_distinct(filtered)) AS n FROM filtered)
         SELECT CAST(min(n) AS INT) AS min, round(avg(n), 6) AS mean, CAST(max(n) AS INT) AS max FROM sized""",
     "t11_top_words": f"""WITH {v.DOC_REVIEWS}, each AS (
         SELECT CASE WHEN Score IS NULL THEN 'unknown' WHEN Score < 3 THEN 'negative' WHEN Score = 3 THEN 'neutral'
