@@ -27,7 +27,12 @@ def vocabulary(df: DataFrame, tokens: str) -> DataFrame:
 
 def corpus_lexicon(df: DataFrame, tokens: str) -> DataFrame:
     """The tokens of a corpus as lexicon: every one is a base form in both readings."""
-    forms = vocabulary(df, tokens).withColumn("pos", F.explode(F.array(*[F.lit(p) for p in RULES])))
+    return own_lexicon(vocabulary(df, tokens))
+
+
+def own_lexicon(vocab: DataFrame) -> DataFrame:
+    """Distinct tokens as lexicon."""
+    forms = vocab.withColumn("pos", F.explode(F.array(*[F.lit(p) for p in RULES])))
     return forms.select(F.col("token").alias("form"), "pos", F.col("token").alias("lemma"))
 
 
@@ -131,7 +136,8 @@ def lemmatised_tokens(df: DataFrame, lexicon: DataFrame | None = None, text: str
 
 
 def corpus_lemmas(df: DataFrame, tokens: str = "filtered") -> DataFrame:
-    return lemma_table(vocabulary(df, tokens), corpus_lexicon(df, tokens), complete=True)
+    vocab = storage.stored(vocabulary(df, tokens), "vocabulary")
+    return storage.stored(lemma_table(vocab, own_lexicon(vocab), complete=True), "lemmas")
 
 
 def lemmas_of(df: DataFrame, lexicon: DataFrame, tokens: str = "filtered") -> DataFrame:

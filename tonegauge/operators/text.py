@@ -6,11 +6,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tonegauge.functions import text as words
+from tonegauge.sources import storage
 
 # Copies of a small token table in a join with token occurrences. A token that fills a third of the
 # occurrences is spread over this many tasks.
 SALTS = 16
 
+# A token with more than this part of all occurrences is frequent; there are fewer such tokens than this number.
+FREQUENT = 10_000
+
 
 def tokenise(df: DataFrame, column: str = "Text", out: str = "words", unicode: bool = False) -> DataFrame:
     return df.withColumn(out, words.word_tokens(F.col(column), unicode=unicode))
@@ -57,24 +61,45 @@ def salted_lookup(rows: DataFrame, small: DataFrame, on: str, salt_by: str, how:
     return salted.join(copies, [on, "_salt"], how).drop("_salt")
 
 
+def counted_lookup(rows: DataFrame, small: DataFrame, on: str, count: str, frequent: int = FREQUENT) -> DataFrame:
+    """Inner join with a table that has one row per ``on`` and the number of its rows in ``rows``, so both should be stored.
+
+    Values with more than 1/``frequent`` of all rows are fewer than ``frequent``, whatever the table's size: they go to
+    every task and their rows stay where they are. The other rows are shuffled, and none of their values fills a task.
+    """
+    totalled = small.withColumn("_total", small.agg(F.sum(count)).scalar())
+    heavy = F.col(count) * frequent > F.col("_total")
+    many = F.broadcast(totalled.filter(heavy).drop("_total"))
+    few = totalled.filter(~heavy).drop("_total")
+    rest = rows.join(F.broadcast(many.select(on)), on, "left_anti")
+    return rows.join(many, on).unionByName(rest.join(few, on))
+
+
 def document_frequency(counts: DataFrame) -> DataFrame:
     """Rows per token."""
     return counts.groupBy("token").agg(F.count(F.lit(1)).alias("df"))
 
 
+def _weighted(seen: DataFrame, df: DataFrame, minimum: int) -> DataFrame:
+    documents = df.agg(F.count(F.lit(1)).cast("double")).scalar()
+    weight = F.log((documents + 1) / (F.col("df") + 1))
+    return seen.select("token", "df", F.when(F.col("df") >= minimum, weight).otherwise(F.lit(0.0)).alias("idf"))
+
+
 def idf(df: DataFrame, tokens: str, key: str = "Id", minimum: int = 3) -> DataFrame:
     """Inverse document frequency ``ln((m + 1) / (df + 1))`` per token, 0 below ``minimum`` documents."""
-    documents = df.agg(F.count(F.lit(1)).cast("double")).scalar()
     each = df.select(F.explode(F.array_distinct(F.col(tokens))).alias("token"))
-    seen = document_frequency(each).withColumn("_m", documents)
-    weight = F.log((F.col("_m") + 1) / (F.col("df") + 1))
-    return seen.select("token", "df", F.when(F.col("df") >= minimum, weight).otherwise(F.lit(0.0)).alias("idf"))
+    return _weighted(document_frequency(each), df, minimum)
 
 
 def tf_idf(df: DataFrame, tokens: str, key: str = "Id", minimum: int = 3) -> DataFrame:
-    """key, token, tf, tfidf for every distinct token of every row."""
-    weights = idf(df, tokens, key, minimum).select("token", "idf")
-    joined = salted_lookup(occurrences(df, tokens, key), weights, "token", key)
+    """key, token, tf, tfidf for every distinct token of every row.
+
+    The tokens are worked out once and written as occurrences; document frequencies and weights both read them.
+    """
+    counted = storage.stored(occurrences(df, tokens, key), "occurrences")
+    weights = storage.stored(_weighted(document_frequency(counted), df, minimum), "frequencies")
+    joined = counted_lookup(counted, weights, "token", "df")
     return joined.select(key, "token", "tf", (F.col("tf") * F.col("idf")).alias("tfidf"))
 
 
