@@ -11,7 +11,7 @@ from tonegauge.plans import cleaning, views_sql as v
 from tonegauge.plans import dashboard as dashboard_plans
 from tonegauge.plans import models as model_plans
 from tonegauge.sources import reviews, storage, views
-from tonegauge.streaming import commits, live, replay, scoring, waiting
+from tonegauge.streaming import commits, insights, live, replay, scoring, waiting
 
 ALL_NOW = {"availableNow": True}
 
@@ -199,6 +199,44 @@ def a13_latest_insight(spark, folder):
     )
 
 
+def _insight_stream(spark, folder):
+    """Documents of the evaluation of each score, a broken one among them, taken in by a query that is started twice."""
+    pred, base = views.predictions(spark, folder), storage.shared_dir(spark, "insight-files")
+
+    def write(scores):
+        for score in scores:
+            meta = {"model_name": f"model {score}", "dataset": "predictions", "notes": "{rows} rows"}
+            doc = metrics.insight(pred.filter(F.col("Score") == score), meta, datetime(2024, 1, 7 - score))
+            doc.coalesce(1).write.json(f"{base}/files/score{score}")
+
+    def take_in():
+        texts = insights.documents(spark, f"{base}/files", per_trigger=2)
+        insights.take_in(texts, f"{base}/table", f"{base}/checkpoint", "scores").awaitTermination()
+
+    write((1, 3))
+    broken = pred.agg(F.concat(F.lit("{"), F.count("*"), F.lit(" rows")).alias("value"))
+    broken.coalesce(1).write.text(f"{base}/files/broken")
+    take_in()
+    write((5,))
+    take_in()
+    return insights.history(spark, f"{base}/table")
+
+
+def s16_insight_stream(spark, folder):
+    expected = spark.createDataFrame([(n,) for n in ("score1", "score3", "score5", "broken", "none")], "document string")
+    rows = insights.with_missing(_insight_stream(spark, folder), expected, "2024-02-01T00:00:00Z")
+    return rows.select(
+        "document", "status", F.when(F.col("status") == "ok", F.col("evaluated_at")).alias("evaluated_at"),
+        F.col("metadata.notes").alias("notes"), F.col("metrics.accuracy").alias("accuracy"),
+        F.element_at(F.split(F.get("errors", F.lit(0)), ":"), 1).alias("error"),
+    )
+
+
+def a13_latest_of_stream(spark, folder):
+    newest = insights.latest(_insight_stream(spark, folder))
+    return newest.select("document", "evaluated_at", "status", F.col("metrics.accuracy").alias("accuracy"))
+
+
 def s12_saved_model(spark, folder):
     """Documents scored by a model and by the same model saved and loaded: rows, and rows on which both agree."""
     docs = model_plans._labelled_docs(spark, folder)
@@ -269,6 +307,15 @@ SQL = {
           CAST(NULL AS VARCHAR) AS error FROM predictions WHERE Score IN (1, 3, 5) GROUP BY Score
         UNION ALL SELECT '2023-01-01T00:00:00', 'missing', NULL, NULL, NULL, 'invalid_json'
         UNION ALL SELECT '2023-01-02T00:00:00', 'missing', NULL, NULL, NULL, 'missing_file'""",
+    "s16_insight_stream": f"""WITH {v.PREDICTIONS}
+        SELECT concat('score', Score) AS document, 'ok' AS status, concat('2024-01-0', 7 - Score, 'T00:00:00Z') AS evaluated_at,
+          concat(count(*), ' rows') AS notes, round(count(*) FILTER (label = prediction) / count(*), 4) AS accuracy,
+          CAST(NULL AS VARCHAR) AS error FROM predictions WHERE Score IN (1, 3, 5) GROUP BY Score
+        UNION ALL SELECT 'broken', 'missing', NULL, NULL, NULL, 'invalid_json'
+        UNION ALL SELECT 'none', 'missing', NULL, NULL, NULL, 'missing_file'""",
+    "a13_latest_of_stream": f"""WITH {v.PREDICTIONS} SELECT 'score1' AS document, '2024-01-06T00:00:00Z' AS evaluated_at,
+        'ok' AS status, round(count(*) FILTER (label = prediction) / count(*), 4) AS accuracy
+        FROM predictions WHERE Score = 1""",
     "a13_latest_insight": f"""WITH {v.PREDICTIONS}, p AS (SELECT * FROM predictions WHERE Score = 5)
         SELECT '2024-01-05T00:00:00Z' AS evaluated_at, 'ok' AS status, 'model 5' AS model_name,
           round(count(*) FILTER (label = prediction) / count(*), 4) AS accuracy,

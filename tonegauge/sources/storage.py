@@ -5,7 +5,7 @@ import uuid
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tonegauge import schemas
@@ -112,9 +112,14 @@ def ingest_insight(spark: SparkSession, path: str, now: datetime) -> DataFrame:
         found = spark.createDataFrame([], "value string")
     # a global aggregate gives one row also when the file is missing
     text = found.agg(F.max("value").alias("value"))
+    return parsed_insights(text, F.lit(path), F.lit(now.isoformat()))
+
+
+def parsed_insights(texts: DataFrame, path: Column, otherwise: Column) -> DataFrame:
+    """One insight row for each text in ``value``; ``otherwise`` is the time of documents that name none. Null is no document."""
     schema = f"{schemas.INSIGHT}, _bad string"
-    parsed = text.select(
-        "value",
+    parsed = texts.select(
+        "value", path.alias("_path"), otherwise.alias("_otherwise"),
         F.from_json("value", schema, {"columnNameOfCorruptRecord": "_bad"}).alias("d"),
     )
     missing = F.col("value").isNull()
@@ -132,11 +137,11 @@ def ingest_insight(spark: SparkSession, path: str, now: datetime) -> DataFrame:
         broken, F.array(F.lit("invalid_json: not a JSON object"))
     ).otherwise(F.array().cast("array<string>"))
     return parsed.select(
-        F.coalesce(kept("evaluated_at"), F.lit(now.isoformat())).alias("evaluated_at"),
+        F.coalesce(kept("evaluated_at"), F.col("_otherwise")).alias("evaluated_at"),
         F.when(usable, F.lit("ok")).otherwise(F.lit("missing")).alias("status"),
         kept("metrics").alias("metrics"),
         kept("confusion_matrix").alias("confusion_matrix"),
         F.coalesce(kept("metadata"), lifted).alias("metadata"),
-        F.create_map(F.lit("path"), F.lit(path)).alias("source"),
+        F.create_map(F.lit("path"), F.col("_path")).alias("source"),
         errors.alias("errors"),
     )
