@@ -114,3 +114,14 @@ def test_null_vector_has_the_bias_only(spark, rows):
     table = model_tables.linear_table(spark, models.train_nb(rows))
     bias = table.filter("feature = -1").first()["weights"]
     assert by_table(model_tables.margins(model_tables.entries(gone), table))["5"] == pytest.approx(bias)
+
+
+def test_clusters(spark, rows):
+    model, placed, quality = models.cluster(rows, k=3)
+    each = model_tables.entries(rows)
+    found = model_tables.decided(model_tables.margins(each, model_tables.cluster_table(spark, model)))
+    assert by_table(found, "prediction") == {r["Id"]: r["cluster"] for r in placed.collect()}
+    squares = each.filter("feature >= 0").groupBy("Id").agg(F.sum(F.col("value") * F.col("value")).alias("xx"))
+    distance = F.coalesce("xx", F.lit(0.0)) - 2 * F.array_max("margins")
+    cost = found.join(squares, "Id", "left").agg(F.sum(distance)).first()[0]
+    assert cost == pytest.approx(quality.first()["cost"], rel=1e-9)

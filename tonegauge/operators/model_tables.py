@@ -63,6 +63,18 @@ def linear_table(spark: SparkSession, model) -> DataFrame:
     return spark.createDataFrame(table, "feature int, weights array<double>")
 
 
+def cluster_table(spark: SparkSession, model) -> DataFrame:
+    """feature, weights of a k-means model: a place of all centres; the bias has minus half their squared lengths.
+
+    The margins are then largest for the nearest centre, and ``|x|^2 - 2 * margin`` is the squared distance to it.
+    """
+    centres = np.array(model.clusterCenters())
+    used = np.flatnonzero(centres.any(axis=0))
+    weights = [(-0.5 * (centres ** 2).sum(axis=1)).tolist(), *centres[:, used].T.tolist()]
+    table = pd.DataFrame({"feature": np.concatenate([[BIAS], used]).astype("int32"), "weights": weights})
+    return spark.createDataFrame(table, "feature int, weights array<double>")
+
+
 def naive_bayes_table(
     rows: DataFrame, classes: int = 3, label: str = "label", smoothing: float = 1.0, features: int | None = None,
     bias: int | str = BIAS,

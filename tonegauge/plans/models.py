@@ -124,6 +124,17 @@ def t6_hash_tf(spark, folder):
     return model.transform(views.doc_texts(spark, folder)).select("Id", "features")
 
 
+def t10_tf_only(spark, folder):
+    """Features without document frequencies, from a saved model that has them: tokens and bigrams counted per row."""
+    docs = views.doc_texts(spark, folder)
+    path = storage.shared_dir(spark, "tf-only")
+    features.fit_features(docs, SETTINGS).save(spark, path)
+    counted = features.FeatureModel.load(spark, path, with_weights=False).transform(docs)
+    each = model_tables.entries(counted).filter(F.col("feature") != model_tables.BIAS)
+    sums = each.groupBy("Id").agg(F.sum("value").cast("bigint").alias("n"))
+    return docs.select("Id").join(sums, "Id", "left").select("Id", F.coalesce("n", F.lit(0)).alias("n"))
+
+
 def t8_fit_features(spark, folder):
     train, rest = _featured(spark, folder)
     return train.unionByName(rest).select("Id", "split", "label", "features")
@@ -247,6 +258,28 @@ def m13_cluster(spark, folder):
     return models.cluster(views.vectors(spark, folder))[2]
 
 
+def m13_text_clusters(spark, folder):
+    """K-means on the TF-IDF features: rows, rows that are with their nearest centre, and whether the cost is theirs."""
+    train, _ = _featured(spark, folder)
+    model, placed, quality = models.cluster(train)
+    each = model_tables.entries(train)
+    found = model_tables.margins(each, model_tables.cluster_table(spark, model))
+    squares = each.filter(F.col("feature") != model_tables.BIAS).groupBy("Id").agg(F.sum(F.col("value") * F.col("value")).alias("_xx"))
+    sized = placed.select("Id", "cluster").join(found, "Id").join(squares, "Id", "left")
+    best, own = F.array_max("margins"), F.get("margins", F.col("cluster"))
+    distance = F.coalesce("_xx", F.lit(0.0)) - 2 * best
+    totals = sized.agg(
+        F.count(F.lit(1)).alias("rows"), F.count_if(own >= best - 1e-6).alias("nearest"), F.sum(distance).alias("_cost"))
+    cost = quality.select("cost").scalar()
+    return totals.select("rows", "nearest", (F.abs(F.col("_cost") - cost) < 1e-6 * cost).alias("same_cost"))
+
+
+def m14_text_cluster_classifier(spark, folder):
+    train, _ = _featured(spark, folder)
+    _, placed, _ = models.cluster(train)
+    return models.cluster_classifier(placed.select("Id", "features", "cluster"))[1]
+
+
 def m14_cluster_classifier(spark, folder):
     _, placed, _ = models.cluster(views.vectors(spark, folder))
     return models.cluster_classifier(placed)[1]
@@ -375,6 +408,10 @@ SQL = {
         round(CAST(sum(weight) / (SELECT sum(weight) FROM doc_split WHERE split = 'train') AS DOUBLE), 3) AS share
         FROM doc_split WHERE split = 'train' GROUP BY label)
         SELECT *, share AS predicted, true AS flat FROM shares""",
+    "m13_text_clusters": f"""WITH {_DOC_SPLIT} SELECT count(*) AS rows, count(*) AS nearest, true AS same_cost
+        FROM doc_split WHERE split = 'train'""",
+    "t10_tf_only": f"""WITH {text_plans.TOKENS} SELECT Id, CAST(len(filtered) + greatest(len(filtered) - 1, 0) AS BIGINT) AS n
+        FROM filtered""",
     "m16_lr_certificate": """WITH shares AS (SELECT CAST(label AS INT) AS class, count(*) AS rows,
         round(count(*) / (SELECT count(*) FROM embeddings), 3) AS share FROM embeddings GROUP BY label)
         SELECT *, share AS predicted, true AS flat FROM shares""",
