@@ -92,12 +92,12 @@ def naive_bayes_table(
         F.sum(F.when(is_bias, sum((F.col(f"_{c}") for c in range(classes)), F.lit(0.0)))).alias("_rows"),
         *[F.sum(F.when(~is_bias, F.col(f"_{c}")).otherwise(0.0)).alias(f"_total{c}") for c in range(classes)],
     )
-    size = F.col("_features") if features is None else F.lit(float(features))
-    joined = counts.crossJoin(F.broadcast(totals))  # one row
+    size = F.col("_t._features") if features is None else F.lit(float(features))
+    joined = counts.withColumn("_t", totals.select(F.struct("*")).scalar())
 
     def weight(c: int) -> Column:
-        prior = F.log(F.col(f"_{c}") + smoothing) - F.log(F.col("_rows") + classes * smoothing)
-        likelihood = F.log(F.col(f"_{c}") + smoothing) - F.log(F.col(f"_total{c}") + size * smoothing)
+        prior = F.log(F.col(f"_{c}") + smoothing) - F.log(F.col("_t._rows") + classes * smoothing)
+        likelihood = F.log(F.col(f"_{c}") + smoothing) - F.log(F.col(f"_t._total{c}") + size * smoothing)
         return F.when(is_bias, prior).otherwise(likelihood)
 
     return joined.select("feature", F.array(*[weight(c) for c in range(classes)]).alias("weights"))
@@ -158,25 +158,25 @@ def lr_certificate(
         *[F.sum(F.when(F.col("_label") == c, F.col("_w")).otherwise(0.0)).alias(f"_y{c}") for c in range(classes)],
         *[F.sum(F.col("_w") * F.get("probability", F.lit(c))).alias(f"_p{c}") for c in range(classes)],
     )
-    variance = (F.col("_xx") - F.col("_x") * F.col("_x") / F.col("_total")) / (
-        F.col("_total") - F.col("_squares") / F.col("_total"))
+    total = F.col("_t._total")
+    variance = (F.col("_xx") - F.col("_x") * F.col("_x") / total) / (total - F.col("_t._squares") / total)
     spread = (
-        per_feature.filter(F.col("feature") != BIAS).join(table, "feature", "left").crossJoin(F.broadcast(totals))
-        .withColumn("_sd", F.sqrt(variance)).filter(F.col("_sd") > 0)
+        per_feature.filter(F.col("feature") != BIAS).join(table, "feature", "left")
+        .withColumn("_t", totals.select(F.struct("*")).scalar()).withColumn("_sd", F.sqrt(variance)).filter(F.col("_sd") > 0)
     )
 
     def derivative(c: int) -> Column:
         beta = F.coalesce(F.get("weights", F.lit(c)), F.lit(0.0))
-        return F.abs(F.col(f"_g{c}") / F.col("_total") / F.col("_sd") + reg * beta * F.col("_sd"))
+        return F.abs(F.col(f"_g{c}") / total / F.col("_sd") + reg * beta * F.col("_sd"))
 
     steep = spread.agg(*[F.max(derivative(c)).alias(f"_d{c}") for c in range(classes)])
     per_class = F.array(*[
         F.struct(
             F.lit(c).alias("class"), F.col(f"_n{c}").alias("rows"), (F.col(f"_y{c}") / F.col("_total")).alias("share"),
-            (F.col(f"_p{c}") / F.col("_total")).alias("predicted"), F.col(f"_d{c}").alias("gradient"),
+            (F.col(f"_p{c}") / F.col("_total")).alias("predicted"), F.col(f"_s._d{c}").alias("gradient"),
         ) for c in range(classes)
     ])
-    return totals.crossJoin(steep).select(F.inline(per_class))  # one row each
+    return totals.withColumn("_s", steep.select(F.struct("*")).scalar()).select(F.inline(per_class))
 
 
 #: Nodes up to which a forest's table goes to every task (some 200 bytes each); a larger one is joined by shuffles.
