@@ -290,6 +290,17 @@ def m15_training_history(spark, folder):
     return models.training_history(spark, models.train_lr(train))
 
 
+def m15_history_falls(spark, folder):
+    """Size of the model, and whether its objective never rises from one iteration to the next."""
+    train, _ = _featured(spark, folder)
+    history = models.training_history(spark, models.train_lr(train))
+    values = F.transform(F.array_sort(F.collect_list(F.struct("iteration", "objective"))), lambda e: e["objective"])
+    listed = history.groupBy("classes", "features").agg(values.alias("v"))
+    n = F.size("v")
+    steps = F.zip_with(F.slice("v", F.lit(1), n - 1), F.slice("v", F.lit(2), n - 1), lambda a, b: b <= a)
+    return listed.select("classes", "features", ((n > 1) & F.forall(steps, lambda s: s)).alias("falls"))
+
+
 def m16_score(spark, folder):
     rows = views.vectors(spark, folder)
     model = models.train_lr(rows)
@@ -410,6 +421,7 @@ SQL = {
         SELECT *, share AS predicted, true AS flat FROM shares""",
     "m13_text_clusters": f"""WITH {_DOC_SPLIT} SELECT count(*) AS rows, count(*) AS nearest, true AS same_cost
         FROM doc_split WHERE split = 'train'""",
+    "m15_history_falls": f"SELECT 3 AS classes, {SETTINGS.num_features} AS features, true AS falls",
     "t10_tf_only": f"""WITH {text_plans.TOKENS} SELECT Id, CAST(len(filtered) + greatest(len(filtered) - 1, 0) AS BIGINT) AS n
         FROM filtered""",
     "m16_lr_certificate": """WITH shares AS (SELECT CAST(label AS INT) AS class, count(*) AS rows,

@@ -107,20 +107,39 @@ def s15_history(spark, folder):
     return spark.read.parquet(path)
 
 
-def r1_scored_stream(spark, folder):
-    """Documents as messages, scored by a model fitted on the labelled ones."""
-    docs = model_plans._labelled_docs(spark, folder)
-    fitted = features.fit_features(docs)
-    model = SentimentModel(fitted, models.train_lr(storage.stored(fitted.transform(docs), "features")))
-    stream = views.table_stream(spark, folder, "documents").select(
+def _document_messages(documents):
+    return documents.select(
         F.to_json(F.struct(
             F.col("doc_id").cast("string").alias("Id"), F.col("source").alias("ProductId"),
             F.col("text").alias("Text"), F.lit("1325376000").alias("Time"),
         )).alias("value")
     )
+
+
+def _scored_stream(spark, folder):
+    """A model fitted on the labelled documents, and the predictions it has made of all of them as a stream of messages."""
+    docs = model_plans._labelled_docs(spark, folder)
+    fitted = features.fit_features(docs)
+    model = SentimentModel(fitted, models.train_lr(storage.stored(fitted.transform(docs), "features")))
+    stream = _document_messages(views.table_stream(spark, folder, "documents"))
     path = storage.shared_dir(spark, "predictions")
     scoring.start_scoring(stream, model, path, storage.shared_dir(spark, "scoring"), trigger=ALL_NOW).awaitTermination()
-    return scoring.read_predictions(spark, path).select("Id", "prediction", "PredictedSentiment", "ProcessingTime")
+    return model, scoring.read_predictions(spark, path)
+
+
+def r1_scored_stream(spark, folder):
+    """Documents as messages, scored by a model fitted on the labelled ones."""
+    return _scored_stream(spark, folder)[1].select("Id", "prediction", "PredictedSentiment", "ProcessingTime")
+
+
+def r1_stream_equals_batch(spark, folder):
+    """Rows scored by the stream or by a batch job, and rows on which both agree."""
+    model, streamed = _scored_stream(spark, folder)
+    batch = model.predictions(reviews.decode(_document_messages(views.table(spark, folder, "documents"))))
+    both = streamed.select("Id", "prediction", "max_prob").join(
+        batch.select("Id", F.col("prediction").alias("prediction2"), F.col("max_prob").alias("prob2")), "Id", "full")
+    same = (F.col("prediction") == F.col("prediction2")) & (F.abs(F.col("max_prob") - F.col("prob2")) < 1e-9)
+    return both.agg(F.count(F.lit(1)).alias("rows"), F.count_if(same).alias("same"))
 
 
 def r4_live_monthly(spark, folder):
@@ -297,6 +316,7 @@ SQL = {
           count(*) FILTER (prediction = 1) AS neutral, count(*) FILTER (prediction = 0) AS negative
         FROM predictions JOIN r ON Score < 3 + 3 * run GROUP BY run""",
     "r6_paced_replay": _MESSAGES,
+    "r1_stream_equals_batch": "SELECT count(*) AS rows, count(*) AS same FROM documents WHERE text <> ''",
     "s12_saved_model": "SELECT count(*) AS scored, count(*) AS same FROM documents",
     "s13_sidecar": f"""WITH {v.PREDICTIONS}, c AS (SELECT {v.counts('PredictedSentiment')} FROM predictions)
         SELECT 'predictions' AS dataset, name, CAST(count AS BIGINT) AS count
