@@ -349,3 +349,20 @@ def test_old_table_versions_go(spark, tmp_path):
         storage.replace_table(spark.range(k), path, datetime(2024, 1, 1) + timedelta(seconds=k))
     assert len(list((tmp_path / "table" / "data").glob("v=*"))) == storage.KEPT
     assert storage.read_table(spark, path).count() == storage.KEPT + 2
+
+
+def test_texts_with_one_digest_stay_apart(spark, monkeypatch):
+    rows = [("3", "a", 1), ("1", "b", 2), ("2", "a", 3), ("4", None, 4), ("5", None, 5), ("6", "", 6), ("7", "b", 7)]
+    df = spark.createDataFrame(rows, "Id string, Text string, n int")
+    want = {("2", "a", 3), ("1", "b", 2), ("4", None, 4), ("6", "", 6)}
+    assert {tuple(r) for r in cleaning.dedupe_text(df).collect()} == want
+    monkeypatch.setattr(cleaning, "text_digest", lambda text: F.lit(0).cast("bigint"))
+    assert {tuple(r) for r in cleaning.dedupe_text(df).collect()} == want
+
+
+def test_texts_are_ordered_by_digest_first(spark):
+    df = spark.createDataFrame([("1", "a")], "Id string, Text string")
+    plan = cleaning.dedupe_text(df)._jdf.queryExecution().executedPlan().toString()
+    sorts = [line for line in plan.splitlines() if "Sort [" in line]
+    assert sorts and all("Sort [_digest" in line or "Sort [_groupingexpression" in line for line in sorts), plan
+    assert plan.count("Exchange") == 1

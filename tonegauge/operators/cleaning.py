@@ -2,7 +2,7 @@
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tonegauge.functions import clock, labels
@@ -14,14 +14,20 @@ def drop_empty_text(df: DataFrame, keep_blank: bool = False) -> DataFrame:
     return df.filter(present if keep_blank else present & (F.col("Text") != ""))
 
 
+def text_digest(text: Column) -> Column:
+    """A number that equal texts share."""
+    return F.xxhash64(text)
+
+
 def dedupe_text(df: DataFrame, key: str = "Id") -> DataFrame:
     """One row per exact Text, the one with the smallest key.
 
     The smallest whole row is a plain aggregate, so copies collapse inside each task before the shuffle and a
-    text that fills a third of the table costs one row per task.
+    text that fills a third of the table costs one row per task. Rows are ordered by a digest of the text: texts are
+    compared only where digests are equal, and different texts with one digest stay apart.
     """
     rest = [c for c in df.columns if c not in (key, "Text")]
-    kept = df.groupBy("Text").agg(F.min(F.struct(key, *rest)).alias("_row"))
+    kept = df.groupBy(text_digest(F.col("Text")).alias("_digest"), "Text").agg(F.min(F.struct(key, *rest)).alias("_row"))
     return kept.select(*[F.col("Text") if c == "Text" else F.col(f"_row.{c}").alias(c) for c in df.columns])
 
 
@@ -47,7 +53,7 @@ def clean_audit(df: DataFrame) -> DataFrame:
     """
     votes, helpful = F.col("HelpfulnessDenominator"), F.col("HelpfulnessNumerator")
     valid = F.coalesce((votes == 0) | (helpful <= votes), F.lit(False))
-    per_text = df.groupBy("Text").agg(
+    per_text = df.groupBy(text_digest(F.col("Text")).alias("_digest"), "Text").agg(
         F.count(F.lit(1)).alias("rows"),
         F.min(F.struct(F.col("Id"), valid.alias("valid"))).alias("first"),
     )

@@ -140,6 +140,20 @@ def t8_fit_features(spark, folder):
     return train.unionByName(rest).select("Id", "split", "label", "features")
 
 
+def _shown(rows, *keep):
+    """Non-zero entries of the features, one a row."""
+    each = model_tables.entries(rows, keep=keep).filter(F.col("feature") != model_tables.BIAS)
+    return each.select("Id", *keep, F.col("feature").cast("int").alias("feature"), F.round("value", 6).alias("value"))
+
+
+def t6_hashed_counts(spark, folder):
+    return _shown(t6_hash_tf(spark, folder))
+
+
+def t8_feature_entries(spark, folder):
+    return _shown(t8_fit_features(spark, folder), "split")
+
+
 def t9_nonzero_features(spark, folder):
     train, _ = _featured(spark, folder)
     return features.nonzero_summary(train)
@@ -414,7 +428,36 @@ _HELD_OUT_ROWS = f"""WITH {_DOC_SPLIT} SELECT label, count(*) AS rows, count(*)
   WHERE split <> 'train' GROUP BY label"""
 
 
+_HASHED_COUNTS = f"""WITH RECURSIVE {text_plans.TOKENS}, {text_plans.VOCABULARY}, {text_plans.lemma_rounds('vocab', 'vocab')},
+  {text_plans.lemmatised('filtered')}, {text_plans.hashed('grams', SETTINGS.num_features)}
+  SELECT Id, feature, CAST(count(*) AS DOUBLE) AS value FROM grams JOIN places USING (token) GROUP BY ALL"""
+_FEATURES = f"""WITH RECURSIVE {_DOC_SPLIT},
+  fused AS (SELECT Id, split, concat_ws(' ', {', '.join(["coalesce(Summary, '')"] * SETTINGS.summary_times)}, Text) AS text FROM doc_split),
+  {text_plans.tokens_of('fused', 'Id, split')},
+  vocab AS (SELECT DISTINCT unnest(filtered) AS token FROM filtered),
+  known AS (SELECT DISTINCT unnest(filtered) AS token FROM filtered WHERE split = 'train'),
+  {text_plans.lemma_rounds('vocab', 'known')}, {text_plans.lemmatised('filtered')},
+  {text_plans.hashed('grams', SETTINGS.num_features)},
+  tf AS (SELECT Id, split, feature, count(*) AS tf FROM grams JOIN places USING (token) JOIN doc_split USING (Id) GROUP BY ALL),
+  idf AS (SELECT feature, ln(((SELECT count(*) FROM doc_split WHERE split = 'train') + 1.0) / (count(*) + 1)) AS idf
+    FROM tf WHERE split = 'train' GROUP BY feature HAVING count(*) >= {SETTINGS.min_doc_freq}),
+  entries AS (SELECT Id, split, feature, tf * idf AS value FROM tf JOIN idf USING (feature) WHERE idf <> 0)"""
+_BAYES = f"""{_FEATURES},
+  sums AS (SELECT label, feature, sum(value) AS s FROM entries JOIN doc_split USING (Id, split) WHERE split = 'train' GROUP BY ALL),
+  totals AS (SELECT label, count(*) AS rows, any_value(t) AS t FROM doc_split
+    JOIN (SELECT label, sum(s) AS t FROM sums GROUP BY label) USING (label) WHERE split = 'train' GROUP BY label),
+  margins AS (SELECT d.Id, d.label, c.label AS class, ln(c.rows + 1.0) + coalesce(sum(e.value * (
+      ln(coalesce(s.s, 0) + 1.0) - ln(c.t + {SETTINGS.num_features}))), 0) AS margin
+    FROM doc_split d JOIN totals c ON true LEFT JOIN entries e ON e.Id = d.Id
+    LEFT JOIN sums s ON s.feature = e.feature AND s.label = c.label
+    WHERE d.split <> 'train' GROUP BY d.Id, d.label, c.label, c.rows),
+  bayes AS (SELECT Id, label, CAST(arg_max(class, margin) AS DOUBLE) AS prediction FROM margins GROUP BY Id, label)"""
+
+
 SQL = {
+    "t6_hashed_counts": _HASHED_COUNTS,
+    "t8_feature_entries": f"{_FEATURES} SELECT Id, split, feature, round(value, 6) AS value FROM entries",
+    "m3_naive_bayes": f"{_BAYES} SELECT * FROM bayes",
     "m1_lr_certificate": f"""WITH {_DOC_SPLIT}, shares AS (SELECT label AS class, count(*) AS rows,
         round(CAST(sum(weight) / (SELECT sum(weight) FROM doc_split WHERE split = 'train') AS DOUBLE), 3) AS share
         FROM doc_split WHERE split = 'train' GROUP BY label)

@@ -101,9 +101,16 @@ STOP_WORDS = (
     "some such no nor not only own same so than too very s t can will just don should now cannot could ought would"
 ).split()
 _KEPT = _quoted(w for w in STOP_WORDS if w not in words.NEGATIONS)
-TOKENS = rf"""tokens AS (SELECT CAST(doc_id AS VARCHAR) AS Id, text,
-  [x FOR x IN regexp_extract_all(lower(text), '[0-9A-Za-z_]+') IF length(x) >= 2] AS words FROM documents),
+
+
+def tokens_of(rows, columns):
+    """SQL: tables ``tokens`` and ``filtered`` of a table with a text."""
+    return rf"""tokens AS (SELECT {columns}, text,
+  [x FOR x IN regexp_extract_all(lower(text), '[0-9A-Za-z_]+') IF length(x) >= 2] AS words FROM {rows}),
 filtered AS (SELECT *, [x FOR x IN words IF x NOT IN ({_KEPT})] AS filtered FROM tokens)"""
+
+
+TOKENS = tokens_of("documents", "CAST(doc_id AS VARCHAR) AS Id")
 _PAIRS = """[filtered[i] || ' ' || filtered[i + 1] FOR i IN range(1, len(filtered))]"""
 _OCCURRENCES = """occ AS (SELECT Id, token, count(*) AS tf FROM (SELECT Id, unnest(filtered) AS token FROM filtered)
   GROUP BY ALL),
@@ -116,7 +123,8 @@ def _rule_rows():
 
 
 # every token of the corpus is a base form, so one round of rules decides
-_LEMMAS = f"""vocab AS (SELECT DISTINCT unnest(filtered) AS token FROM filtered),
+VOCABULARY = "vocab AS (SELECT DISTINCT unnest(filtered) AS token FROM filtered)"
+_LEMMAS = f"""{VOCABULARY},
 rules(pos, old, new) AS (VALUES {_rule_rows()}),
 tries AS (
   SELECT v.token, pos, substr(v.token, 1, length(v.token) - length(old)) || new AS form
@@ -129,6 +137,66 @@ lemmas AS (
   FROM best GROUP BY token)"""
 
 
+def lemma_rounds(vocab, lexicon):
+    """SQL: table ``lemmas`` for the tokens of ``vocab``; ``lexicon`` has the known forms (both with a column token).
+
+    The lexicon need not know every token: rules go on with their own results, and the earliest round that knows one decides.
+    """
+    rules = ", ".join(
+        f"('{pos}', {i}, '{old}', '{new}')" for pos, listed in lemma.RULES.items() for i, (old, new) in enumerate(listed, 1))
+    return f"""rules(pos, place, old, new) AS (VALUES {rules}),
+tries AS (
+  SELECT token, pos, token AS form, 0 AS round, [0] AS path FROM {vocab}, (VALUES ('v'), ('n')) AS p(pos)
+  UNION ALL
+  SELECT token, t.pos, substr(form, 1, length(form) - length(old)) || new, round + 1,
+    CASE WHEN round = 0 THEN [place] ELSE list_concat(path, [place]) END
+  FROM tries t JOIN rules r ON r.pos = t.pos AND ends_with(form, old) AND length(form) > length(old)),
+best AS (
+  SELECT t.token, pos, min_by(form, (greatest(round, 1), length(form), path)) AS form
+  FROM tries t JOIN {lexicon} k ON k.token = t.form GROUP BY 1, 2),
+lemmas AS (
+  SELECT token, coalesce(max(form) FILTER (pos = 'v' AND form <> token), max(form) FILTER (pos = 'n' AND form <> token)) AS lemma
+  FROM best GROUP BY token)"""
+
+
+def hashed(tokens, buckets):
+    """SQL: table ``places`` (token, feature), the bucket of every token by the 32-bit Murmur3 hash with seed 42.
+
+    Tokens are plain ASCII, so a character is a byte.
+    """
+    m = "4294967296::UBIGINT"
+    word = " + ".join(f"b[4 * i + {j + 1}] * {256 ** j}" for j in range(4))
+    rest = " + ".join(f"coalesce(b[4 * (n // 4) + {j + 1}], 0) * {256 ** j}" for j in range(3))
+
+    def times(x, factor):
+        return f"(({x}) * {factor}::UBIGINT) % {m}"
+
+    def turned(x, left):
+        return f"(((({x}) << {left}) | (({x}) >> {32 - left})) % {m})"
+
+    def mixed(x):
+        return times(turned(times(x, 3432918353), 15), 461845907)
+
+    return f"""bytes AS (SELECT token, length(token) AS n, [unicode(token[i])::UBIGINT FOR i IN range(1, length(token) + 1)] AS b
+  FROM (SELECT DISTINCT token FROM {tokens})),
+blocks AS (SELECT token, n, [{mixed('x')} FOR x IN [{word} FOR i IN range(0, n // 4)]] AS ks, {mixed(f'({rest})::UBIGINT')} AS k FROM bytes),
+h0 AS (SELECT token, n, xor(list_reduce(ks, lambda h, x: ({turned('xor(h, x)', 13)} * 5 + 3864292196::UBIGINT) % {m}, 42::UBIGINT), k) AS h
+  FROM blocks),
+h1 AS (SELECT token, xor(h, n::UBIGINT) AS h FROM h0),
+h2 AS (SELECT token, {times('xor(h, h >> 16)', 2246822507)} AS h FROM h1),
+h3 AS (SELECT token, {times('xor(h, h >> 13)', 3266489909)} AS h FROM h2),
+h4 AS (SELECT token, xor(h, h >> 16)::BIGINT AS h FROM h3),
+places AS (SELECT token, CAST(((CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END) % {buckets} + {buckets}) % {buckets} AS INT)
+  AS feature FROM h4)"""
+
+
+def lemmatised(rows):
+    """SQL: table ``lemma_rows`` with the lemmas of the tokens in ``filtered`` of ``rows`` and ``grams`` with those and their pairs."""
+    return f"""each AS (SELECT Id, unnest(filtered) AS token, generate_subscripts(filtered, 1) AS pos FROM {rows}),
+lemma_rows AS (SELECT Id, list(coalesce(lemma, token) ORDER BY pos) AS filtered FROM each LEFT JOIN lemmas USING (token) GROUP BY Id),
+grams AS (SELECT Id, unnest(list_concat(filtered, {_PAIRS})) AS token FROM lemma_rows)"""
+
+
 def _report_words(text):
     return (
         f"[x FOR x IN regexp_extract_all(lower({text}), '[a-z]{{3,}}') "
