@@ -15,11 +15,14 @@ CODES = range(len(labels.SENTIMENTS))
 
 def pair_counts(pred: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Rows per label and prediction, pairs outside the known classes left out."""
-    label, guess = F.col("label").cast("int"), F.col("prediction").cast("int")
-    known = pred.select(*(by or []), label.alias("label"), guess.alias("prediction")).filter(
-        F.col("label").isin(*CODES) & F.col("prediction").isin(*CODES)
-    )
-    return known.groupBy(*(by or []), "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
+    def code(name: str) -> Column:
+        # a code outside the classes is null: at most sixteen pairs a group leave a task
+        return F.get(F.array(*[F.lit(c) for c in CODES]), F.col(name).cast("int")).alias(name)
+
+    coded = pred.select(*(by or []), code("label"), code("prediction"))
+    known = F.col("label").isNotNull() & F.col("prediction").isNotNull()
+    # pairs are left out after they are counted: a filter on rows would be pushed below the columns and work them out once more
+    return coded.groupBy(*(by or []), "label", "prediction").agg(F.count_if(known).alias("n")).filter(F.col("n") > 0)
 
 
 def _sum_if(condition: Column, value: str = "n") -> Column:
@@ -106,8 +109,10 @@ def confidence_histogram(pred: DataFrame, bins: int = 50) -> DataFrame:
 
 def _score_totals(pred: DataFrame, classes: Sequence[int], buckets: int) -> DataFrame:
     """Per class and distinct score: positives and negatives at it and above it, and of the class. One scan for all classes."""
-    scores = F.posexplode(probability_array(pred)).alias("class", "score")
-    rows = pred.select("label", scores).filter(F.col("class").isin(*classes) & F.col("score").isNotNull() & ~F.isnan("score"))
+    p = probability_array(pred)
+    # a new array: for a column Spark adds a filter on its size, which is pushed below the column and works it out once more
+    scores = F.inline(F.array(*[F.struct(F.lit(c).alias("class"), F.get(p, F.lit(c)).alias("score")) for c in classes]))
+    rows = pred.select("label", scores).filter(F.col("score").isNotNull() & ~F.isnan("score"))
     # values rise while scores fall
     counts = rows.groupBy("class", (-F.col("score")).alias("value")).agg(
         F.count_if(F.col("label") == F.col("class")).alias("pos"),

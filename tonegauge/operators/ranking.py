@@ -39,8 +39,10 @@ def running_totals(
 
 def value_counts(df: DataFrame, value: Column, by: Sequence[str] = ()) -> DataFrame:
     """Rows per distinct value and group, as ``value`` and ``n``; null and NaN are left out."""
-    present = df.select(*by, value.cast("double").alias("value")).filter(F.col("value").isNotNull() & ~F.isnan("value"))
-    return present.groupBy(*by, "value").agg(F.count(F.lit(1)).alias("n"))
+    values = df.select(*by, value.cast("double").alias("value"))
+    present = F.col("value").isNotNull() & ~F.isnan("value")
+    # they are left out after counting: a filter on rows would be pushed below the columns of ``df`` and work them out once more
+    return values.groupBy(*by, "value").agg(F.count_if(present).alias("n")).filter(F.col("n") > 0)
 
 
 def with_one_group(counts: DataFrame) -> DataFrame:
