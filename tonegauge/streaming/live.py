@@ -31,7 +31,8 @@ def start_monthly(
     The overall statistics and the trend follow from this table.
     """
     def replace(batch: DataFrame, batch_id: int) -> None:
-        storage.replace_table(batch.coalesce(1), path, datetime.now(timezone.utc))
+        # a shuffle of its few rows: coalesced, all partitions of the state would be updated by one task, one after the other
+        storage.replace_table(batch.repartition(1), path, datetime.now(timezone.utc))
 
     return _start(dashboard.monthly_sentiment(predictions), replace, "complete", checkpoint, trigger)
 
