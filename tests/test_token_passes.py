@@ -27,3 +27,12 @@ def test_nonzero_values_of_sparse_and_dense_vectors(spark):
     assert tuple(frame.first()) == (0, 1.0, 2)
     plan = frame._jdf.queryExecution().optimizedPlan().toString()
     assert "UDF" not in plan
+
+
+def test_token_counts_are_written_and_not_tokens(spark, monkeypatch):
+    written, real = [], features.storage.stored
+    monkeypatch.setattr(features.storage, "stored", lambda df, purpose: written.append(df.columns) or real(df, purpose))
+    rows = spark.createDataFrame([("1", "cats ran", "train"), ("2", "dogs", "test")], "Id string, Text string, split string")
+    _, wide = features.fit_and_transform(rows, features.FeatureSettings(num_features=64, min_doc_freq=1))
+    assert wide.columns == ["Id", "Text", "split", "features"] and wide.count() == 2
+    assert ["Id", "Text", "split", "raw_features"] in written and not any("tokens" in columns for columns in written)
