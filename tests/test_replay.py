@@ -4,6 +4,7 @@ import csv
 import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tonegauge import schemas
 from tonegauge.jobs import publish
@@ -63,3 +64,17 @@ def test_publishing_job(spark, tmp_path):
     sent = reviews.decode(spark.read.text(topic)).collect()
     assert sorted(r.Id for r in sent) == ["TEST_003", "TEST_003", "a0", "a1", "a3", "a4", "b0", "b1"]
     assert all(r.Time == "77" and r.Text.startswith("two\nlines") for r in sent)
+
+
+def test_a_batch_opens_the_files_of_its_own_numbers(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(replay, "FOLDER_ROWS", 10)
+    laid = replay._laid_out(rows(spark, 95).repartition(3), str(tmp_path / "c"), 0)
+    for first, last, folders in ((0, 9, 1), (5, 24, 3), (90, 99, 1), (94, 200, 1)):
+        batch = replay._between(laid, first, last)
+        plan = batch._jdf.queryExecution().executedPlan()
+        assert sorted(r.Id for r in batch.collect()) == sorted(f"r{k}" for k in range(first, min(last, 94) + 1))
+        assert batch.columns == ["Id"] and "PartitionFilters: [isnotnull(_folder" in plan.toString()
+        read = batch.select(F.input_file_name().alias("f")).distinct().collect()
+        assert len({r.f.split("_folder=")[1].split("/")[0] for r in read}) == folders
+    again = replay._laid_out(rows(spark, 95), str(tmp_path / "c"), 0)
+    assert again.inputFiles() and sorted(again.inputFiles()) == sorted(laid.inputFiles())
