@@ -16,7 +16,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tonegauge.operators import calibration, metrics
+from tonegauge.operators import calibration, forest, metrics
 
 # The tuned settings, the first baseline, and the searched grid.
 BEST = {"regParam": 0.001, "elasticNetParam": 0.0, "maxIter": 200}
@@ -65,7 +65,11 @@ def random_forest(**settings) -> RandomForestClassifier:
 
 
 def train_rf(features: DataFrame, **settings):
-    return random_forest(**settings).fit(features)
+    """A random forest from the non-zero entries alone; a single tree, or settings that ``forest`` lacks, is Spark's own fit."""
+    estimator = random_forest(**settings)
+    if estimator.getNumTrees() == 1 or not forest.SETTINGS.issuperset(settings):
+        return estimator.fit(features)
+    return forest.fit(features, estimator)
 
 
 def score(model, features: DataFrame) -> DataFrame:
