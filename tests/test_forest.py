@@ -32,6 +32,11 @@ def rows(spark):
     return spark.createDataFrame(made(), ["Id", "label", "features"]).cache()
 
 
+@pytest.fixture(autouse=True)
+def never_dense(monkeypatch):
+    monkeypatch.setattr(forest, "DENSE", -1)
+
+
 def nodes(spark, model):
     return sorted(model_tables.forest_table(spark, model).collect(), key=lambda r: r["at"])
 
@@ -49,6 +54,14 @@ def test_no_row_goes_to_the_dense_trainer(spark, rows, monkeypatch):
     assert all(r["features"].numNonzeros() == 0 for df in seen for r in df.collect())
 
 
+def test_few_numbers_go_to_the_dense_trainer(spark, rows, monkeypatch):
+    monkeypatch.setattr(forest, "DENSE", 300 * SIZE * 4)
+    settings = {"numTrees": 3, "maxDepth": 3}
+    assert nodes(spark, models.train_rf(rows, **settings)) == nodes(spark, models.random_forest(**settings).fit(rows))
+    monkeypatch.setattr(forest, "DENSE", 300 * SIZE * 4 - 1)
+    assert nodes(spark, models.train_rf(rows, **settings)) != nodes(spark, models.random_forest(**settings).fit(rows))
+
+
 def gini(counts):
     n = counts.sum()
     return 1 - ((counts / n) ** 2).sum()

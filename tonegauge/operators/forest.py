@@ -24,6 +24,9 @@ from tonegauge.sources import storage
 #: Settings that a fit here follows.
 SETTINGS = {"numTrees", "maxDepth", "maxBins", "seed", "minInstancesPerNode", "minInfoGain", "labelCol", "featuresCol"}
 
+#: Bytes of numbers, over all rows, up to which Spark's own trainer makes the forest, of every setting.
+DENSE = 1 << 28
+
 #: Rows of a block; a task works on one block at a time.
 BLOCK = 4096
 
@@ -279,7 +282,8 @@ def _model(spark: SparkSession, estimator: RandomForestClassifier, size: int, tr
 
 def fit(df: DataFrame, estimator: RandomForestClassifier) -> RandomForestClassificationModel:
     """The forest of the estimator's numbers of trees, levels and bins, its seed, least rows and least gain; other settings
-    keep their defaults. The driver holds the nodes and the cuts of features, as it does for Spark's trainer."""
+    keep their defaults. The driver holds the nodes and the cuts of features, as it does for Spark's trainer, which makes the
+    forest itself where its numbers are few."""
     spark, seed, count = df.sparkSession, estimator.getSeed() % (1 << 63), estimator.getNumTrees()
     named = [F.col(c) for c in df.columns if "map<" not in df.schema[c].dataType.simpleString()]
     vector = model_tables._parts(estimator.getFeaturesCol())
@@ -290,6 +294,8 @@ def fit(df: DataFrame, estimator: RandomForestClassifier) -> RandomForestClassif
     usable = F.col("_label").between(0, 1e6) & (F.col("_label") == F.floor("_label")) & F.col("_p").isNotNull()
     n, good, classes, size, largest = rows.agg(
         F.count(F.lit(1)), F.count_if(usable), F.max("_label"), F.min(length), F.max(length)).first()
+    if n * (largest or 0) * 4 <= DENSE:
+        return estimator.fit(df)
     if not n or good < n or size < largest:
         raise ValueError(f"{n} rows, {good} of them with a label and features, {size} to {largest} features")
     classes, bins = int(classes) + 1, max(2, min(estimator.getMaxBins(), n))

@@ -65,7 +65,8 @@ def random_forest(**settings) -> RandomForestClassifier:
 
 
 def train_rf(features: DataFrame, **settings):
-    """A random forest from the non-zero entries alone; a single tree, or settings that ``forest`` lacks, is Spark's own fit."""
+    """A random forest, beyond a few hundred MB from non-zero entries alone; a single tree, or settings that ``forest`` lacks,
+    is Spark's own fit."""
     estimator = random_forest(**settings)
     if estimator.getNumTrees() == 1 or not forest.SETTINGS.issuperset(settings):
         return estimator.fit(features)
