@@ -1,10 +1,13 @@
 """Tokens are worked out once for a fit, and vectors are counted by their stored values."""
 
+import shutil
+
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tonegauge.operators import features
 from tonegauge.plans import streams
+from tonegauge.sources import views
 
 
 def test_saved_model_works_out_tokens_once_a_fit_and_once_a_scoring(spark, folder, monkeypatch):
@@ -36,3 +39,14 @@ def test_token_counts_are_written_and_not_tokens(spark, monkeypatch):
     _, wide = features.fit_and_transform(rows, features.FeatureSettings(num_features=64, min_doc_freq=1))
     assert wide.columns == ["Id", "Text", "split", "features"] and wide.count() == 2
     assert ["Id", "Text", "split", "raw_features"] in written and not any("tokens" in columns for columns in written)
+
+
+def test_stream_of_a_table_that_is_a_folder_of_files(spark, tmp_path):
+    rows = spark.range(20).selectExpr("id AS doc_id", "concat('text ', id) AS text")
+    rows.repartition(3).write.parquet(str(tmp_path / "many" / "documents.parquet"))
+    rows.repartition(1).write.parquet(str(tmp_path / "parts"))
+    (tmp_path / "one").mkdir()
+    shutil.copy(next((tmp_path / "parts").glob("part-*.parquet")), tmp_path / "one" / "documents.parquet")
+    for folder in ("many", "one"):
+        stream = streams._finished(views.table_stream(spark, str(tmp_path / folder), "documents"), "streamed")
+        assert sorted(r.doc_id for r in stream.collect()) == list(range(20))
