@@ -5,7 +5,7 @@ import shutil
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from tonegauge.operators import features
+from tonegauge.operators import features, lemma
 from tonegauge.plans import streams
 from tonegauge.sources import views
 
@@ -50,3 +50,14 @@ def test_stream_of_a_table_that_is_a_folder_of_files(spark, tmp_path):
     for folder in ("many", "one"):
         stream = streams._finished(views.table_stream(spark, str(tmp_path / folder), "documents"), "streamed")
         assert sorted(r.doc_id for r in stream.collect()) == list(range(20))
+
+
+def test_vocabulary_for_lemmas_has_only_tokens_that_a_rule_can_change(spark, monkeypatch):
+    seen, real = [], lemma.lemma_table
+    monkeypatch.setattr(lemma, "lemma_table", lambda vocab, *args: seen.append(vocab) or real(vocab, *args))
+    df = spark.createDataFrame([(["cats", "cat", "walked", "walk", "ran"],), ([],), (None,)], "filtered array<string>")
+    found = lemma.lemmas_of(df, lemma.corpus_lexicon(df, "filtered"))
+    assert sorted(map(tuple, found.collect())) == [("cats", "cat"), ("walked", "walk")]
+    assert sorted(r.token for r in seen[0].collect()) == ["cats", "walked"]
+    irregular = spark.createDataFrame([("ran", "v", "run"), ("cat", "n", "cat")], "form string, pos string, lemma string")
+    assert sorted(map(tuple, lemma.lemmas_of(df, irregular).collect())) == [("cats", "cat"), ("ran", "run")]
